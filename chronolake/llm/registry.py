@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from chronolake.llm import simhash
+from chronolake.llm import pii, simhash
 
-QUERIES = {"op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
+QUERIES = {
+    "op2_pii": pii.op2_pii,
+    "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+}
 ORACLE_SQL: dict[str, str] = {}
