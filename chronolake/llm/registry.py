@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from chronolake.llm import pii, simhash
+from chronolake.llm import pii, simhash, sketch
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
+    "op3_fingerprints": sketch.op3_fingerprints,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
