@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from chronolake.llm import pii, simhash, sketch
+from chronolake.llm import packing, pii, simhash, sketch
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
     "op3_fingerprints": sketch.op3_fingerprints,
+    "op8_packing": packing.op8_packing,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
