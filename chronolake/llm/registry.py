@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from chronolake.llm import packing, pii, simhash, sketch
+from chronolake.llm import packing, pii, simhash, sketch, warc
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
     "op3_fingerprints": sketch.op3_fingerprints,
     "op8_packing": packing.op8_packing,
+    "op9_warc": warc.op9_warc,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_warc": warc.OP9_SQL}
