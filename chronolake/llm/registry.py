@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from chronolake.llm import langid, packing, pii, simhash, sketch, warc
+from chronolake.llm import ann, langid, packing, pii, simhash, sketch, warc
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
     "op3_fingerprints": sketch.op3_fingerprints,
+    "op4_ann": ann.op4_ann,
     "op5_language_id": langid.op5_language_id,
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
