@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from chronolake.llm import ann, langid, packing, pii, simhash, sketch, warc
+from chronolake.llm import ann, langid, license, packing, pii, simhash, sketch, warc
 
 QUERIES = {
+    "op1_license_scan": license.op1_license_scan,
     "op2_pii": pii.op2_pii,
     "op3_fingerprints": sketch.op3_fingerprints,
     "op4_ann": ann.op4_ann,
