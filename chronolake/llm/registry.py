@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronolake.llm import ann, langid, license, packing, pii, simhash, sketch, warc
+from chronolake.llm import ann, langid, license, mixing, packing, pii, simhash, sketch, warc
 
 QUERIES = {
     "op1_license_scan": license.op1_license_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_fingerprints": sketch.op3_fingerprints,
     "op4_ann": ann.op4_ann,
     "op5_language_id": langid.op5_language_id,
+    "op6_mixing": mixing.op6_mixing,
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
