@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronolake.llm import ann, langid, license, mixing, packing, pii, simhash, sketch, warc
+from chronolake.llm import ann, langid, license, mixing, packing, pii, simhash, sketch, suffix, warc
 
 QUERIES = {
     "op1_license_scan": license.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_ann": ann.op4_ann,
     "op5_language_id": langid.op5_language_id,
     "op6_mixing": mixing.op6_mixing,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
