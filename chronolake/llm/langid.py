@@ -235,8 +235,12 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, names
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents that some language is found for, with a score of ``least`` or more."""
-    found = classify(docs, fit(docs), names=("k_lang_pred", "k_score"))
+    """The documents that some language is found for, with a score of ``least`` or more. Where there is
+    nothing to learn from, those with a letter."""
+    model = fit(docs)
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = classify(docs, model, names=("k_lang_pred", "k_score"))
     return found.filter((F.col("k_lang_pred") != "und") & (F.col("k_score") >= least)).select(*docs.columns)
 
 
