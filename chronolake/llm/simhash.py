@@ -120,8 +120,17 @@ class VantageTree:
 
 
 def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links between queries and homes (homes are queries too)."""
-    points = np.concatenate((homes, queries))
+    """Edges of a spanning forest of the links between queries and homes (homes are queries too).
+    Both are ordered by their distance from one more vantage point, so that a run of queries is
+    compared only with the homes whose distance differs by ``reach`` at most."""
+    if not len(homes):
+        return homes, homes
+    away = np.bitwise_count(homes ^ homes[0])
+    order = np.argsort(away, kind="stable")
+    homes, away = homes[order], away[order].astype(np.int64)
+    far = np.bitwise_count(queries ^ homes[0])
+    order = np.argsort(far, kind="stable")
+    points, at_d = np.concatenate((homes, queries[order])), np.concatenate((away, far[order].astype(np.int64)))
     parent = np.arange(len(points))
 
     def find(x: int) -> int:
@@ -133,8 +142,11 @@ def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndar
     a, b, at, step, k = [], [], 0, 1, len(homes)
     label = np.arange(k)
     while at < len(points):
-        d = np.bitwise_count(points[at : at + step, None] ^ homes[None, :])
+        end = min(len(points), at + step, k if at < k else len(points))
+        lo, hi = np.searchsorted(away, at_d[at] - reach), np.searchsorted(away, at_d[end - 1] + reach, side="right")
+        d = np.bitwise_count(points[at:end, None] ^ homes[None, lo:hi])
         q, h = np.nonzero(d <= reach)
+        h += lo
         _, first = np.unique(q * np.int64(k) + label[h], return_index=True)
         for x, y in zip((q[first] + at).tolist(), h[first].tolist(), strict=True):
             r, s = find(x), find(y)
@@ -145,11 +157,11 @@ def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndar
         up = parent[:k]
         while not np.array_equal(up, parent[up]):
             up = parent[up]
-        label, at, step = up.copy(), at + step, min(step * 4, max(1, (1 << 22) // max(1, k)))
+        label, at, step = up.copy(), end, min(step * 4, max(1, (1 << 22) // max(1, k)))
     return points[a], points[b]
 
 
-def links(reps: DataFrame, max_bits: int = 4, leaf: int = 4096, sample: int = 16384) -> DataFrame:
+def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 16384) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` that span every component of the links.
 
     ``leaf`` is the number of homes aimed at in a shard, ``sample`` the most fingerprints from which
