@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from chronolake.plans import corpus_queries, quality_queries, series_queries, stored_queries
+
 FLAGSHIP = "release_cadence_drift"
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+_PARTS = (series_queries, stored_queries, quality_queries, corpus_queries)
+
+QUERIES: dict = {name: f for part in _PARTS for name, (f, _) in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {name: sql for part in _PARTS for name, (_, sql) in part.QUERIES.items() if sql}
