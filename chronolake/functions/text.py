@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def line_count(content: Column | str) -> Column:
     """Lines of a text; one final newline begins no further line, an empty text has none."""
     c = F.col(content) if isinstance(content, str) else content
@@ -15,7 +20,7 @@ def line_count(content: Column | str) -> Column:
 def lines(content: Column | str) -> Column:
     """The same lines as an array."""
     c = F.col(content) if isinstance(content, str) else content
-    return F.when(F.coalesce(c, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, "\n$", ""), "\n", -1))
+    return F.when(F.coalesce(c, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, r"\n\z", ""), "\n", -1))
 
 
 def basename(path: Column | str) -> Column:
@@ -50,4 +55,4 @@ def json_set(text: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """Entries of a list in text, split at commas, trimmed, without blanks."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, ","), strip), lambda x: x != "")

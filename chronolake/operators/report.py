@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolake.functions.text import strip
+
 BUCKET = 1 << 14
 
 
@@ -33,7 +35,7 @@ def row_metrics(df: DataFrame) -> DataFrame:
     counted from the raw text."""
     both = F.coalesce(F.col("n_exports"), F.lit(0)) + F.coalesce(F.col("n_internal"), F.lit(0))
     functions = F.when(F.col("n_exports").isNotNull() | F.col("n_internal").isNotNull(), both).otherwise(F.col("n_functions_fallback"))
-    counted = F.size(F.filter(F.transform(F.split("raw_deps", ","), F.trim), lambda x: (x != "") & ~x.rlike(r"^R\b(?!\.)")))
+    counted = F.size(F.filter(F.transform(F.split("raw_deps", ","), strip), lambda x: (x != "") & ~x.rlike(r"^R\b(?!\.)")))
     return df.withColumn("n_functions", functions).withColumn("n_deps", F.coalesce("n_deps_direct", F.when(F.col("raw_deps").isNotNull(), counted)))
 
 
