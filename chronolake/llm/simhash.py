@@ -29,29 +29,47 @@ from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-SEED = 42
+SEED, WIDE = 42, 8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, shingle_words: int = 4) -> int:
-    """The unsigned 64-bit fingerprint of one text."""
+def _shingles(text: str | None, shingle_words: int) -> np.ndarray:
+    """XXH64 of every shingle, repeats included; of the whole, if there are fewer words."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    n = len(words)
-    if not n:
-        return 0
-    whole, h = b" ".join(words), xxhash.xxh64_intdigest
+    n, h = len(words), xxhash.xxh64_intdigest
+    whole = b" ".join(words)
     if n <= shingle_words:
-        return h(whole, SEED)
+        return np.array([h(whole, SEED)] if n else [], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = np.concatenate(([0], ends[: n - shingle_words] + 1))
-    m, ones, step = n - shingle_words + 1, np.zeros(64, np.int64), 1 << 15
-    for a in range(0, m, step):
-        b = min(m, a + step)
-        spans = zip(starts[a:b].tolist(), ends[a + shingle_words - 1 : b + shingle_words - 1].tolist(), strict=True)
-        hashes = np.fromiter((h(whole[s:e], SEED) for s, e in spans), np.uint64, b - a)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(sum(1 << i for i in range(64) if 2 * ones[i] > m))
+    spans = zip(starts.tolist(), ends[shingle_words - 1 :].tolist(), strict=True)
+    return np.fromiter((h(whole[s:e], SEED) for s, e in spans), np.uint64, n - shingle_words + 1)
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """For each of the 64 bits, is it set in more than half of the hashes?"""
+    ones, step = np.zeros(64, np.int64), 1 << 15
+    for a in range(0, len(hashes), step):
+        part = np.ascontiguousarray(hashes[a : a + step])
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return 2 * ones > len(hashes)
+
+
+def fingerprint(text: str | None, shingle_words: int = 4) -> int:
+    """The unsigned 64-bit fingerprint of one text."""
+    return int(np.packbits(_majority(_shingles(text, shingle_words)), bitorder="little").view(np.uint64)[0])
+
+
+def wide_fingerprint(text: str | None, shingle_words: int, parts: int = WIDE) -> tuple[int, bytes]:
+    """Number of distinct shingles and a fingerprint of ``parts`` * 64 bits over them."""
+    hashes = np.unique(_shingles(text, shingle_words))
+    out = []
+    for k in range(parts):
+        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(np.packbits(_majority(x ^ (x >> np.uint64(31))), bitorder="little"))
+    return len(hashes), np.concatenate(out).tobytes()
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
@@ -226,10 +244,105 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4)
     return fps.join(reps.select("fp", "root").join(low, "root"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents less all but one of each component: the row with the smallest doc_id (of rows
-    that repeat it, one)."""
-    near = near_duplicates(docs, shingle_words, max_bits)
+def most_bits(similarity: float, bits: int) -> int:
+    """Differing bits expected of two sets of equal size with that Jaccard similarity."""
+    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def _forest_wide(homes: np.ndarray, queries: np.ndarray, sizes_h: np.ndarray, sizes_q: np.ndarray, first: int, most: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_forest`` for codes of several words, as places in (homes, queries): the first word may
+    differ in ``first`` bits, all words in ``most``; sizes must be within ``ratio``. Homes and queries
+    are ordered by size, so that only a run of homes is compared."""
+    points, sizes = np.concatenate((homes, queries)), np.concatenate((sizes_h, sizes_q))
+    parent, a, b = np.arange(len(points)), [], []
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    k, at, step = len(homes), 0, 1
+    label = np.arange(k)
+    while at < len(points):
+        end = min(len(points), at + step, k if at < k else len(points))
+        lo, hi = np.searchsorted(sizes_h, sizes[at] * ratio - 1e-9), np.searchsorted(sizes_h, sizes[end - 1] / ratio + 1e-9, side="right")
+        q, h = np.nonzero(np.bitwise_count(points[at:end, 0][:, None] ^ homes[None, lo:hi, 0]) <= first)
+        q, h = q + at, h + lo
+        # a pair that is in one component already needs no second look
+        other = label[h] != np.where(q < k, label[np.minimum(q, k - 1)], -1)
+        q, h = q[other], h[other]
+        near = np.zeros(len(q), bool)
+        for s in range(0, len(q), 1 << 18):
+            d = np.bitwise_count(points[q[s : s + (1 << 18)]] ^ homes[h[s : s + (1 << 18)]]).sum(axis=1, dtype=np.int64)
+            near[s : s + (1 << 18)] = d <= most
+        near &= np.minimum(sizes[q], sizes_h[h]) >= ratio * np.maximum(sizes[q], sizes_h[h]) - 1e-9
+        q, h = q[near], h[near]
+        _, one = np.unique(q * np.int64(k) + label[h], return_index=True)
+        for x, y in zip(q[one].tolist(), h[one].tolist(), strict=True):
+            r, s = find(x), find(y)
+            if r != s:
+                parent[max(r, s)] = min(r, s)
+                a.append(x)
+                b.append(y)
+        up = parent[:k]
+        while not np.array_equal(up, parent[up]):
+            up = parent[up]
+        label, at, step = up.copy(), end, min(step * 4, max(1, (1 << 21) // max(1, k)))
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 16384) -> DataFrame:
+    """A row for each row of ``docs``: doc_id, text_hash, root, component_id. Two texts are linked if
+    their shingle sets have the Jaccard similarity, as their ``WIDE`` * 64-bit fingerprints estimate it.
+
+    A radius this wide leaves a vantage tree over random fingerprints nothing to prune, so the one
+    vantage point is the empty set: a text's distance from it is its number of shingles, which a
+    similar text can't exceed by more than 1 / similarity. Shards are rings of that ratio; a text
+    visits its own and the next; large rings are dealt out in blocks. In a shard, the first 64 bits
+    rule most pairs out (``first`` leaves three standard deviations)."""
+    common.small_batches(docs.sparkSession)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+
+    def work(frames):
+        for f in frames:
+            found = [wide_fingerprint(t, shingle_words) for t in f["text"]]
+            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "size": [n for n, _ in found], "code": [c for _, c in found]})
+
+    fps = common.staged(given.mapInPandas(work, "doc_id long, text_hash long, size long, code binary"), "simhash-wide")
+    # texts of one code and size are one point, known by a hash of both
+    fps = fps.withColumn("node", F.xxhash64("code", "size"))
+    reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code")), "simhash-points")
+    p = most_bits(similarity, 64) / 64
+    most, first = most_bits(similarity, 64 * WIDE), math.ceil(64 * p + 3 * math.sqrt(64 * p * (1 - p))) - 1
+    ring = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / math.log(1 / similarity)).cast("int")
+    points = reps.select("node", "size", "code", ring.alias("ring"))
+    blocks = points.groupBy("ring").count().select("ring", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    own = F.pmod("node", F.col("blocks")).cast("int")
+    visits = points.select("node", "size", "code", F.explode(F.array(F.struct(F.col("ring"), F.lit(True).alias("here")), F.struct((F.col("ring") - 1).alias("ring"), F.lit(False).alias("here")))).alias("r"))
+    cells = visits.select("node", "size", "code", "r.ring", "r.here").join(F.broadcast(blocks), "ring")  # a ring for each power of the ratio
+    cells = cells.select("node", "size", "code", "ring", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "here", own.alias("own"))
+    cells = cells.withColumn("home", F.col("here") & (F.col("own") == F.col("block")))
+
+    def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
+        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
+        node, size, k = f["node"].to_numpy(np.int64), f["size"].to_numpy(np.int64), int(f["home"].sum())
+        if not k:
+            return pd.DataFrame({"a": node[:0], "b": node[:0]})
+        a, b = _forest_wide(codes[:k], codes[k:], size[:k], size[k:], first, most, similarity)
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    edges = cells.select("ring", "block", "node", "size", "code", "home").groupBy("ring", "block").applyInPandas(close, "a long, b long")
+    of = connected(edges)
+    reps = reps.select("node", "low").join(of, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    low = reps.groupBy("root").agg(F.min("low").alias("component_id"))
+    return fps.select("doc_id", "text_hash", "node").join(reps.select("node", "root").join(low, "root"), "node").select("doc_id", "text_hash", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """The documents less all but one of each component of ``near``: the row with the smallest doc_id
+    (of rows that repeat it, one)."""
     kept = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash"))
     kept = kept.select(F.xxhash64("doc_id", "text_hash").alias("k_row"))
     hashed = docs.withColumn("k_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))

@@ -29,6 +29,9 @@ def test_forward_sums_all_segmentations():
     for w in ("a", "ab", "abab", "babaab", "aqb", "é", "bbbbbb"):
         for lang, got in zip(model.langs, model.word(w.encode()), strict=True):
             assert math.isclose(got, math.log(every_way("▁" + w, learned[lang])), rel_tol=1e-9), w
+    mixed = [w.encode() for w in ("a", "ab", "aqb", "é", "bbbbbb", "abababab", "a" * 39, "b" * 60, "ba")]
+    for row, w in zip(model.many(mixed), mixed, strict=True):
+        assert all(math.isclose(x, y, rel_tol=1e-9) for x, y in zip(row, model.word(w), strict=True)), w
     long = model.word(b"ab" * 4000)
     assert all(math.isfinite(x) and x < -1000 for x in long)
 

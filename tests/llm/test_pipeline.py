@@ -39,15 +39,17 @@ def test_stages_against_plain(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
     model = langid.fit(docs)
-    kept = {d: r.text for d, r in rows.items() if (lambda p: p[0] != "und" and p[1] >= 0.5)(model.classify(r.text))}
-    fps, root = {d: simhash.fingerprint(t) for d, t in kept.items()}, {d: d for d in kept}
+    kept = {d: r.text for d, r in rows.items() if (lambda p: p[0] != "und" and p[1] >= 0.5)(model.classify([r.text])[0])}
+    codes, root = {d: simhash.wide_fingerprint(t, 5) for d, t in kept.items()}, {d: d for d in kept}
+    words = {d: np.frombuffer(c, np.uint64) for d, (_, c) in codes.items()}
     ids = sorted(kept)
     changed = True
     while changed:
         changed = False
         for i in ids:
             for j in ids:
-                if (fps[i] ^ fps[j]).bit_count() <= 4 and root[i] != root[j]:
+                far = root[i] == root[j] or min(codes[i][0], codes[j][0]) < 0.8 * max(codes[i][0], codes[j][0])
+                if not far and (words[i][0] ^ words[j][0]).bit_count() <= 18 and np.bitwise_count(words[i] ^ words[j]).sum() <= 78:
                     root[i] = root[j] = min(root[i], root[j])
                     changed = True
     kept = {d: redacted(t) for d, t in kept.items() if root[d] == d}

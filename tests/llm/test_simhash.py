@@ -80,11 +80,41 @@ def test_tree_loses_no_link(spark):
     assert {x: found.get(x, x) for x in root} == root
 
 
-def test_keep_one_and_empty(spark):
-    rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (3, "x"), (3, "x"), (None, "q")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted([(1, "a b c d e"), (3, "x"), (None, "q")], key=str)
-    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+@pytest.mark.parametrize("near", [simhash.near_duplicates, simhash.near_copies])
+def test_keep_one_and_empty(spark, near):
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (3, "x"), (3, "x"), (None, "q"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS size", "2 AS code")
+    kept = simhash.keep_one(docs, near(docs))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, "a b c d e"), (3, "x"), (None, "q"), (4, None)], key=str)
+    assert near(docs.limit(0)).count() == 0 and kept.columns == docs.columns
+
+
+def jaccard(a, b, k=5):
+    grams = lambda t: {tuple(w[i : i + k]) for w in [t.lower().split()] for i in range(max(1, len(w) - k + 1))}
+    return len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+
+
+def test_near_copies(spark, monkeypatch):
+    """Pairs well above the similarity meet, pairs well below don't, whatever the size of the blocks."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(40):
+        words = list(rng.choice(WORDS, rng.integers(30, 900)))
+        for j in range(5):
+            other = list(words)
+            for p in rng.integers(len(words), size=[0, 1, len(words) // 100, len(words) // 50, len(words) // 12][j]):
+                other[p] = "Edit"
+            rows.append((i * 10 + j, " ".join(other)))
+    texts = dict(rows)
+    for block in (16384, 20):
+        root = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()}
+        for a in texts:
+            for b in texts:
+                if a < b and a // 10 == b // 10 and jaccard(texts[a], texts[b]) >= 0.88:
+                    assert root[a] == root[b]
+                elif a // 10 != b // 10:
+                    assert root[a] != root[b]
+        alone = [a for a in texts if a % 10 == 4 and max(jaccard(texts[a], texts[b]) for b in texts if b != a and a // 10 == b // 10) < 0.7]
+        assert alone and all(root[a] == a for a in alone)
 
 
 @pytest.mark.parametrize("text", ["", "A b", "A b c d", "A b c d\x0be", "x " * 5000])
