@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections import Counter
 from math import exp, log
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +33,8 @@ from chronolake.llm import common
 
 SAMPLE, TYPES, ROUNDS, EVIDENCE, WORDS_KEPT = 2000, 20_000, 3, 20, 200_000
 UNKNOWN, SMOOTH = 1e-7, 0.5
-MARK = "▁"
+MARK, LONG = "▁", 40
+_KEY, _NONE = np.uint64(0x9E3779B97F4A7C15), np.zeros(0, np.uint64)
 _SPLIT = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -120,18 +122,58 @@ class Model:
     def __init__(self, learned: dict[str, dict[str, float]]):
         self.langs = sorted(learned)
         self.least = [min(learned[x].values(), default=UNKNOWN) / 2 for x in self.langs]
-        pieces = {p for t in learned.values() for p in t}
-        self.table = _with_prefixes({p: tuple(learned[x].get(p, m) for x, m in zip(self.langs, self.least, strict=True)) for p in pieces})
+        pieces = {p: tuple(learned[x].get(p, m) for x, m in zip(self.langs, self.least, strict=True)) for p in sorted({p for t in learned.values() for p in t})}
+        self.table = _with_prefixes(pieces)
         self.unknown = (UNKNOWN,) * len(self.langs)
-        self.known: dict[bytes, tuple[float, ...]] = {}
+        # for each piece length: the pieces' keys in order and their probabilities
+        self.sized: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in sorted({len(p) for p in pieces}):
+            own = [p for p in pieces if len(p) == size]
+            keys = np.zeros(len(own), np.uint64)
+            for c in np.array(own, f"<U{size}").view(np.uint32).reshape(len(own), size).T:
+                keys = keys * _KEY + c.astype(np.uint64)
+            order = np.argsort(keys)
+            self.sized[size] = (keys[order], np.array([pieces[p] for p in own])[order])
+        self.index: dict[bytes, int] = {}
+        self.logs = np.zeros((0, len(self.langs)))
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"index": {}, "logs": np.zeros((0, len(self.langs)))}
+
+    def many(self, raws: list[bytes]) -> np.ndarray:
+        """Log probabilities of words (rows) in each language (columns), words of one length at a time."""
+        given = [MARK + r.decode("utf-8", "replace") for r in raws]
+        out, lengths = np.zeros((len(given), len(self.langs))), np.fromiter(map(len, given), np.int64, len(given))
+        for size in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == size)
+            if size > LONG:
+                for i in rows.tolist():
+                    out[i] = self.word(raws[i])
+                continue
+            letters = np.array([given[i] for i in rows.tolist()], f"<U{size}").view(np.uint32).reshape(len(rows), size).astype(np.uint64).T
+            ahead = np.zeros((size + 1, len(rows), len(self.langs)))
+            ahead[0] = 1.0
+            for i in range(size):
+                key = np.zeros(len(rows), np.uint64)
+                for n in range(1, min(size - i, max(self.sized, default=1)) + 1):
+                    key = key * _KEY + letters[i + n - 1]
+                    keys, probs = self.sized.get(n, (_NONE, None))
+                    if len(keys):
+                        at = np.searchsorted(keys, key)
+                        at[at == len(keys)] = 0
+                        hit = np.flatnonzero(keys[at] == key)
+                        ahead[i + n, hit] += ahead[i, hit] * probs[at[hit]]
+                    else:
+                        hit = _NONE
+                    if n == 1 and len(hit) < len(rows):
+                        miss = np.ones(len(rows), bool)
+                        miss[hit.astype(np.int64)] = False
+                        ahead[i + 1, miss] += ahead[i, miss] * UNKNOWN
+            out[rows] = np.log(np.maximum(ahead[size], 1e-320))
+        return out
 
     def word(self, raw: bytes) -> tuple[float, ...]:
         """Log probability of a word in each language."""
-        if (found := self.known.get(raw)) is not None:
-            return found
         word, table, none = MARK + raw.decode("utf-8", "replace"), self.table, self.unknown
         size, n = len(word), len(self.langs)
         ahead: list = [None] * (size + 1)
@@ -158,21 +200,31 @@ class Model:
             if not single:
                 to = ahead[i + 1]
                 ahead[i + 1] = [a * p for a, p in zip(at, none)] if to is None else [t + a * p for t, a, p in zip(to, at, none)]  # noqa: B905
-        found = tuple(log(max(x, 1e-320)) + scale for x in ahead[size])
-        if len(self.known) < WORDS_KEPT and len(raw) < 60:
-            self.known[raw] = found
-        return found
-
-    def classify(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not has_letter(text):
-            return "und", 0.0
-        counts = Counter(words(text))
-        total, n = [0.0] * len(self.langs), sum(counts.values())
-        for w, k in counts.items():
-            total = [t + k * x for t, x in zip(total, self.word(w))]  # noqa: B905
-        best = max(range(len(total)), key=lambda i: (total[i], -i))
-        weight = min(n, EVIDENCE) / max(n, 1)
-        return self.langs[best], 1 / sum(exp(max(-700.0, (t - total[best]) * weight)) for t in total)
+        return tuple(log(max(x, 1e-320)) + scale for x in ahead[size])
+
+    def classify(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text. The first ``WORDS_KEPT`` words are remembered."""
+        given = [words(t) if self.langs and has_letter(t) else [] for t in texts]
+        known, new, n = self.index.get, {}, len(self.index)
+        places = [n + new.setdefault(w, len(new)) if (k := known(w)) is None else k for own in given for w in own]
+        fresh = list(new)
+        logs = np.concatenate((self.logs, self.many(fresh))) if fresh else self.logs
+        sizes = np.fromiter(map(len, given), np.int64, len(given))
+        total, step = np.zeros((len(given), len(self.langs))), np.repeat(np.arange(len(given)), sizes)
+        for k in range(len(self.langs)):
+            total[:, k] = np.bincount(step, logs[places, k], len(given)) if len(places) else 0.0
+        if room := max(0, WORDS_KEPT - n):
+            self.index |= {w: n + i for i, w in enumerate(fresh[:room])}
+            self.logs = logs[: n + room].copy()
+        out = []
+        for t, size in zip(total.tolist(), sizes.tolist(), strict=True):
+            if not size:
+                out.append(("und", 0.0))
+                continue
+            best = max(range(len(t)), key=lambda i: (t[i], -i))
+            weight = min(size, EVIDENCE) / size
+            out.append((self.langs[best], 1 / sum(exp(max(-700.0, (x - t[best]) * weight)) for x in t)))
+        return out
 
 
 _models: dict[str, Model] = {}
@@ -226,7 +278,7 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, names
     def work(batches):
         own = _models.setdefault(name, model)  # its word cache stays for the worker's next task
         for batch in batches:
-            found = [own.classify(t) for t in batch["x_text"].to_pylist()]
+            found = own.classify(batch["x_text"].to_pylist())
             columns = [batch[c] for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
