@@ -13,8 +13,8 @@ The suffixes with neighbours go to the second scan as a bit map of fixed size (`
 that another suffix has set costs work, not correctness, as windows are counted exactly afterwards.
 A group of equal windows is only counted, never gathered. Equal 64-bit hashes count as equal words.
 
-Of equal windows, the one with the smallest (doc_id, place) is the first; ``later`` passages are those
-covered by windows that aren't.
+Of equal windows, the one with the smallest (doc_id, place) is the first (in each row that has them);
+``later`` passages are those covered by windows that aren't.
 
 Nulls: a null or short text has no passages. A null doc_id comes before all others. Rows that repeat
 both doc_id and text are places of their own and have equal results. Extra columns are ignored. An
@@ -168,9 +168,10 @@ def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, bits: int =
     leads = common.staged(suffixes(given, words, gram), "suffix-leads")
     found = common.staged(candidates(given, neighbours(leads, bits), words, gram), "suffix-windows")
     at = found.filter(F.size("windows") > 0).select("doc_id", "text_hash", F.explode(F.arrays_zip("windows", "starts")).alias("w")).select("doc_id", "text_hash", F.col("w.windows").alias("window"), F.col("w.starts").alias("start"))
-    groups = at.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "start")).alias("first")).filter("n > 1").select("window", "first")
+    groups = at.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).filter("n > 1").select("window", "first")
+    groups = common.staged(groups, "suffix-groups")  # read anew, so that the join can split a window that very many have
     again = at.join(groups, "window")
-    own = F.struct("doc_id", "text_hash", "start")
+    own = F.struct("doc_id", "start")
     later = F.when(~own.eqNullSafe(F.col("first")), F.col("start"))
     places = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("start")).alias("s_all"), F.sort_array(F.collect_set(later)).alias("s_later"))
     places = places.select(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash"), F.expr(_covered("s_all", words)).alias("spans"), F.expr(_covered("s_later", words)).alias("later"))
