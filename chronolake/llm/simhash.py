@@ -63,13 +63,17 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
 def wide_fingerprint(text: str | None, shingle_words: int, parts: int = WIDE) -> tuple[int, bytes]:
     """Number of distinct shingles and a fingerprint of ``parts`` * 64 bits over them."""
     hashes = np.unique(_shingles(text, shingle_words))
+    return len(hashes), wide_code(hashes, parts)
+
+
+def wide_code(hashes: np.ndarray, parts: int = WIDE) -> bytes:
     out = []
     for k in range(parts):
         x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         out.append(np.packbits(_majority(x ^ (x >> np.uint64(31))), bitorder="little"))
-    return len(hashes), np.concatenate(out).tobytes()
+    return np.concatenate(out).tobytes()
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
@@ -249,12 +253,38 @@ def most_bits(similarity: float, bits: int) -> int:
     return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def _forest_wide(homes: np.ndarray, queries: np.ndarray, sizes_h: np.ndarray, sizes_q: np.ndarray, first: int, most: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """As ``_forest`` for codes of several words, as places in (homes, queries): the first word may
-    differ in ``first`` bits, all words in ``most``; sizes must be within ``ratio``. Homes and queries
-    are ordered by size, so that only a run of homes is compared."""
-    points, sizes = np.concatenate((homes, queries)), np.concatenate((sizes_h, sizes_q))
-    parent, a, b = np.arange(len(points)), [], []
+def apart(common: int, a: int, b: int) -> float:
+    """Probability that a majority bit differs between two sets with ``common`` hashes in both and a
+    and b hashes of their own."""
+    at = lambda n: np.array([math.comb(n, k) for k in range(n + 1)], float) / 2.0**n
+    ones, out = at(common), 0.0
+    for k in range(common + 1):
+        p = at(a)[np.arange(a + 1) * 2 + 2 * k > common + a].sum()
+        q = at(b)[np.arange(b + 1) * 2 + 2 * k > common + b].sum()
+        out += ones[k] * (p * (1 - q) + q * (1 - p))
+    return out
+
+
+FEW, DEVIATIONS = 48, 5
+
+
+def radius(similarity: float, bits: int) -> tuple[int, int]:
+    """Differing bits that pairs of at least that similarity stay within, but for one in some 10^6: for
+    pairs in which a set has fewer than ``FEW`` hashes (majorities of few hashes depend on how many
+    there are), and for all others."""
+    few = max((apart(c, a, b) for c in range(1, FEW) for a in range(c) for b in range(a + 1) if c >= similarity * (c + a + b) - 1e-9), default=0.0)
+    many = max(most_bits(similarity, 1 << 16) / (1 << 16), *(apart(FEW, a, b) for a in range(FEW) for b in range(a + 1) if FEW >= similarity * (FEW + a + b) - 1e-9))
+    far = lambda p: math.ceil(bits * p + DEVIATIONS * math.sqrt(bits * p * (1 - p)))
+    return far(max(few, many)), far(many)
+
+
+def _proposed(codes: np.ndarray, sizes: np.ndarray, part: np.ndarray, k: int, within: bool, forest: bool, first: tuple[int, int], most: tuple[int, int], ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places, one of them among the first k (homes), that may be similar: the first two words
+    of their codes differ in ``first`` bits at most, all words in ``most`` (each for few hashes, for
+    many), sizes are within ``ratio``, and they aren't in one component (``part``) already. Homes are
+    compared with each other only if ``within``. Of a ``forest``, a pair also joins its components.
+    Homes and queries are ordered by size, so that only a run of homes is compared."""
+    parent = np.arange(int(part.max()) + 1)
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -262,79 +292,127 @@ def _forest_wide(homes: np.ndarray, queries: np.ndarray, sizes_h: np.ndarray, si
             x = parent[x]
         return x
 
-    k, at, step = len(homes), 0, 1
-    label = np.arange(k)
-    while at < len(points):
-        end = min(len(points), at + step, k if at < k else len(points))
-        lo, hi = np.searchsorted(sizes_h, sizes[at] * ratio - 1e-9), np.searchsorted(sizes_h, sizes[end - 1] / ratio + 1e-9, side="right")
-        q, h = np.nonzero(np.bitwise_count(points[at:end, 0][:, None] ^ homes[None, lo:hi, 0]) <= first)
+    a, b, step = [], [], 1
+    at, homes = 0 if within else k, sizes[:k]
+    label = part.copy()
+    while at < len(codes):
+        end = min(len(codes), at + step, k if at < k else len(codes))
+        lo, hi = np.searchsorted(homes, sizes[at] * ratio - 1e-9), np.searchsorted(homes, sizes[end - 1] / ratio + 1e-9, side="right")
+        d = np.bitwise_count(codes[at:end, 0][:, None] ^ codes[None, lo:hi, 0]) + np.bitwise_count(codes[at:end, 1][:, None] ^ codes[None, lo:hi, 1])
+        q, h = np.nonzero(d <= max(first))
         q, h = q + at, h + lo
-        # a pair that is in one component already needs no second look
-        other = label[h] != np.where(q < k, label[np.minimum(q, k - 1)], -1)
+        other = (label[h] != label[q]) & ((q >= k) | (h < q))
         q, h = q[other], h[other]
         near = np.zeros(len(q), bool)
         for s in range(0, len(q), 1 << 18):
-            d = np.bitwise_count(points[q[s : s + (1 << 18)]] ^ homes[h[s : s + (1 << 18)]]).sum(axis=1, dtype=np.int64)
-            near[s : s + (1 << 18)] = d <= most
-        near &= np.minimum(sizes[q], sizes_h[h]) >= ratio * np.maximum(sizes[q], sizes_h[h]) - 1e-9
+            d = np.bitwise_count(codes[q[s : s + (1 << 18)]] ^ codes[h[s : s + (1 << 18)]])
+            few = np.minimum(sizes[q[s : s + (1 << 18)]], sizes[h[s : s + (1 << 18)]]) < FEW
+            near[s : s + (1 << 18)] = (d[:, :2].sum(axis=1, dtype=np.int64) <= np.where(few, *first)) & (d.sum(axis=1, dtype=np.int64) <= np.where(few, *most))
+        near &= np.minimum(sizes[q], sizes[h]) >= ratio * np.maximum(sizes[q], sizes[h]) - 1e-9
         q, h = q[near], h[near]
-        _, one = np.unique(q * np.int64(k) + label[h], return_index=True)
-        for x, y in zip(q[one].tolist(), h[one].tolist(), strict=True):
-            r, s = find(x), find(y)
-            if r != s:
-                parent[max(r, s)] = min(r, s)
-                a.append(x)
-                b.append(y)
-        up = parent[:k]
-        while not np.array_equal(up, parent[up]):
-            up = parent[up]
-        label, at, step = up.copy(), end, min(step * 4, max(1, (1 << 21) // max(1, k)))
-    return np.array(a, np.int64), np.array(b, np.int64)
-
-
-def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 16384) -> DataFrame:
+        if forest:
+            _, one = np.unique(q * np.int64(len(parent)) + label[h], return_index=True)
+            joined = []
+            for i, x, y in zip(one.tolist(), label[q[one]].tolist(), label[h[one]].tolist(), strict=True):
+                r, s = find(x), find(y)
+                if r != s:
+                    parent[max(r, s)] = min(r, s)
+                    joined.append(i)
+            q, h = q[joined], h[joined]
+            up = parent
+            while not np.array_equal(up, up[up]):
+                up = up[up]
+            label = up[part]
+        a.append(q)
+        b.append(h)
+        at, step = end, min(step * 4, max(1, (1 << 21) // max(1, k)))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(a or none), np.concatenate(b or none)
+
+
+SENT = 1_000_000
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b) of nodes, those whose ``sets`` (node, hashes; a node may be repeated) have the
+    Jaccard similarity. Up to ``SENT`` nodes are sent to the sets, so that only theirs are shuffled."""
+    nodes = common.staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-asked")
+    own = sets.join(F.broadcast(nodes) if nodes.count() <= SENT else nodes, "node", "left_semi")
+    own = common.staged(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "simhash-sets")
+    left = pairs.join(own.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
+    both = left.join(own.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b")
+    both = both.withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
+    return both.filter(F.col("shared") >= similarity * (F.size("of_a") + F.size("of_b") - F.col("shared")) - 1e-9).select("a", "b")
+
+
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192) -> DataFrame:
     """A row for each row of ``docs``: doc_id, text_hash, root, component_id. Two texts are linked if
-    their shingle sets have the Jaccard similarity, as their ``WIDE`` * 64-bit fingerprints estimate it.
+    their shingle sets have the Jaccard similarity. ``WIDE`` * 64-bit fingerprints only propose pairs
+    (``radius``); each is then decided by the sets themselves.
 
     A radius this wide leaves a vantage tree over random fingerprints nothing to prune, so the one
     vantage point is the empty set: a text's distance from it is its number of shingles, which a
-    similar text can't exceed by more than 1 / similarity. Shards are rings of that ratio; a text
-    visits its own and the next; large rings are dealt out in blocks. In a shard, the first 64 bits
-    rule most pairs out (``first`` leaves three standard deviations)."""
+    similar text can't exceed by more than 1 / similarity. Shards are rings of that ratio; a text meets
+    its own ring and the next. Rings are cut into blocks and a task compares two blocks, so that both
+    its sides are bounded.
+
+    A first pass proposes a spanning forest of closer pairs; those of them that are similar give
+    components. The second pass proposes every pair that isn't in one component by then."""
     common.small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
 
     def work(frames):
         for f in frames:
-            found = [wide_fingerprint(t, shingle_words) for t in f["text"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "size": [n for n, _ in found], "code": [c for _, c in found]})
+            sets = [np.unique(_shingles(t, shingle_words)) for t in f["text"]]
+            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "size": [len(x) for x in sets], "code": [wide_code(x) for x in sets], "hashes": [x.view(np.int64) for x in sets]})
 
-    fps = common.staged(given.mapInPandas(work, "doc_id long, text_hash long, size long, code binary"), "simhash-wide")
-    # texts of one code and size are one point, known by a hash of both
-    fps = fps.withColumn("node", F.xxhash64("code", "size"))
+    fps = common.staged(given.mapInPandas(work, "doc_id long, text_hash long, size long, code binary, hashes array<long>"), "simhash-wide")
+    # texts of one set are one point, known by a hash of it
+    fps = fps.withColumn("node", F.xxhash64("hashes"))
     reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code")), "simhash-points")
-    p = most_bits(similarity, 64) / 64
-    most, first = most_bits(similarity, 64 * WIDE), math.ceil(64 * p + 3 * math.sqrt(64 * p * (1 - p))) - 1
+    sets = fps.select("node", "hashes")
     ring = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / math.log(1 / similarity)).cast("int")
     points = reps.select("node", "size", "code", ring.alias("ring"))
-    blocks = points.groupBy("ring").count().select("ring", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    own = F.pmod("node", F.col("blocks")).cast("int")
-    visits = points.select("node", "size", "code", F.explode(F.array(F.struct(F.col("ring"), F.lit(True).alias("here")), F.struct((F.col("ring") - 1).alias("ring"), F.lit(False).alias("here")))).alias("r"))
-    cells = visits.select("node", "size", "code", "r.ring", "r.here").join(F.broadcast(blocks), "ring")  # a ring for each power of the ratio
-    cells = cells.select("node", "size", "code", "ring", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "here", own.alias("own"))
-    cells = cells.withColumn("home", F.col("here") & (F.col("own") == F.col("block")))
+    blocks = {r.ring: -(-r.n // block) for r in points.groupBy("ring").agg(F.count("*").alias("n")).collect()}  # a ring for each power of the ratio
+    first, most = radius(similarity, 128), radius(similarity, 64 * WIDE)
+    closer = most_bits((1 + similarity) / 2, 64 * WIDE)
 
-    def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
-        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
-        node, size, k = f["node"].to_numpy(np.int64), f["size"].to_numpy(np.int64), int(f["home"].sum())
-        if not k:
-            return pd.DataFrame({"a": node[:0], "b": node[:0]})
-        a, b = _forest_wide(codes[:k], codes[k:], size[:k], size[k:], first, most, similarity)
-        return pd.DataFrame({"a": node[a], "b": node[b]})
-
-    edges = cells.select("ring", "block", "node", "size", "code", "home").groupBy("ring", "block").applyInPandas(close, "a long, b long")
-    of = connected(edges)
+    def deal(frames):
+        for f in frames:
+            node, rings = f["node"].to_numpy(np.int64), f["ring"].to_numpy(np.int64)
+            for r in np.unique(rings).tolist():
+                g = f[rings == r]
+                own = node[rings == r] % blocks[r]
+                for j in range(blocks[r]):
+                    yield g.assign(kind=0, i=np.minimum(own, j), j=np.maximum(own, j), home=own <= j)
+                for j in range(blocks.get(r + 1, 0)):
+                    yield g.assign(kind=1, i=own, j=j, home=True)
+                for i in range(blocks.get(r - 1, 0)):
+                    yield g.assign(ring=r - 1, kind=1, i=i, j=own, home=False)
+
+    def proposals(of: DataFrame, forest: bool) -> DataFrame:
+        bits = (closer, closer) if forest else most
+
+        def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
+            f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
+            codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
+            node, k = f["node"].to_numpy(np.int64), int(f["home"].sum())
+            if not k:
+                return pd.DataFrame({"a": node[:0], "b": node[:0]})
+            within = f["kind"].iloc[0] == 0 and f["i"].iloc[0] == f["j"].iloc[0]
+            part = np.unique(f["part"].to_numpy(np.int64), return_inverse=True)[1]
+            a, b = _proposed(codes, f["size"].to_numpy(np.int64), part, k, within, forest, first, bits, similarity)
+            return pd.DataFrame({"a": node[a], "b": node[b]})
+
+        cells = of.mapInPandas(deal, "node long, size long, code binary, ring int, part long, kind int, i long, j long, home boolean")
+        pairs = common.staged(cells.groupBy("ring", "kind", "i", "j").applyInPandas(close, "a long, b long"), "simhash-pairs")
+        return similar(pairs, sets, similarity)
+
+    edges = common.staged(proposals(points.withColumn("part", F.col("node")), True), "simhash-edges")
+    of = common.staged(connected(edges), "simhash-parts")
+    parts = points.join(of, "node", "left").select("node", "size", "code", "ring", F.coalesce("root", "node").alias("part"))
+    # what the first pass linked is kept as links to the parts' roots
+    of = connected(of.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(proposals(parts, False)))
     reps = reps.select("node", "low").join(of, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     low = reps.groupBy("root").agg(F.min("low").alias("component_id"))
     return fps.select("doc_id", "text_hash", "node").join(reps.select("node", "root").join(low, "root"), "node").select("doc_id", "text_hash", "root", "component_id")

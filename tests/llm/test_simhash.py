@@ -120,3 +120,34 @@ def test_near_copies(spark, monkeypatch):
 @pytest.mark.parametrize("text", ["", "A b", "A b c d", "A b c d\x0be", "x " * 5000])
 def test_fingerprint(text):
     assert simhash.fingerprint(text) == plain(text)
+
+
+def test_near_copies_by_exact_similarity(spark):
+    """Short and long texts at, below and above the similarity: linked just as all their pairs say."""
+    rng, texts = np.random.default_rng(11), []
+    for n in (6, 7, 8, 9, 10, 12, 14, 20, 24, 32, 49, 60, 94):
+        for _ in range(8):
+            words = [f"w{rng.integers(10**6)}" for _ in range(n)]
+            texts.append(words)
+            texts += [words[:-k] + ["x"] * k for k in range(1, n // 4 + 2)]
+            texts += [words[:-k] for k in range(1, n // 4 + 2)]
+            texts += [words[: n // 2] + ["y"] + words[n // 2 + 1 :]]
+    texts = [" ".join(w) for w in texts]
+    sets = [set(simhash._shingles(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(a & sets[j])
+            if 5 * shared >= 4 * (len(a) + len(sets[j]) - shared):
+                r, s = find(i), find(j)
+                root[max(r, s)] = min(r, s)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (8192, 400):
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, block=block).collect()}
+        assert got == {i: find(i) for i in range(len(texts))}
