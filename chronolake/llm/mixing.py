@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from chronolake.llm import common
 
 BLOCK, PERIOD, POWER, ROWS = 64, 4096, 0.7, 20_000
+AT = "mix_at"
 
 
 def shares(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -95,7 +96,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """All rows of ``docs`` in the order of the mix: partition by partition, row by row."""
-    return mix(docs, weights).orderBy("m_slot", "m_nth").select(*docs.columns)
+    return placed(docs, weights).orderBy(AT).select(*docs.columns)
+
+
+def placed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """The rows of ``docs`` with their place in the mix (``AT``), as order doesn't outlive a shuffle."""
+    return mix(docs, weights).select(*docs.columns, (F.col("m_slot") * BLOCK + F.col("m_nth")).alias(AT))
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:

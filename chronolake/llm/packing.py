@@ -26,6 +26,7 @@ from collections import Counter
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from chronolake.llm import common
 
 LENGTH, END, NODES, BRANCHES, SALTS, WORDS_KEPT = 2048, 0, 20000, 4, 64, 200_000
+SPAN, TOKENS = 4096, 1 << 21
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict[str, "Encoder"] = {}
@@ -86,8 +88,8 @@ def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, length) for s in range(first, n, length)]
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents; with their ids, if asked for."""
+def pieces(docs: DataFrame, length: int = LENGTH, with_ids: bool = False, order: str | None = None) -> DataFrame:
+    """The pieces of all documents; with their ids or their document's ``order`` (a long), if asked for."""
     common.small_batches(docs.sparkSession)
     end = np.array([END], "<u4").tobytes()
 
@@ -95,17 +97,23 @@ def pieces(docs: DataFrame, length: int = LENGTH, with_ids: bool = False) -> Dat
         encode = encoder()
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            places = []
+            for i, (doc_id, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True)):
                 ids = encode(text or "") + end
                 for k, (s, m) in enumerate(cut(len(ids) // 4, length)):
                     own = ids[4 * s : 4 * (s + m)]
                     for column, value in zip(out, (doc_id, k, s, m, zlib.crc32(own), np.frombuffer(own, "<u4").astype(np.int32) if with_ids else None), strict=True):
                         column.append(value)
+                    places.append(i)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)][: 5 + with_ids], names=list(names[: 5 + with_ids]))
+            arrays, named = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)][: 5 + with_ids], list(names[: 5 + with_ids])
+            if order:
+                arrays, named = [*arrays, batch[order].take(pa.array(places, pa.int64()))], [*named, order]
+            yield pa.RecordBatch.from_arrays(arrays, names=named)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, PIECES + ", ids array<int>" * with_ids)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(order).cast("long").alias(order)] if order else []))
+    return given.mapInArrow(work, PIECES + ", ids array<int>" * with_ids + (f", {order} long" if order else ""))
 
 
 def best_fit(counts: dict[int, int], length: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
@@ -252,9 +260,52 @@ def assign(cut_up: DataFrame, length: int = LENGTH) -> DataFrame:
     return ranked.select(*columns, "rank").mapInPandas(work, f"{schema}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    return assign(common.staged(pieces(docs, length), "pack-pieces"), length)
+def assign_in_order(cut_up: DataFrame, order: str, length: int = LENGTH, span: int = SPAN, tokens: int = TOKENS) -> DataFrame:
+    """The pieces (a written table) with sequence_id and offset, so that sequences keep the order of the
+    documents (column ``order``, a long of at least 0): runs of ``span`` places, short ones together, are
+    packed each on their own, one after the other. In a run, pieces of one length are used in order and
+    sequences stand by their first piece. A run costs its last sequence at most."""
+    spark = cut_up.sparkSession
+    spans = cut_up.groupBy(F.expr(f"{order} div {span}").alias("k")).agg(F.sum("length").alias("n")).orderBy("k").collect()
+    runs, filled = [], tokens
+    for r in spans:
+        if filled >= tokens:
+            runs.append(r.k)
+            filled = 0
+        filled += r.n
+    first = np.array(runs, np.int64)
+
+    def deal(frames):
+        for f in frames:
+            yield f.assign(run=np.searchsorted(first, f[order].to_numpy(np.int64) // span, side="right") - 1)
+
+    def work(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values([order, "piece", "doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
+        plan = Plan(complete(dict(Counter(f["length"].tolist())), length))
+        sequence, offset = plan.place(f["length"].to_numpy(np.int64), f.groupby("length").cumcount().to_numpy(np.int64))
+        head = np.unique(sequence, return_index=True)[1]  # of each sequence, its first piece's place
+        number = np.empty(len(head), np.int64)
+        number[np.argsort(head, kind="stable")] = np.arange(len(head))
+        return f.drop(columns=order).assign(sequence_id=number[sequence], offset=offset)
+
+    columns = ", ".join(f"{n} {t}" for n, t in cut_up.dtypes)
+    own = ", ".join(f"{n} {t}" for n, t in cut_up.dtypes if n != order)
+    dealt = cut_up.mapInPandas(deal, f"{columns}, run long")
+    placed = common.staged(dealt.groupBy("run").applyInPandas(work, f"{own}, run long, sequence_id long, offset long"), "pack-runs")
+    before, rows = 0, []
+    for r in placed.groupBy("run").agg((F.max("sequence_id") + 1).alias("n")).orderBy("run").collect():  # a row for some 10^7 tokens
+        rows.append((r.run, before))
+        before += r.n
+    base = spark.createDataFrame(rows, "run long, base long")
+    kept = [c for c in cut_up.columns if c != order]
+    return placed.join(F.broadcast(base), "run").select(*kept, (F.col("sequence_id") + F.col("base")).alias("sequence_id"), "offset")
+
+
+def pack(docs: DataFrame, length: int = LENGTH, order: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece; in the documents'
+    ``order``, if there is such a column."""
+    cut_up = common.staged(pieces(docs, length, order=order), "pack-pieces")
+    return assign_in_order(cut_up, order, length) if order else assign(cut_up, length)
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:

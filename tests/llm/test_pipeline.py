@@ -77,3 +77,35 @@ def test_odd_rows(spark, tmp_path):
     assert sorted((r.doc_id for r in got), key=str) == [3, None]
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
     assert pii.redact(docs).columns == docs.columns
+
+
+def test_mix_reaches_sequences(spark):
+    """The rarer of two sources has its weight's share of the early sequences and none of the last ones;
+    fails without the mixing stage."""
+    docs = spark.range(22000).selectExpr("id AS doc_id", "rtrim(repeat('word ', 200 + int(pmod(hash(id), 150)))) AS text", "'en' AS lang", "if(id % 11 = 0, 'b', 'a') AS source", "1L AS n_chars")
+    for _, f in corpus_pipeline.STAGES[[n for n, _ in corpus_pipeline.STAGES].index("PII") + 1 :]:
+        docs = f(spark, docs, "")
+    got = docs.selectExpr("sequence_id", "if(doc_id % 11 = 0, length, 0) AS b", "length").groupBy("sequence_id").sum("b", "length").orderBy("sequence_id").collect()
+    share = lambda rows: sum(r[1] for r in rows) / sum(r[2] for r in rows)
+    n, weight = len(got), 1 / (1 + 10**0.7)
+    assert [r.sequence_id for r in got] == list(range(n)) and all(r[2] <= 2048 for r in got)
+    assert abs(share(got[: n // 3]) - weight) < 0.01 and share(got[-n // 10 :]) == 0
+    assert n <= -(-sum(r[2] for r in got) // 2048) * 1.02
+
+
+def test_near_dedup_is_exact(spark):
+    """On the smallest table, what stays is one document of each component of all pairs at 0.8."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    sets, root = {d: set(simhash._shingles(t, 5).tolist()) for d, t in texts.items()}, {d: d for d in texts}
+    changed = True
+    while changed:
+        changed = False
+        for i in texts:
+            for j in texts:
+                if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()}
+    assert kept == {d for d in texts if root[d] == d} and {185, 192} <= kept
