@@ -11,6 +11,10 @@ is calibrated: for ``PROBES`` queries the true neighbours are found among all ro
 number is taken that reaches ``RECALL`` for them. On vectors spread evenly in all directions that is
 a large part of the rows, whatever the hash; on vectors in clusters it is a small one.
 
+A vector found in several trees counts as several candidates, so a query may see fewer than K others.
+Such queries, and only they, ascend again with eight times the candidates until they have K or have seen
+all rows.
+
 Equal vectors are folded into one before, with their K + 1 smallest ids: more can't be in a result.
 The arrays are dealt out by prefix, large ones also by salt; each task keeps the best of what it sees.
 
@@ -157,69 +161,80 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
     n = int(forest.below[0][-1])
     wanted = _calibrated(index, forest, n, k, recall)
 
-    probe = index.filter("asked").select("codes")
-
-    def leveled(frames):
-        for f in frames:
-            if len(f):
-                at, n = np.unique(forest.level(np.stack(f["codes"].to_numpy()), wanted), return_counts=True)
-                yield pd.DataFrame({"level": at, "n": n})
-
-    used = {r.level: r.n for r in probe.mapInPandas(leveled, "level int, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    half, seen, cut = sum(used.values()) / 2, 0, 0
-    for cut in sorted(used):
-        seen += used[cut]
-        if seen >= half:
-            break
-    cut = max(0, cut - 1)  # the prefix by which the arrays are dealt out; most queries need one range of it
-    shift = levels - cut
-    edges = forest.below[:, :: 1 << shift]
-    salts = -(-np.diff(edges, axis=1) // PART)
-
-    def deal(frames):
-        for f in frames:
-            if not len(f):
-                continue
-            codes, reps, asked = np.stack(f["codes"].to_numpy()), f["rep"].to_numpy(np.int64), f["asked"].to_numpy(bool)
-            chunk = codes >> shift
-            for t in range(trees):
-                salt = reps * 0x9E3779B1 % (1 << 31) % np.maximum(salts[t][chunk[:, t]], 1)
-                yield pd.DataFrame({"tree": t, "chunk": chunk[:, t], "salt": salt, "code": codes[:, t], "level": -1, "rep": reps, "vec": f["vec"]})
-            if asked.any():
-                q = np.flatnonzero(asked)
-                level = forest.level(codes[q], wanted)
+    def nearest(index: DataFrame, wanted: int) -> DataFrame:
+        probe = index.filter("asked").select("codes")
+
+        def leveled(frames):
+            for f in frames:
+                if len(f):
+                    at, n = np.unique(forest.level(np.stack(f["codes"].to_numpy()), wanted), return_counts=True)
+                    yield pd.DataFrame({"level": at, "n": n})
+
+        used = {r.level: r.n for r in probe.mapInPandas(leveled, "level int, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()}
+        half, seen, cut = sum(used.values()) / 2, 0, 0
+        for cut in sorted(used):
+            seen += used[cut]
+            if seen >= half:
+                break
+        cut = max(0, cut - 1)  # the prefix by which the arrays are dealt out; most queries need one range of it
+        shift = levels - cut
+        edges = forest.below[:, :: 1 << shift]
+        salts = -(-np.diff(edges, axis=1) // PART)
+
+        def deal(frames):
+            for f in frames:
+                if not len(f):
+                    continue
+                codes, reps, asked = np.stack(f["codes"].to_numpy()), f["rep"].to_numpy(np.int64), f["asked"].to_numpy(bool)
+                chunk = codes >> shift
                 for t in range(trees):
-                    low = codes[q, t] >> (levels - level)
-                    first = np.where(level >= cut, low >> np.maximum(level - cut, 0), low << np.maximum(cut - level, 0))
-                    rows = [(i, c, s) for i, a, w in zip(range(len(q)), first.tolist(), (1 << np.maximum(cut - level, 0)).tolist(), strict=True) for c in range(a, a + w) for s in range(salts[t][c])]
-                    if rows:
-                        i, c, s = np.array(rows, np.int64).T
-                        yield pd.DataFrame({"tree": t, "chunk": c, "salt": s, "code": codes[q[i], t], "level": level[i], "rep": reps[q[i]], "vec": f["vec"].to_numpy()[q[i]]})
-
-    def scan(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["code", "rep"], kind="stable")
-        item = f["level"].to_numpy() < 0
-        codes, ids = f["code"].to_numpy(np.int64)[item], f["rep"].to_numpy(np.int64)[item]
-        ask = f[~item]
-        if not len(ids) or not len(ask):
-            return pd.DataFrame({"q": [], "rep": [], "score": []})
-        x, q = _matrix(f["vec"].to_numpy()[item]), _matrix(ask["vec"].to_numpy())
-        level, code, qid = ask["level"].to_numpy(np.int64), ask["code"].to_numpy(np.int64), ask["rep"].to_numpy(np.int64)
-        low = (code >> (levels - level)) << (levels - level)
-        lo, hi = np.searchsorted(codes, low), np.searchsorted(codes, low + (1 << (levels - level)))
-        out = []
-        for a, b in sorted(set(zip(lo.tolist(), hi.tolist(), strict=True))):
-            if a < b:
-                own = np.flatnonzero((lo == a) & (hi == b))
-                for s in range(0, len(own), 256):
-                    i, rep, score = _search(x[a:b], ids[a:b], q[own[s : s + 256]], k + 1)
-                    out.append(pd.DataFrame({"q": qid[own[s : s + 256]][i], "rep": rep, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"q": [], "rep": [], "score": []})
-
-    dealt = index.mapInPandas(deal, "tree int, chunk long, salt long, code long, level int, rep long, vec binary")
-    found = dealt.groupBy("tree", "chunk", "salt").applyInPandas(scan, "q long, rep long, score double").distinct()
-    best = _top(found, "q", k + 1).join(fold.select("rep", "members"), "rep")
-    best = _top(best.select("q", "score", F.explode("members").alias("rep")), "q", k + 1)
+                    salt = reps * 0x9E3779B1 % (1 << 31) % np.maximum(salts[t][chunk[:, t]], 1)
+                    yield pd.DataFrame({"tree": t, "chunk": chunk[:, t], "salt": salt, "code": codes[:, t], "level": -1, "rep": reps, "vec": f["vec"]})
+                if asked.any():
+                    q = np.flatnonzero(asked)
+                    level = forest.level(codes[q], wanted)
+                    for t in range(trees):
+                        low = codes[q, t] >> (levels - level)
+                        first = np.where(level >= cut, low >> np.maximum(level - cut, 0), low << np.maximum(cut - level, 0))
+                        rows = [(i, c, s) for i, a, w in zip(range(len(q)), first.tolist(), (1 << np.maximum(cut - level, 0)).tolist(), strict=True) for c in range(a, a + w) for s in range(salts[t][c])]
+                        if rows:
+                            i, c, s = np.array(rows, np.int64).T
+                            yield pd.DataFrame({"tree": t, "chunk": c, "salt": s, "code": codes[q[i], t], "level": level[i], "rep": reps[q[i]], "vec": f["vec"].to_numpy()[q[i]]})
+
+        def scan(f: pd.DataFrame) -> pd.DataFrame:
+            f = f.sort_values(["code", "rep"], kind="stable")
+            item = f["level"].to_numpy() < 0
+            codes, ids = f["code"].to_numpy(np.int64)[item], f["rep"].to_numpy(np.int64)[item]
+            ask = f[~item]
+            if not len(ids) or not len(ask):
+                return pd.DataFrame({"q": [], "rep": [], "score": []})
+            x, q = _matrix(f["vec"].to_numpy()[item]), _matrix(ask["vec"].to_numpy())
+            level, code, qid = ask["level"].to_numpy(np.int64), ask["code"].to_numpy(np.int64), ask["rep"].to_numpy(np.int64)
+            low = (code >> (levels - level)) << (levels - level)
+            lo, hi = np.searchsorted(codes, low), np.searchsorted(codes, low + (1 << (levels - level)))
+            out = []
+            for a, b in sorted(set(zip(lo.tolist(), hi.tolist(), strict=True))):
+                if a < b:
+                    own = np.flatnonzero((lo == a) & (hi == b))
+                    for s in range(0, len(own), 256):
+                        i, rep, score = _search(x[a:b], ids[a:b], q[own[s : s + 256]], k + 1)
+                        out.append(pd.DataFrame({"q": qid[own[s : s + 256]][i], "rep": rep, "score": score}))
+            return pd.concat(out) if out else pd.DataFrame({"q": [], "rep": [], "score": []})
+
+        dealt = index.mapInPandas(deal, "tree int, chunk long, salt long, code long, level int, rep long, vec binary")
+        found = dealt.groupBy("tree", "chunk", "salt").applyInPandas(scan, "q long, rep long, score double").distinct()
+        best = _top(found, "q", k + 1).join(fold.select("rep", "members"), "rep")
+        return common.staged(_top(best.select("q", "score", F.explode("members").alias("rep")), "q", k + 1), "ann-best")
+
+    best, least = nearest(index, wanted), min(k + 1, vectors.count())
+    while wanted < n * trees:  # at which all rows are candidates
+        short = common.staged(best.groupBy("q").count().filter(F.col("count") < least).select("q"), "ann-short")
+        if short.isEmpty():
+            break
+        wanted = min(8 * wanted, n * trees)
+        again = index.drop("asked").join(short.select(F.col("q").alias("rep"), F.lit(True).alias("asked")), "rep", "left")
+        again = common.staged(again.select("rep", F.coalesce("asked", F.lit(False)).alias("asked"), "codes", "vec"), "ann-again")
+        best = best.join(short, "q", "left_anti").unionByName(nearest(again, wanted))
     lists = best.groupBy("q").agg(F.collect_list(F.struct("rep", "score")).alias("near"))
     full = queries.join(lists, "q").select("query_id", F.explode("near").alias("x")).select("query_id", "x.rep", "x.score").filter("rep <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "rep"))

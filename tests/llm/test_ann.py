@@ -68,3 +68,15 @@ def test_levels():
         for c, level in zip(codes[:40], got, strict=True):
             totals = [(ann._common(codes, c[None, :], 6) >= x).sum() for x in range(7)]
             assert level == max((x for x in range(7) if totals[x] >= wanted), default=0)
+
+
+def test_every_query_is_filled(spark):
+    """Queries in groups of six near-equal vectors still get 20 neighbours, among large clusters."""
+    rng = np.random.default_rng(5)
+    mid = rng.standard_normal((3, 16)) * 3
+    x = mid[rng.integers(3, size=3000)] + rng.standard_normal((3000, 16)) * 0.02
+    for q in (20, 40):
+        x[q : q + 6] = rng.standard_normal(16) * 3 + rng.standard_normal((6, 16)) * 1e-6
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, "vec_id % 20 = 0").groupBy("query_id").agg({"vec_id": "count", "rank": "max"}).collect()
+    assert len(got) == 150 and all(r[1] == r[2] == 20 for r in got)
