@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -40,9 +40,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bounds the rows that reach Python at a time, so that long texts don't fill a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def parts(batches, rows: int = 500):
+    """Record batches cut to ``rows`` rows at most, so that a task builds its results for few texts at a
+    time. Spark bounds the batches themselves by bytes."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def before(rows: DataFrame, key: str, value: str, within: str | None = None, wide: int = 4096) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``value`` over all rows of a smaller ``key`` (a long of at
+    least 0; a row for each key, and for each ``within``). Counted in two levels, so that no task orders
+    more than ``wide`` keys; only sums of ``wide`` keys are ordered together."""
+    by = [within] if within else []
+    at = rows.withColumn("b_part", F.expr(f"`{key}` div {wide}"))
+    sums = at.groupBy(*by, "b_part").agg(F.sum(value).alias("b_sum"))
+    of = Window.partitionBy(*by).orderBy("b_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*by, "b_part", F.coalesce(F.sum("b_sum").over(of), F.lit(0)).alias("b_start"))
+    own = Window.partitionBy(*by, "b_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    at = at.withColumn("b_own", F.coalesce(F.sum(value).over(own), F.lit(0))).join(sums, [*by, "b_part"])
+    return at.withColumn("before", F.col("b_start") + F.col("b_own")).drop("b_part", "b_own", "b_start")
 
 
 def text_or_empty(name: str = "text") -> Column:

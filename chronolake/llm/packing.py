@@ -4,26 +4,31 @@ Texts become ids in Python tasks; a document longer than a sequence is cut into
 first piece being the shorter one. What has to be packed is then only a histogram: how many pieces
 there are of each length, at most as many entries as a sequence has tokens, however large the corpus.
 The histogram is solved on the driver by bin completion: around the largest remaining length, take
-an undominated filling of the rest (larger pieces first), as often as the counts allow; branch over
-the next fillings, prune a branch once its waste exceeds what the incumbent allows, and keep the
-best-fit-decreasing solution as first incumbent. The search stops at the lower bound or after
-``NODES`` steps; the incumbent is then the answer. The solution is a list of patterns, each with a
-number of copies; a piece finds its place by its rank among the pieces of its length.
+an undominated filling of the rest, as often as the counts allow; branch over all other fillings and
+over fewer copies, prune a branch once its waste exceeds what the incumbent allows or its state was
+met before with as few sequences, and keep the best-fit-decreasing solution as first incumbent. The
+search ends at the lower bound, or when nothing is left to try, or after ``nodes`` steps (None: no
+bound, an exact search); ``Solution`` says how many sequences no packing can do without and whether
+the result is proven to be the fewest. The solution is a list of patterns, each with a number of
+copies; a piece finds its place by its rank among the pieces of its length.
 
-Ranks are counted in two levels (length, then a salt), so that a length that very many pieces share
-isn't ordered in one task.
+Ranks are counted in two levels (length, then as many salts as the length's count asks for), so that
+a length that very many pieces share isn't ordered in one task.
 
 Nulls: a null text counts as empty and still has its end token. Null or repeated doc_ids and repeated
-rows are packed like any other. Extra columns are ignored. An empty table gives an empty result.
+rows are packed like any other; pieces that are equal in all columns may change places. Very long texts
+are encoded whole, one at a time. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
+import json
 import re
 import zlib
 from collections import Counter
-from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,7 +38,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-LENGTH, END, NODES, BRANCHES, SALTS, WORDS_KEPT = 2048, 0, 20000, 4, 64, 200_000
+LENGTH, END, NODES, ROWS, WORDS_KEPT = 2048, 0, 20_000, 20_000, 200_000
 SPAN, TOKENS = 4096, 1 << 21
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,19 +46,22 @@ _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers. A text is cut before single spaces,
-    where its ids can't depend on each other, and the ids of ``WORDS_KEPT`` words are remembered;
-    a text in which a space meets other white space is encoded in one piece."""
+    """Ids of a text as little-endian unsigned 32-bit integers, as the tokenizer file has them. A text is
+    first cut at the tokenizer's added tokens, then before single spaces, where its ids can't depend on
+    each other; the ids of ``WORDS_KEPT`` words are remembered. A part in which a space meets other white
+    space is encoded as a whole."""
 
     _odd = re.compile(r" \s|\s ")
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self.plain(text), "<u4").tobytes()
@@ -65,6 +73,12 @@ class Encoder:
         return found
 
     def __call__(self, text: str) -> bytes:
+        if self.cuts and self.cuts.search(text):
+            parts = self.cuts.split(text)
+            return b"".join(self.added[p] if k % 2 else self._part(p) for k, p in enumerate(parts))
+        return self._part(text)
+
+    def _part(self, text: str) -> bytes:
         if self._odd.search(text):
             return self._bytes(text)
         first, *rest = text.split(" ")
@@ -78,7 +92,9 @@ def encoder() -> Encoder:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     if path not in _encoders:
-        _encoders[path] = Encoder(path, public_tokenizers.PATTERN)
+        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        _encoders[path] = Encoder(path, public_tokenizers.PATTERN, added)
     return _encoders[path]
 
 
@@ -90,12 +106,11 @@ def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, length: int = LENGTH, with_ids: bool = False, order: str | None = None) -> DataFrame:
     """The pieces of all documents; with their ids or their document's ``order`` (a long), if asked for."""
-    common.small_batches(docs.sparkSession)
     end = np.array([END], "<u4").tobytes()
 
     def work(batches):
         encode = encoder()
-        for batch in batches:
+        for batch in common.parts(batches):
             out: list[list] = [[] for _ in range(6)]
             places = []
             for i, (doc_id, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True)):
@@ -112,7 +127,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, with_ids: bool = False, order:
                 arrays, named = [*arrays, batch[order].take(pa.array(places, pa.int64()))], [*named, order]
             yield pa.RecordBatch.from_arrays(arrays, names=named)
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(order).cast("long").alias(order)] if order else []))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col(order).cast("long").alias(order)] if order else []))
     return given.mapInArrow(work, PIECES + ", ids array<int>" * with_ids + (f", {order} long" if order else ""))
 
 
@@ -134,9 +149,24 @@ def best_fit(counts: dict[int, int], length: int) -> list[tuple[int, tuple[tuple
     return [(c, tuple(sorted(p.items(), reverse=True))) for bins in rooms for c, p in bins]
 
 
+def _dominated(filling, left: dict[int, int], sizes: list[int], slack: int) -> bool:
+    """Could a piece that is still there take the place of some of the filling's (or of nothing), that
+    are together no larger, and at least two or smaller? Then the other filling is as good."""
+    some, two = 1, 0  # bit t: pieces of sum t can be taken out; two of them or more
+    for s, k in filling:
+        for _ in range(k):
+            two |= two << s | (some & ~1) << s
+            some |= some << s
+    used = dict(filling)
+    for s in sizes:
+        if left[s] > used.get(s, 0) and ((some >> max(0, s - slack) & ((1 << (s - max(0, s - slack))) - 1)) or two >> s & 1):
+            return True
+    return False
+
+
 def _fillings(sizes: list[int], counts: dict[int, int], room: int):
-    """Fillings of ``room``, best sum first and, of equal sums, those with larger pieces first. One
-    whose pieces could be exchanged for a single piece that is there comes after it (dominated)."""
+    """The undominated fillings of ``room``, best sum first and, of equal sums, those with larger pieces
+    first."""
     sizes = [s for s in sizes if s <= room and counts[s]]
     reach = [1] * (len(sizes) + 1)
     mask = (1 << (room + 1)) - 1
@@ -162,58 +192,93 @@ def _fillings(sizes: list[int], counts: dict[int, int], room: int):
                 for rest in of(i + 1, total - k * sizes[i]):
                     yield ((sizes[i], k), *rest) if k else rest
 
-    total = reach[0].bit_length() - 1
-    while total >= 0:
+    for total in range(reach[0].bit_length() - 1, -1, -1):
         if reach[0] >> total & 1:
-            yield from of(0, total)
-        total -= 1
+            for filling in of(0, total):
+                if not _dominated(filling, counts, sizes, room - total):
+                    yield filling
+
+
+class Solution(NamedTuple):
+    patterns: list[tuple[int, tuple[tuple[int, int], ...]]]
+    sequences: int
+    bound: int  # no packing needs fewer
+    proven: bool  # nor is there one with fewer than ``sequences``
+
+
+def least_sequences(counts: dict[int, int], length: int) -> int:
+    """A lower bound: pieces above half a sequence are alone among themselves, and what lies in the room
+    beside them can't be used for pieces of ``k`` or more unless it is that large."""
+    n, total = np.zeros(length + 2, np.int64), np.zeros(length + 2, np.int64)
+    for s, c in counts.items():
+        n[s], total[s] = c, s * c
+    n, total = np.cumsum(n), np.cumsum(total)
+    best, half = -(-int(total[length]) // length), length // 2
+    for k in range(half + 1):
+        large, top = int(n[length] - n[length - k]), length - k
+        middle, held = int(n[max(half, top)] - n[half]), int(total[max(half, top)] - total[half])
+        small = int(total[half] - total[max(k - 1, 0)])
+        best = max(best, large + middle + max(0, -(-(small - (middle * length - held)) // length)))
+    return best
 
 
-def complete(counts: dict[int, int], length: int = LENGTH, nodes: int = NODES) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-    """Patterns for the histogram by bin completion, never worse than best fit decreasing."""
-    left = {s: c for s, c in counts.items() if c}
-    best, total, sizes = best_fit(left, length), sum(s * c for s, c in left.items()), sorted(left, reverse=True)
-    fewest, bound = sum(c for c, _ in best), -(-total // length)
-    levels: list = []  # of each level: the largest piece and the fillings still to try
+def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = NODES) -> Solution:
+    """The histogram's packing by bin completion, never worse than best fit decreasing."""
+    left = {s: counts[s] for s in sorted(counts, reverse=True) if counts[s]}
+    best, total, sizes = best_fit(left, length), sum(s * c for s, c in left.items()), list(left)
+    fewest, bound = sum(c for c, _ in best), least_sequences(left, length)
     chosen: list = []
-    spent = [0, 0, 0]  # bins, waste, steps
-
-    def put(copies: int, pattern, sign: int = 1) -> None:
+    met: dict[bytes, int] = {}  # of each state, the fewest sequences it was met with
+    bins = waste = steps = 0
+
+    def branches():
+        """(copies, pattern) to try from this state, whose counts are the same whenever it goes on."""
+        top = next(s for s in sizes if left[s])
+        own = left | {top: left[top] - 1}
+        for filling in _fillings(sizes, own, length - top):
+            need = Counter({top: 1})
+            need.update(dict(filling))
+            lost = length - sum(s * k for s, k in need.items())
+            room = (fewest - 1) * length - total - waste
+            if lost > room:
+                return
+            copies = min(left[s] // k for s, k in need.items())
+            copies = min(copies, room // lost) if lost else copies
+            while copies:
+                yield copies, tuple(sorted(need.items(), reverse=True)), lost
+                copies //= 2
+
+    levels = [branches()] if fewest > bound else []
+    while levels and fewest > bound and (nodes is None or steps < nodes):
+        steps += 1
+        found = next(levels[-1], None)
+        if found is None:
+            levels.pop()
+            if chosen:
+                copies, pattern, lost = chosen.pop()
+                bins, waste = bins - copies, waste - copies * lost
+                for s, k in pattern:
+                    left[s] += copies * k
+            continue
+        copies, pattern, lost = found
+        if waste + copies * lost > (fewest - 1) * length - total:
+            continue
         for s, k in pattern:
-            left[s] -= sign * copies * k
-        spent[0] += sign * copies
-        spent[1] += sign * copies * (length - sum(s * k for s, k in pattern))
-
-    while fewest > bound and spent[2] < nodes:
-        top = next((s for s in sizes if left[s]), None)
-        if top is None:
-            if spent[0] < fewest:
-                best, fewest = list(chosen), spent[0]
-                continue
-            put(*chosen.pop(), -1)
-        else:
-            left[top] -= 1
-            levels.append((top, iter(list(islice(_fillings([s for s in sizes if left[s]], left, length - top), BRANCHES)))))
-            left[top] += 1
-        while levels:
-            top, fillings = levels[-1]
-            spent[2] += 1
-            filling = next(fillings, None)
-            if filling is not None:
-                need = Counter({top: 1})
-                need.update(dict(filling))
-                copies = min(left[s] // k for s, k in need.items())
-                lost = copies * (length - sum(s * k for s, k in need.items()))
-                if spent[1] + lost <= (fewest - 1) * length - total:
-                    chosen.append((copies, tuple(sorted(need.items(), reverse=True))))
-                    put(*chosen[-1])
-                    break
-            levels.pop()  # no filling left, or none that beats the incumbent
-            if levels:
-                put(*chosen.pop(), -1)
-        if not levels:
-            break
-    return best
+            left[s] -= copies * k
+        bins, waste = bins + copies, waste + copies * lost
+        state = hashlib.blake2b(np.fromiter(left.values(), np.int64, len(left)).tobytes(), digest_size=16).digest()
+        done, again = not any(left.values()), met.get(state, bins + 1) <= bins
+        if done and bins < fewest:
+            best, fewest = [(c, p) for c, p, _ in chosen] + [(copies, pattern)], bins
+        if done or again:
+            bins, waste = bins - copies, waste - copies * lost
+            for s, k in pattern:
+                left[s] += copies * k
+            continue
+        met[state] = bins
+        chosen.append(found)
+        levels.append(branches())
+    return Solution(best, fewest, bound, fewest == bound or not levels)
 
 
 class Plan:
@@ -238,26 +303,27 @@ class Plan:
         return self.base[i] + copy, self.offset[i] + nth * size
 
 
-def assign(cut_up: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The pieces (a written table) with sequence_id and offset."""
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")
-    salted = cut_up.withColumn("salt", salt)
+def assign(cut_up: DataFrame, length: int = LENGTH, nodes: int | None = NODES) -> DataFrame:
+    """The pieces (a written table) with sequence_id, offset, fewest_possible (a lower bound of the number
+    of sequences) and proven (is there no packing with fewer?)."""
+    counts = {r.length: r.n for r in cut_up.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `length` rows
+    found = complete(counts, length, nodes)
+    plan = Plan(found.patterns)
+    salts = F.create_map(*(F.lit(x) for n, c in sorted(counts.items()) for x in (int(n), -(-c // ROWS)))) if counts else F.create_map().cast("map<bigint,bigint>")
+    salted = cut_up.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.coalesce(F.element_at(salts, F.col("length").cast("int")).cast("long"), F.lit(1))))
     cells = common.staged(salted.groupBy("length", "salt").count(), "pack-cells")
-    counts = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most `length` rows
-    plan = Plan(complete(counts, length))
-    before = F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
-    cells = cells.select("length", "salt", F.coalesce(before, F.lit(0)).alias("before"))
+    cells = common.before(cells, "salt", "count", "length").select("length", "salt", "before")
     nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32"))
     ranked = salted.withColumn("nth", nth).join(cells, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("nth") - 1)
 
     def work(frames):
         for f in frames:
             sequence, offset = plan.place(f["length"].to_numpy(np.int64), f["rank"].to_numpy(np.int64))
-            yield f.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
+            yield f.drop(columns="rank").assign(sequence_id=sequence, offset=offset, fewest_possible=found.bound, proven=found.proven)
 
     columns = cut_up.columns
     schema = ", ".join(f"{n} {t}" for n, t in cut_up.dtypes)
-    return ranked.select(*columns, "rank").mapInPandas(work, f"{schema}, sequence_id long, offset long")
+    return ranked.select(*columns, "rank").mapInPandas(work, f"{schema}, sequence_id long, offset long, fewest_possible long, proven boolean")
 
 
 def assign_in_order(cut_up: DataFrame, order: str, length: int = LENGTH, span: int = SPAN, tokens: int = TOKENS) -> DataFrame:
@@ -265,47 +331,31 @@ def assign_in_order(cut_up: DataFrame, order: str, length: int = LENGTH, span: i
     documents (column ``order``, a long of at least 0): runs of ``span`` places, short ones together, are
     packed each on their own, one after the other. In a run, pieces of one length are used in order and
     sequences stand by their first piece. A run costs its last sequence at most."""
-    spark = cut_up.sparkSession
-    spans = cut_up.groupBy(F.expr(f"{order} div {span}").alias("k")).agg(F.sum("length").alias("n")).orderBy("k").collect()
-    runs, filled = [], tokens
-    for r in spans:
-        if filled >= tokens:
-            runs.append(r.k)
-            filled = 0
-        filled += r.n
-    first = np.array(runs, np.int64)
-
-    def deal(frames):
-        for f in frames:
-            yield f.assign(run=np.searchsorted(first, f[order].to_numpy(np.int64) // span, side="right") - 1)
+    spans = cut_up.groupBy(F.expr(f"{order} div {span}").alias("at")).agg(F.sum("length").alias("n"))
+    spans = common.before(common.staged(spans, "pack-spans"), "at", "n").select("at", F.expr(f"before div {tokens}").alias("run"))
+    dealt = cut_up.withColumn("at", F.expr(f"{order} div {span}")).join(spans, "at").drop("at")
 
     def work(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values([order, "piece", "doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
-        plan = Plan(complete(dict(Counter(f["length"].tolist())), length))
+        plan = Plan(complete(dict(Counter(f["length"].tolist())), length).patterns)
         sequence, offset = plan.place(f["length"].to_numpy(np.int64), f.groupby("length").cumcount().to_numpy(np.int64))
         head = np.unique(sequence, return_index=True)[1]  # of each sequence, its first piece's place
         number = np.empty(len(head), np.int64)
         number[np.argsort(head, kind="stable")] = np.arange(len(head))
         return f.drop(columns=order).assign(sequence_id=number[sequence], offset=offset)
 
-    columns = ", ".join(f"{n} {t}" for n, t in cut_up.dtypes)
     own = ", ".join(f"{n} {t}" for n, t in cut_up.dtypes if n != order)
-    dealt = cut_up.mapInPandas(deal, f"{columns}, run long")
     placed = common.staged(dealt.groupBy("run").applyInPandas(work, f"{own}, run long, sequence_id long, offset long"), "pack-runs")
-    before, rows = 0, []
-    for r in placed.groupBy("run").agg((F.max("sequence_id") + 1).alias("n")).orderBy("run").collect():  # a row for some 10^7 tokens
-        rows.append((r.run, before))
-        before += r.n
-    base = spark.createDataFrame(rows, "run long, base long")
+    base = common.before(placed.groupBy("run").agg((F.max("sequence_id") + 1).alias("n")), "run", "n").select("run", "before")
     kept = [c for c in cut_up.columns if c != order]
-    return placed.join(F.broadcast(base), "run").select(*kept, (F.col("sequence_id") + F.col("base")).alias("sequence_id"), "offset")
+    return placed.join(base, "run").select(*kept, (F.col("sequence_id") + F.col("before")).alias("sequence_id"), "offset")
 
 
-def pack(docs: DataFrame, length: int = LENGTH, order: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece; in the documents'
-    ``order``, if there is such a column."""
+def pack(docs: DataFrame, length: int = LENGTH, order: str | None = None, nodes: int | None = NODES) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece (and what ``assign``
+    adds); in the documents' ``order``, if there is such a column."""
     cut_up = common.staged(pieces(docs, length, order=order), "pack-pieces")
-    return assign_in_order(cut_up, order, length) if order else assign(cut_up, length)
+    return assign_in_order(cut_up, order, length) if order else assign(cut_up, length, nodes)
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:

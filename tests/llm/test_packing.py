@@ -18,7 +18,7 @@ def test_solver(seed):
     counts[length] += rng.randint(0, 3)
     if seed % 3 == 0:
         counts[max(1, length // 3)] += 5000
-    for solve in (packing.best_fit, packing.complete):
+    for solve in (packing.best_fit, lambda c, n: packing.complete(c, n).patterns):
         plan = solve(dict(counts), length)
         used = Counter()
         for copies, pattern in plan:
@@ -26,7 +26,9 @@ def test_solver(seed):
             for s, k in pattern:
                 used[s] += copies * k
         assert used == +counts
-    bins = sum(c for c, _ in packing.complete(dict(counts), length))
+    found = packing.complete(dict(counts), length)
+    bins = sum(c for c, _ in found.patterns)
+    assert bins == found.sequences and found.bound <= bins
     assert -(-sum(s * c for s, c in counts.items()) // length) <= bins <= sum(c for c, _ in packing.best_fit(dict(counts), length))
 
 
@@ -55,16 +57,36 @@ def fewest(items, length):
 def test_near_optimal(seed):
     rng = random.Random(seed)
     items = sorted((rng.randint(10, 70) for _ in range(9)), reverse=True)
-    got = sum(c for c, _ in packing.complete(Counter(items), 100))
-    assert got == fewest(items, 100)
+    got = packing.complete(Counter(items), 100)
+    assert got.sequences == fewest(items, 100) and got.proven
 
 
-TEXTS = ["", None, "Hello world", " lead", "trail ", "two  spaces", "a \nb\n c\t d", "x\n\n  y", "é😀 naïve 中文 text", "don't we'll", "12 345,6 ", "a b " * 3000, "<|endoftext|> x", "  nb  sp", "word " * 2047, "q" * 5000]
+@pytest.mark.parametrize("seed", range(60))
+def test_exact(seed):
+    """The search without a bound of steps against everything, also with repeated lengths."""
+    rng = random.Random(seed)
+    length = rng.choice([20, 100, 101, 60])
+    pool = [rng.randint(length // 8, 3 * length // 4) for _ in range(rng.randint(2, 10))]
+    items = sorted((rng.choice(pool) for _ in range(11)), reverse=True)
+    got = packing.complete(Counter(items), length, None)
+    best = fewest(items, length)
+    assert got.sequences == best == sum(c for c, _ in got.patterns) and got.proven and got.bound <= best
+    assert packing.least_sequences(Counter(items), length) <= best
+
+
+def test_steps_are_bounded():
+    """Where the bound of steps ends the search, the result says that it isn't proven."""
+    rng = random.Random(3)
+    hard = Counter(rng.choice([341, 342, 343, 512, 683, 684, 700]) * 2 + 1 for _ in range(400))
+    few, many = packing.complete(dict(hard), 2048, 10), packing.complete(dict(hard), 2048, 3000)
+    assert few.bound <= many.sequences <= few.sequences and (few.proven is False or few.sequences == few.bound)
+
+
+TEXTS = ["", None, "Hello world", " lead", "trail ", "two  spaces", "a \nb\n c\t d", "x\n\n  y", "é😀 naïve 中文 text", "don't we'll", "12 345,6 ", "a b " * 3000, "<|endoftext|> x", "a <|endoftext|>  b", "x<|endoftext|><|endoftext|>", "  nb  sp", "word " * 2047, "q" * 5000]
 
 
 def test_ids():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rng = random.Random(2)
     more = ["".join(rng.choice([" ", "  ", "\n", "a", "B", "ing", ".", "'s", "é", "9", "\t", " "]) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
     for t in TEXTS + more:
