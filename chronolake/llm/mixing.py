@@ -1,109 +1,199 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-A source's documents, in an order given by a hash, form blocks of ``BLOCK`` documents. Weights are
-rounded to multiples of 1/``PERIOD`` (each source has at least one); block j of a source of weight w is
-released at slot floor(j / w) and due by slot ceil((j + 1) / w). In every slot the released block with
-the earliest deadline runs. One period has exactly PERIOD * w blocks of each source, so the schedule
-repeats and only one period is worked out, whatever the size of the corpus; block k of a source finds
-its slot from k alone. After any number of slots a source has had its share to within less than one
-block. A slot whose source has run out is skipped, so every document has its place and none is left out.
+A source's documents, in an order given by a hash, form blocks of ``BLOCK`` documents. Weights are exact
+fractions (``shares``: whole numbers that stand to each other as the weights do, whose sum is the
+period). Block j of a source of weight w is released at slot floor(j / w) and due by slot
+ceil((j + 1) / w); in every slot the released block with the earliest deadline runs. After any number of
+slots each source has had its weight's share to within less than one block.
+
+Sources don't end at the same slot. When one has no block left, a new phase begins, in which the others
+share the slots as their weights stand to each other; the bound holds in every phase, counted from its
+first slot. So no slot is empty, and there are as many slots as blocks.
+
+Only a phase's first period has to be worked out, as the schedule repeats. Where weights have no
+period of ``PERIOD`` slots or less (1/3 given as a float has one of 2^54), the driver runs through the blocks once,
+keeping the state of the schedule at every ``SEGMENT``-th slot, and tasks work out the segments from
+there. A block finds its slot by a join on source and number.
 
 Ranks within a source are counted in two levels (source, then a hash bucket), so that a source that
-holds most documents isn't ordered in one task.
+holds most documents isn't ordered in one task. The number of sources must be small against a corpus:
+their sizes go through the driver.
 
-The number of sources must be small against a corpus: their sizes and the period go through the driver.
-Without given weights a source's weight is its number of documents to the power ``POWER``.
+Without given weights, a source's weight (column m_weight) is its number of documents to the power
+``POWER``, rounded to whole parts in ``PARTS`` of the sum, one part at least: nobody's target, but a
+usual flattening.
 
-Nulls: a null source is scheduled as the source ''. Sources without a given weight get the least one.
-Null or repeated doc_ids and repeated rows are placed like any other; extra columns are kept. An empty
-table gives an empty result.
+Nulls: a null source is scheduled as the source ''. A source with weight 0, or that given weights don't
+name, has no slot: its m_slot, m_release and m_deadline are null. Negative weights are an error. Null or
+repeated doc_ids and repeated rows are placed like any other, equal rows in any order; texts of any
+length are only hashed; extra columns are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
+from fractions import Fraction
+from math import gcd, lcm
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-BLOCK, PERIOD, POWER, ROWS = 64, 4096, 0.7, 20_000
+BLOCK, POWER, PARTS, ROWS, SEGMENT, PERIOD, FEW = 64, 0.7, 10_000, 20_000, 1 << 17, 1 << 17, 4096
 AT = "mix_at"
 
 
-def shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Whole slots of each source in a period, by largest remainder, one at least."""
-    names, total = sorted(weights), sum(weights.values()) or 1.0
-    free = period - len(names)
-    exact = {s: max(0.0, weights[s]) / total * period - 1 for s in names}
-    room = sum(max(0.0, x) for x in exact.values()) or 1.0
-    exact = {s: max(0.0, x) * free / room for s, x in exact.items()}
-    out = {s: 1 + int(exact[s]) for s in names}
-    for s in sorted(names, key=lambda s: (int(exact[s]) - exact[s], s))[: period - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
-def schedule(slots: dict[str, int], period: int) -> list[tuple[str, int]]:
-    """(source, its block in the period) of each slot of a period: earliest deadline first among the
-    released. ``slots`` sum to ``period``."""
-    release = [(0, s, 0) for s in sorted(slots)]
-    heapq.heapify(release)
-    ready: list = []
-    out = []
-    for t in range(period):
-        while release and release[0][0] <= t:
-            _, s, j = heapq.heappop(release)
-            heapq.heappush(ready, (-(-(j + 1) * period // slots[s]), s, j))
-        _, s, j = heapq.heappop(ready)
-        out.append((s, j))
-        if j + 1 < slots[s]:
-            heapq.heappush(release, ((j + 1) * period // slots[s], s, j + 1))
-    return out
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def shares(weights: dict[str, float | Fraction]) -> dict[str, int]:
+    """Whole numbers without a common divisor, exactly in proportion to the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    if any(w < 0 for w in exact.values()):
+        raise ValueError("a weight is negative")
+    scale = lcm(*(w.denominator for w in exact.values())) if exact else 1
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    common_part = gcd(*whole.values()) or 1
+    return {s: n // common_part for s, n in whole.items()}
+
+
+def by_size(sizes: dict[str, int]) -> dict[str, int]:
+    """The weights of sources that nobody gave weights for, in parts of ``PARTS`` (of a little more, as
+    each has one at least)."""
+    total = sum(n**POWER for n in sizes.values())
+    return {s: max(1, round(PARTS * n**POWER / total)) for s, n in sizes.items()}
+
+
+class Edf:
+    """Earliest deadline first among the released blocks of sources with whole shares; ``state`` is what
+    it takes to go on from the present slot."""
+
+    def __init__(self, share: dict[str, int], state: tuple[int, dict[str, int]] | None = None):
+        self.share, self.period = share, sum(share.values())
+        self.slot, self.next = state[0], dict(state[1])
+        self.wait, self.ready = [], []
+        for s in sorted(share):
+            self._release(s)
+
+    @classmethod
+    def new(cls, share: dict[str, int]) -> Edf:
+        return cls(share, (0, dict.fromkeys(share, 0)))
+
+    def _release(self, s: str) -> None:
+        j, w = self.next[s], self.share[s]
+        heapq.heappush(self.wait, (j * self.period // w, s))
+
+    def step(self) -> tuple[str, int]:
+        """(source, block) of the present slot."""
+        while self.wait and self.wait[0][0] <= self.slot:
+            _, s = heapq.heappop(self.wait)
+            heapq.heappush(self.ready, (-(-(self.next[s] + 1) * self.period // self.share[s]), s))
+        _, s = heapq.heappop(self.ready)
+        j = self.next[s]
+        self.next[s], self.slot = j + 1, self.slot + 1
+        self._release(s)
+        return s, j
+
+    def state(self) -> tuple[int, dict[str, int]]:
+        return self.slot, dict(self.next)
+
+
+def window(j: int, share: int, period: int) -> tuple[int, int]:
+    """Release and deadline of block j."""
+    return j * period // share, -(-(j + 1) * period // share)
+
+
+def phases(blocks: dict[str, int], share: dict[str, int], segment: int = SEGMENT, period: int = PERIOD):
+    """The schedule of ``blocks`` (how many each source has) in pieces to be worked out apart: (first
+    slot, its phase's first slot, shares of the sources left, state within the phase, first block of
+    each in the phase, slots, how often they repeat)."""
+    left = {s: n for s, n in sorted(blocks.items()) if n and share.get(s)}
+    at, had = 0, dict.fromkeys(left, 0)
+    while left:
+        own = shares({s: share[s] for s in left})
+        edf, start, first = Edf.new(own), at, dict(had)
+        unit = max(1, FEW // edf.period)  # periods that are worked out together, so that few have to be repeated
+        times = min(left[s] // (own[s] * unit) for s in own)
+        if times and edf.period <= period:
+            yield at, start, own, edf.state(), first, edf.period * unit, times
+            edf = Edf(own, (times * unit * edf.period, {s: times * unit * own[s] for s in own}))
+            at += edf.slot
+        ended = any(edf.next[s] == left[s] for s in own)
+        while not ended:
+            begun, state = at, edf.state()
+            while at < begun + segment and not ended:
+                s, j = edf.step()
+                at, ended = at + 1, j + 1 == left[s]
+            yield begun, start, own, state, first, at - begun, 1
+        had |= {s: had[s] + edf.next[s] for s in own}
+        left = {s: left[s] - edf.next[s] for s in own if left[s] > edf.next[s]}
+
+
+def slots_of(piece) -> pd.DataFrame:
+    """m_source, m_block (of the whole source), slot, release and deadline of one piece's first run."""
+    begun, start, own, state, first, n, _ = piece
+    edf, rows = Edf(own, state), []
+    for k in range(n):
+        s, j = edf.step()
+        release, deadline = window(j, own[s], edf.period)
+        rows.append((s, first[s] + j, begun + k, start + release, start + deadline))
+    return pd.DataFrame(rows, columns=["m_source", "m_block", "m_slot", "m_release", "m_deadline"])
+
+
+def schedule(spark, blocks: dict[str, int], share: dict[str, int], segment: int = SEGMENT, period: int = PERIOD) -> DataFrame:
+    """m_source, m_block, m_slot, m_release, m_deadline of every block with a share; a written table."""
+    pieces = list(phases(blocks, share, segment, period))
+
+    def work(frames):
+        for f in frames:
+            for k in f["k"].tolist():
+                yield slots_of(pieces[k]).assign(k=k)
+
+    kinds = "m_source string, m_block long, m_slot long, m_release long, m_deadline long"
+    if not pieces:
+        return spark.createDataFrame([], kinds)
+    once = spark.range(len(pieces), numPartitions=min(len(pieces), 1024)).select(F.col("id").alias("k")).mapInPandas(work, kinds + ", k long")
+    each = [(k, s, own[s] * n // sum(own.values()), n, times) for k, (_, _, own, _, _, n, times) in enumerate(pieces) for s in own if times > 1]
+    again = spark.createDataFrame(each, "k long, m_source string, own long, slots long, times long")
+    rows = once.join(F.broadcast(again), ["k", "m_source"], "left")  # one piece at most of a phase repeats; a phase ends a source
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("times", F.lit(1)) - 1)))
+    on = lambda c, by: (F.col(c) + F.col("nth") * F.coalesce(by, F.lit(0))).alias(c)
+    return common.staged(rows.select("m_source", on("m_block", "own"), *(on(c, "slots") for c in ("m_slot", "m_release", "m_deadline"))), "mix-slots")
+
+
+def mix(docs: DataFrame, weights: dict[str, float | Fraction] | None = None, block: int = BLOCK, segment: int = SEGMENT, period: int = PERIOD) -> DataFrame:
     """The rows of ``docs`` (doc_id, source, ...) with m_source, m_weight, m_block (in its source),
     m_nth (in its block), m_slot, m_release and m_deadline."""
     spark = docs.sparkSession
-    df = docs.withColumn("m_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("m_hash", F.xxhash64("doc_id"))
+    text = [F.xxhash64(F.col("text").cast("string"))] if "text" in docs.columns else []
+    df = docs.withColumn("m_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("m_hash", F.xxhash64("doc_id", *text))
     sizes = {r.m_source: r.n for r in df.groupBy("m_source").agg(F.count("*").alias("n")).collect()}
-    given = weights if weights is not None else {s: n**POWER for s, n in sizes.items()}
-    least = min((w for w in given.values() if w > 0), default=1.0)
-    period = max(period, 4 * len(sizes))
-    slots = shares({s: given.get(s) or least for s in sizes}, period) if sizes else {}
-    plan = [(s, j, slots[s], t) for t, (s, j) in enumerate(schedule(slots, period))] if sizes else []
-    plan = spark.createDataFrame(plan, "m_source string, m_j long, m_share long, m_at long")
-    buckets = min(65536, max(64, sum(sizes.values()) // ROWS))
-    df = df.withColumn("m_bucket", F.pmod("m_hash", F.lit(buckets)))
+    share = shares(by_size(sizes) if weights is None else {s: weights.get(s, 0) for s in sizes})
+    blocks = {s: -(-n // block) for s, n in sizes.items()}
+    plan = schedule(spark, blocks, share, segment, period)
+    buckets = {s: -(-n // ROWS) for s, n in sizes.items()}
+    known = spark.createDataFrame([(s, buckets[s], float(Fraction(share[s], sum(share.values()) or 1))) for s in sorted(sizes)], "m_source string, m_buckets long, m_weight double")
+    df = df.join(F.broadcast(known), "m_source").withColumn("m_bucket", F.pmod("m_hash", F.col("m_buckets")))  # a row for each source
     cells = common.staged(df.groupBy("m_source", "m_bucket").agg(F.count("*").alias("n")), "mix-cells")
-    before = F.sum("n").over(Window.partitionBy("m_source").orderBy("m_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    cells = cells.select("m_source", "m_bucket", F.coalesce(before, F.lit(0)).alias("m_before"))
+    cells = common.before(cells, "m_bucket", "n", "m_source").select("m_source", "m_bucket", F.col("before").alias("m_before"))
     nth = F.row_number().over(Window.partitionBy("m_source", "m_bucket").orderBy("m_hash", "doc_id"))
     df = df.withColumn("m_row", nth).join(cells, ["m_source", "m_bucket"])
     rank = F.col("m_before") + F.col("m_row") - 1
     df = df.withColumn("m_block", F.expr(f"(m_before + m_row - 1) div {block}")).withColumn("m_nth", (rank % block).cast("long"))
-    share = F.broadcast(spark.createDataFrame(sorted(slots.items()), "m_source string, m_slots long"))
-    df = df.join(share, "m_source").withColumn("m_j", F.col("m_block") % F.col("m_slots"))
-    df = df.join(F.broadcast(plan), ["m_source", "m_j"])  # a period at most
-    start = F.expr(f"(m_block div m_share) * {period}L")
-    df = df.withColumn("m_slot", start + F.col("m_at")).withColumn("m_release", start + F.expr(f"m_j * {period}L div m_share"))
-    df = df.withColumn("m_deadline", start + F.expr(f"((m_j + 1) * {period}L + m_share - 1) div m_share"))
-    df = df.withColumn("m_weight", F.col("m_share") / F.lit(float(period)))
+    df = df.join(plan, ["m_source", "m_block"], "left")
     return df.select(*docs.columns, "m_source", "m_weight", "m_block", "m_nth", "m_slot", "m_release", "m_deadline")
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """All rows of ``docs`` in the order of the mix: partition by partition, row by row."""
+def mixed(docs: DataFrame, weights: dict[str, float | Fraction] | None = None) -> DataFrame:
+    """The rows of ``docs`` that have a slot, in the order of the mix: partition by partition, row by row."""
     return placed(docs, weights).orderBy(AT).select(*docs.columns)
 
 
-def placed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` with their place in the mix (``AT``), as order doesn't outlive a shuffle."""
-    return mix(docs, weights).select(*docs.columns, (F.col("m_slot") * BLOCK + F.col("m_nth")).alias(AT))
+def placed(docs: DataFrame, weights: dict[str, float | Fraction] | None = None) -> DataFrame:
+    """The rows of ``docs`` that have a slot, with their place in the mix (``AT``), as order doesn't
+    outlive a shuffle."""
+    return mix(docs, weights).filter("m_slot is not null").select(*docs.columns, (F.col("m_slot") * BLOCK + F.col("m_nth")).alias(AT))
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
-    df = mix(common.table(spark, sf_dir, "documents").select("doc_id", "source"))
+    df = mix(common.table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return df.select("doc_id", "source", F.col("m_weight").alias("weight"), F.col("m_block").alias("block"), F.col("m_nth").alias("nth"), F.col("m_slot").alias("slot"), F.col("m_release").alias("release"), F.col("m_deadline").alias("deadline"))
