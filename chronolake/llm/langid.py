@@ -8,30 +8,32 @@ language under which it is most probable; the score is that language's posterior
 ``EVIDENCE`` words at most, so that long texts don't all score 1.
 
 Training reads a sample of about ``SAMPLE`` labelled rows of each language (all, where there are
-fewer), chosen by a hash of doc_id, and of these the ``TYPES`` most frequent words; both bounds are
-parameters. Everything else covers all rows. Held-out rows, whose crc32(doc_id) mod 3 is 1, are never
-trained on; lang, source and doc_id are no inputs of a prediction.
+fewer), chosen by a hash of doc_id, and all words of these; the bound is a parameter. A round of training
+is one job: tasks share out the distinct words and send back what each piece is expected to occur, so
+that no language is one task. Everything else covers all rows. Held-out rows, whose crc32(doc_id) mod 3
+is 1, are never trained on; lang, source and doc_id are no inputs of a prediction.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A row with null lang or doc_id
 is not trained on, and one with null doc_id is not held out. Without any training row all is ``und``.
-Of equally probable languages the first in order wins. Rows stay as they are, extra columns too.
+Of equally probable languages the first in order wins. Very long texts and words are read whole. Rows
+stay as they are, repeated or not, extra columns too. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from math import exp, log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from chronolake.llm import common
 
-SAMPLE, TYPES, ROUNDS, EVIDENCE, WORDS_KEPT = 2000, 20_000, 3, 20, 200_000
+SAMPLE, ROUNDS, EVIDENCE, WORDS_KEPT = 2000, 3, 20, 200_000
 UNKNOWN, SMOOTH = 1e-7, 0.5
 MARK, LONG = "▁", 40
 _KEY, _NONE = np.uint64(0x9E3779B97F4A7C15), np.zeros(0, np.uint64)
@@ -77,43 +79,72 @@ def _with_prefixes(table: dict) -> dict:
     return dict.fromkeys(p[:k] for p in table for k in range(1, len(p))) | table
 
 
-def train(counts: dict[str, int], pieces: list[str], rounds: int = ROUNDS) -> dict[str, float]:
-    """Piece probabilities of one language from its word counts. Words longer than 60 letters are
-    taken in parts of 60."""
-    given = Counter()
+PART, SMALL = 60, 1e-100
+
+
+def _marked(word: str) -> list[str]:
+    """A word with its mark, in parts of ``PART`` letters."""
+    return [(MARK if k == 0 else "") + word[k : k + PART] for k in range(0, len(word), PART)]
+
+
+def seen_pieces(counts: dict[str, int], table: dict) -> Counter:
+    """How often each piece stands anywhere in the words."""
+    seen: Counter = Counter()
     for w, n in counts.items():
-        for k in range(0, len(w), 60):
-            given[(MARK if k == 0 else "") + w[k : k + 60]] += n
-    table = _with_prefixes(dict.fromkeys(pieces, 1.0))
-    found = {w: _matches(w, table) for w in given}
-    seen = Counter()
-    for w, n in given.items():
-        for here in found[w]:
-            for _, piece in here:
-                if piece:
-                    seen[piece] += n
-    prob = {p: c / max(1, sum(seen.values())) for p, c in seen.items()}
-    prob[""] = UNKNOWN
-    for _ in range(rounds):
-        expected = Counter()
-        for w, n in given.items():
-            matches, size = found[w], len(w)
-            ahead = [1.0] + [0.0] * size
+        for part in _marked(w):
+            for here in _matches(part, table):
+                for _, piece in here:
+                    if piece:
+                        seen[piece] += n
+    return seen
+
+
+def expected_pieces(counts: dict[str, int], table: dict, prob: dict[str, float]) -> Counter:
+    """How often each piece is expected in the words' segmentations. Sums that get small are scaled up,
+    and how often that happened is kept, so that no word is too long or too rare."""
+    out: Counter = Counter()
+    for w, n in counts.items():
+        for part in _marked(w):
+            matches, size = _matches(part, table), len(part)
+            ahead, times, scale = [1.0] + [0.0] * size, [0] * (size + 1), 0
             for i in range(size):
+                if 0 < ahead[i] < SMALL:
+                    scale += 1
+                    for j in range(i, size + 1):
+                        ahead[j] /= SMALL
+                times[i] = scale
                 for j, p in matches[i]:
                     ahead[j] += ahead[i] * prob[p]
-            behind = [0.0] * size + [1.0]
+            behind, back, scale = [0.0] * size + [1.0], [0] * (size + 1), 0
             for i in range(size - 1, -1, -1):
-                behind[i] = sum(prob[p] * behind[j] for j, p in matches[i])
-            if behind[0] > 0:
-                for i in range(size):
-                    share = n * ahead[i] / behind[0]
-                    for j, p in matches[i]:
-                        if p:
-                            expected[p] += share * prob[p] * behind[j]
-        total = sum(expected.values()) + SMOOTH * len(seen)
-        prob = {p: (expected[p] + SMOOTH) / total for p in seen} | {"": UNKNOWN}
-    return {p: x for p, x in prob.items() if p}
+                behind[i] = sum(prob[p] * behind[j] * SMALL ** max(-3, back[j] - scale) for j, p in matches[i])
+                if 0 < behind[i] < SMALL:
+                    behind[i] /= SMALL
+                    scale += 1
+                back[i] = scale
+            for i in range(size):
+                share = n * ahead[i] / behind[0]
+                for j, p in matches[i]:
+                    if p:
+                        out[p] += share * prob[p] * behind[j] * SMALL ** max(-3, times[i] + back[j] - back[0])
+    return out
+
+
+def _normal(expected: dict[str, float], seen: dict[str, float]) -> dict[str, float]:
+    total = sum(expected.values()) + SMOOTH * len(seen)
+    return {p: (expected.get(p, 0.0) + SMOOTH) / total for p in seen}
+
+
+def train(counts: dict[str, int], pieces: list[str], rounds: int = ROUNDS) -> dict[str, float]:
+    """Piece probabilities of one language from its word counts, in one place; ``fit`` does the same in
+    tasks."""
+    table = _with_prefixes(dict.fromkeys(pieces, 1.0))
+    seen = seen_pieces(counts, table)
+    total = max(1, sum(seen.values()))
+    prob = {p: c / total for p, c in seen.items()}
+    for _ in range(rounds):
+        prob = _normal(expected_pieces(counts, table, prob | {"": UNKNOWN}), seen)
+    return prob
 
 
 class Model:
@@ -134,6 +165,7 @@ class Model:
                 keys = keys * _KEY + c.astype(np.uint64)
             order = np.argsort(keys)
             self.sized[size] = (keys[order], np.array([pieces[p] for p in own])[order])
+        self.name = hashlib.blake2b(repr((self.langs, self.least, pieces)).encode(), digest_size=16).hexdigest()
         self.index: dict[bytes, int] = {}
         self.logs = np.zeros((0, len(self.langs)))
 
@@ -234,50 +266,65 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, types: int = TYPES) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """Learns from the rows of ``docs`` (doc_id, text, lang) that aren't held out."""
-    rows = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~held_out()).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    rows = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~held_out()).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model({})
     share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, sample / n))))
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0)) * (1 << 20))
-    common.small_batches(docs.sparkSession)
 
     def count(batches):
-        for batch in batches:
+        for batch in common.parts(batches):
             by: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 by.setdefault(lang, Counter()).update(words(text))
             rows = [(lang, w.decode("utf-8", "replace"), n) for lang, c in by.items() for w, n in c.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
-    seen = chosen.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = seen.withColumn("k", rank).filter(F.col("k") <= types).select("lang", "word", "n")
+    known = chosen.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    known = common.staged(known.repartition("lang", "word"), "langid-words")
     pieces = vocabulary()
 
-    def learn(f: pd.DataFrame) -> pd.DataFrame:
-        prob = train(dict(zip(f["word"], f["n"].tolist(), strict=True)), pieces)
-        return pd.DataFrame({"lang": f["lang"].iloc[0], "piece": list(prob), "p": list(prob.values())})
-
-    learned: dict[str, dict[str, float]] = {lang: {} for lang in counts}
-    for r in top.groupBy("lang").applyInPandas(learn, "lang string, piece string, p double").collect():  # the vocabulary, for each language
-        learned[r.lang][r.piece] = r.p
-    return Model({lang: t for lang, t in learned.items() if t})
+    def summed(learned: dict[str, dict[str, float]] | None) -> dict[str, dict[str, float]]:
+        """What every piece occurs in all words, or is expected to: the vocabulary, for each language."""
+
+        def work(batches):
+            table = _with_prefixes(dict.fromkeys(pieces, 1.0))
+            for batch in common.parts(batches, 20_000):
+                by: dict[str, dict[str, int]] = {}
+                for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n")), strict=True):
+                    by.setdefault(lang, {})[word] = n
+                out = {lang: expected_pieces(own, table, learned[lang] | {"": UNKNOWN}) if learned else seen_pieces(own, table) for lang, own in by.items()}
+                rows = [(lang, p, float(x)) for lang, own in out.items() for p, x in own.items()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.float64()))], names=["lang", "piece", "x"])
+
+        found: dict[str, dict[str, float]] = {}
+        # sums in a fixed order, so that a model doesn't depend on which task was first
+        for r in known.mapInArrow(work, "lang string, piece string, x double").groupBy("lang", "piece").agg(F.expr("aggregate(array_sort(collect_list(x)), 0D, (a, x) -> a + x)").alias("x")).collect():
+            found.setdefault(r.lang, {})[r.piece] = r.x
+        return found
+
+    seen = summed(None)
+    learned = {lang: {p: c / sum(own.values()) for p, c in own.items()} for lang, own in seen.items()}
+    for _ in range(rounds):
+        expected = summed(learned)
+        learned = {lang: _normal(expected.get(lang, {}), own) for lang, own in seen.items()}
+    return Model(learned)
 
 
 def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The rows of ``docs`` (its columns ``keep``, else all) with the prediction and its score,
     called ``names``."""
     keep = docs.columns if keep is None else keep
-    common.small_batches(docs.sparkSession)
-    name = f"model-{id(model)}"
     given = docs.select(*keep, F.col("text").cast("string").alias("x_text"))
 
     def work(batches):
-        own = _models.setdefault(name, model)  # its word cache stays for the worker's next task
-        for batch in batches:
+        if model.name not in _models:
+            _models.clear()
+        own = _models.setdefault(model.name, model)  # its word cache stays for the worker's next task
+        for batch in common.parts(batches, 2000):
             found = own.classify(batch["x_text"].to_pylist())
             columns = [batch[c] for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])

@@ -9,22 +9,26 @@ further. A vantage-point tree over a bounded sample gives the shards: at a node
 v and radius m, fingerprints with d(x, v) <= m go left. Each fingerprint has one home leaf and
 visits the later leaves whose balls its own ball of radius ``max_bits`` may touch, by the triangle
 inequality; so each close pair meets in the home leaf of one of the two, and no close pair is lost
-whatever the sample was. In a leaf, only the edges of a spanning forest leave the task, not all
-pairs. Leaves with many homes (dense clusters) are dealt out in blocks of homes.
+whatever the sample was. Shards that are still large get trees of their own, from samples of their own,
+level by level. A leaf's homes and its visitors are dealt out in blocks, and a task compares two blocks,
+so that what it holds is bounded; only the edges of a spanning forest leave it, not all pairs.
 
 Nulls and ties: a null or empty text has fingerprint 0 and is linked like any other. A null doc_id
 takes part; it is never the smallest unless all of a component are null, whose component_id is then
-null. Repeated rows stay repeated. Extra columns are ignored. An empty table gives an empty result.
+null. Repeated rows stay repeated. Very long texts are hashed whole, in parts. Extra columns are ignored.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronolake.llm import common
@@ -76,17 +80,19 @@ def wide_code(hashes: np.ndarray, parts: int = WIDE) -> bytes:
     return np.concatenate(out).tobytes()
 
 
+def _given(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
     """doc_id, text_hash (of the text, to tell rows of one doc_id apart), fp (signed 64 bits)."""
-    common.small_batches(docs.sparkSession)
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("text"))
 
-    def work(frames):
-        for f in frames:
-            fps = np.fromiter((fingerprint(t, shingle_words) for t in f["text"]), np.uint64, len(f))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "fp": fps.view(np.int64)})
+    def work(batches):
+        for batch in common.parts(batches):
+            fps = np.fromiter((fingerprint(t, shingle_words) for t in batch["text"].to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return given.mapInPandas(work, "doc_id long, text_hash long, fp long")
+    return _given(docs).mapInArrow(work, "doc_id long, text_hash long, fp long")
 
 
 class VantageTree:
@@ -111,10 +117,11 @@ class VantageTree:
         self.leaves += 1
         return -self.leaves
 
-    def visits(self, fps: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, leaf, is_home): each row's home leaf, and the later leaves it has to visit."""
+    def visits(self, fps: np.ndarray, reach: int, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, leaf, is_home): each row's home leaf, and the later leaves it has to visit. Rows that
+        aren't ``live`` have no home; they visit every leaf that they may touch."""
         rows, leaves, homes = [], [], []
-        todo = [(self.root, np.arange(len(fps)), np.ones(len(fps), bool))]
+        todo = [(self.root, np.arange(len(fps)), np.ones(len(fps), bool) if live is None else live)]
         while todo:
             k, idx, home = todo.pop()
             if not len(idx):
@@ -135,14 +142,14 @@ class VantageTree:
             none = np.zeros(0, np.int64)
             return none, none, none.astype(bool)
         row, leaf, home = np.concatenate(rows), np.concatenate(leaves), np.concatenate(homes)
-        at = np.zeros(len(fps), np.int64)
+        at = np.full(len(fps), -1, np.int64)
         at[row[home]] = leaf[home]
         keep = leaf >= at[row]
         return row[keep], leaf[keep], home[keep]
 
 
-def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links between queries and homes (homes are queries too).
+def _forest(homes: np.ndarray, queries: np.ndarray, reach: int, within: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links between queries and homes (``within``: and among homes).
     Both are ordered by their distance from one more vantage point, so that a run of queries is
     compared only with the homes whose distance differs by ``reach`` at most."""
     if not len(homes):
@@ -161,7 +168,8 @@ def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndar
             x = parent[x]
         return x
 
-    a, b, at, step, k = [], [], 0, 1, len(homes)
+    k = len(homes)
+    a, b, at, step = [], [], 0 if within else k, 1
     label = np.arange(k)
     while at < len(points):
         end = min(len(points), at + step, k if at < k else len(points))
@@ -183,12 +191,43 @@ def _forest(homes: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndar
     return points[a], points[b]
 
 
-def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 16384) -> DataFrame:
+LEAVES = 4096
+
+
+def _split(dealt: DataFrame, big: DataFrame, max_bits: int, leaf: int, sample: int, chunk: int) -> DataFrame:
+    """The rows (shard, fp, home) of the shards in ``big`` (shard, homes, n), dealt to the leaves of a
+    tree for each shard."""
+
+    def grow(f: pd.DataFrame) -> pd.DataFrame:
+        depth = min(math.ceil(math.log2(max(2.0, f["homes"].iloc[0] / leaf))), int(math.log2(sample)) - 3)
+        return pd.DataFrame({"shard": f["shard"].iloc[:1], "tree": [pickle.dumps(VantageTree(f["fp"].to_numpy(np.int64).view(np.uint64), depth))]})
+
+    of = dealt.join(big, "shard")
+    seen = of.filter(F.col("home") & (F.pmod(F.xxhash64("fp"), F.ceil(F.col("homes") / sample)) == 0))
+    trees = common.staged(seen.groupBy("shard").applyInPandas(grow, "shard long, tree binary"), "simhash-trees")
+
+    def deal(_: tuple, tree: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        if not len(f):
+            return pd.DataFrame({"shard": [], "fp": [], "home": []})
+        fps, shard = f["fp"].to_numpy(np.int64).view(np.uint64), int(f["shard"].iloc[0])
+        if not len(tree):  # a sample without rows: the shard stays as it is
+            return pd.DataFrame({"shard": shard * LEAVES, "fp": f["fp"], "home": f["home"]})
+        row, at, home = pickle.loads(tree["tree"].iloc[0]).visits(fps, max_bits, f["home"].to_numpy(bool))
+        return pd.DataFrame({"shard": shard * LEAVES + at, "fp": fps[row].view(np.int64), "home": home})
+
+    parts = F.ceil(F.col("n") / chunk)
+    rows = of.withColumn("part", F.pmod(F.xxhash64("fp", F.lit(1)), parts)).select("shard", "part", "fp", "home")
+    trees = trees.join(big, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "tree")
+    return trees.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(deal, "shard long, fp long, home boolean")
+
+
+def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 16384, chunk: int = 1 << 18) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` that span every component of the links.
 
-    ``leaf`` is the number of homes aimed at in a shard, ``sample`` the most fingerprints from which
-    the tree is grown (the tree only decides where pairs meet, never whether)."""
-    spark, n = reps.sparkSession, reps.count()
+    ``leaf`` is the number of homes aimed at in a shard, ``sample`` about as many fingerprints as a tree
+    is grown from (trees only decide where pairs meet, never whether), ``chunk`` about as many rows of a
+    shard as a task deals out."""
+    n = reps.count()
     depth = min(max(0, math.ceil(math.log2(max(n, 1) / leaf))), int(math.log2(sample)) - 3)
     seen = [r.fp for r in reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if depth else []
     tree = VantageTree(np.array(seen, np.int64).view(np.uint64), depth)
@@ -200,27 +239,47 @@ def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 1
             yield pd.DataFrame({"shard": shard, "fp": fps[row].view(np.int64), "home": home})
 
     dealt = common.staged(reps.select("fp").mapInPandas(deal, "shard long, fp long, home boolean"), "simhash-shards")
-    blocks = dealt.filter("home").groupBy("shard").count().select("shard", F.ceil(F.col("count") / (2 * leaf)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    cells = dealt.join(blocks, "shard").select("shard", "fp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "home", own.alias("own"))
-    cells = cells.select("shard", "block", "fp", (F.col("home") & (F.col("own") == F.col("block"))).alias("home"))
-
-    def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
+    size = dealt.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("n"))
+    done, largest = [], None
+    while True:
+        big = common.staged(size.filter(F.col("homes") > 2 * leaf), "simhash-large")
+        top = big.agg(F.max("homes")).first()[0]
+        if top is None or top == largest:
+            break
+        largest = top
+        done.append(dealt.join(big, "shard", "left_anti").withColumn("level", F.lit(len(done))))
+        dealt = common.staged(_split(dealt, big, max_bits, leaf, sample, chunk), "simhash-shards")
+        size = dealt.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("n"))
+    every = dealt.withColumn("level", F.lit(len(done)))
+    for part in done:
+        every = every.unionByName(part)
+    # a cell is a block of homes against itself, a later block of homes or a block of visitors
+    counts = every.groupBy("level", "shard").agg(F.ceil(F.sum(F.col("home").cast("long")) / (2 * leaf)).alias("blocks"), F.ceil(F.sum((~F.col("home")).cast("long")) / (8 * leaf)).alias("others"))
+    own = F.pmod(F.xxhash64("fp", F.lit(2)), F.when(F.col("home"), F.col("blocks")).otherwise(F.col("others")))
+    at = every.join(common.staged(counts.filter("blocks > 0"), "simhash-blocks"), ["level", "shard"]).withColumn("own", own)
+    cell = lambda i, j, home: F.struct(i.alias("i"), j.alias("j"), home.alias("home"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    first, second = (lambda k: cell(F.least("own", k), F.greatest("own", k), F.col("own") <= k)), (lambda v: cell(F.col("own"), -1 - v, F.lit(True)))
+    homes = F.concat(F.transform(upto(F.col("blocks")), first), F.when(F.col("others") > 0, F.transform(upto(F.greatest("others", F.lit(1))), second)).otherwise(F.array().cast("array<struct<i:bigint,j:bigint,home:boolean>>")))
+    visitors = F.transform(upto(F.col("blocks")), lambda k: cell(k, -1 - F.col("own"), F.lit(False)))
+    cells = at.select("level", "shard", "fp", F.explode(F.when(F.col("home"), homes).otherwise(visitors)).alias("c")).select("level", "shard", "c.i", "c.j", "fp", "c.home")
+
+    def close(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         fps, home = f["fp"].to_numpy(np.int64).view(np.uint64), f["home"].to_numpy(bool)
-        a, b = _forest(fps[home], fps[~home], max_bits)
+        a, b = _forest(fps[home], fps[~home], max_bits, key[2] == key[3])
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return cells.groupBy("shard", "block").applyInPandas(close, "a long, b long")
+    return cells.groupBy("level", "shard", "i", "j").applyInPandas(close, "a long, b long")
 
 
-def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the component's smallest node.
 
     Alternates large-star and small-star steps until nothing changes; each round is a written
     table, so a lost executor costs one round at most."""
     now = common.staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -232,8 +291,6 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -278,13 +335,13 @@ def radius(similarity: float, bits: int) -> tuple[int, int]:
     return far(max(few, many)), far(many)
 
 
-def _proposed(codes: np.ndarray, sizes: np.ndarray, part: np.ndarray, k: int, within: bool, forest: bool, first: tuple[int, int], most: tuple[int, int], ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places, one of them among the first k (homes), that may be similar: the first two words
-    of their codes differ in ``first`` bits at most, all words in ``most`` (each for few hashes, for
-    many), sizes are within ``ratio``, and they aren't in one component (``part``) already. Homes are
-    compared with each other only if ``within``. Of a ``forest``, a pair also joins its components.
-    Homes and queries are ordered by size, so that only a run of homes is compared."""
-    parent = np.arange(int(part.max()) + 1)
+def _proposed(codes: np.ndarray, sizes: np.ndarray, k: int, within: bool, first: tuple[int, int], most: tuple[int, int], ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs of places, one of them among the first k (homes), that may be
+    similar: all words of their codes differ in ``most`` bits at most (for few hashes, for many), the
+    first two, which are looked at before, in ``first``, and sizes are within ``ratio``. Homes are
+    compared with each other only if ``within``. Homes and queries are ordered by size, so that only a
+    run of homes is compared."""
+    parent = np.arange(len(codes))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -294,7 +351,7 @@ def _proposed(codes: np.ndarray, sizes: np.ndarray, part: np.ndarray, k: int, wi
 
     a, b, step = [], [], 1
     at, homes = 0 if within else k, sizes[:k]
-    label = part.copy()
+    label = np.arange(len(codes))
     while at < len(codes):
         end = min(len(codes), at + step, k if at < k else len(codes))
         lo, hi = np.searchsorted(homes, sizes[at] * ratio - 1e-9), np.searchsorted(homes, sizes[end - 1] / ratio + 1e-9, side="right")
@@ -310,72 +367,87 @@ def _proposed(codes: np.ndarray, sizes: np.ndarray, part: np.ndarray, k: int, wi
             near[s : s + (1 << 18)] = (d[:, :2].sum(axis=1, dtype=np.int64) <= np.where(few, *first)) & (d.sum(axis=1, dtype=np.int64) <= np.where(few, *most))
         near &= np.minimum(sizes[q], sizes[h]) >= ratio * np.maximum(sizes[q], sizes[h]) - 1e-9
         q, h = q[near], h[near]
-        if forest:
-            _, one = np.unique(q * np.int64(len(parent)) + label[h], return_index=True)
-            joined = []
-            for i, x, y in zip(one.tolist(), label[q[one]].tolist(), label[h[one]].tolist(), strict=True):
-                r, s = find(x), find(y)
-                if r != s:
-                    parent[max(r, s)] = min(r, s)
-                    joined.append(i)
-            q, h = q[joined], h[joined]
-            up = parent
-            while not np.array_equal(up, up[up]):
-                up = up[up]
-            label = up[part]
-        a.append(q)
-        b.append(h)
+        _, one = np.unique(q * np.int64(len(parent)) + label[h], return_index=True)
+        for x, y in zip(q[one].tolist(), h[one].tolist(), strict=True):
+            r, s = find(x), find(y)
+            if r != s:
+                parent[max(r, s)] = min(r, s)
+                a.append(x)
+                b.append(y)
+        label = parent
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        label = label.copy()
         at, step = end, min(step * 4, max(1, (1 << 21) // max(1, k)))
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(a or none), np.concatenate(b or none)
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _linked(codes: np.ndarray, sets: list[np.ndarray], k: int, within: bool, most: tuple[int, int], similarity: float) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the pairs of places, one of them among the first k (homes), whose
+    sets have the Jaccard similarity. Only pairs within ``most`` bits are looked at, closest first, and
+    only between places that aren't linked by then. Homes are compared with each other only if ``within``."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1] if sizes.sum() else np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    starts, seen = ends - sizes, np.zeros(int(flat.max()) + 1 if len(flat) else 0, bool)
+    label, edges = np.arange(len(sets)), []
+    for q in range(0 if within else k, len(sets)):
+        h = np.arange(min(q, k))
+        h = h[(np.minimum(sizes[h], sizes[q]) >= similarity * np.maximum(sizes[h], sizes[q]) - 1e-9) & (label[h] != label[q])]
+        if not len(h):
+            continue
+        d = np.bitwise_count(codes[h] ^ codes[q]).sum(axis=1, dtype=np.int64)
+        near = d <= np.where(np.minimum(sizes[h], sizes[q]) < FEW, *most)
+        h = h[near][np.argsort(d[near], kind="stable")]
+        seen[flat[starts[q] : ends[q]]] = True
+        while len(h):
+            _, first = np.unique(label[h], return_index=True)  # the closest of each component
+            test = h[first]
+            shared = np.fromiter((seen[flat[s:e]].sum() for s, e in zip(starts[test].tolist(), ends[test].tolist(), strict=True)), np.int64, len(test))
+            for x in test[shared >= similarity * (sizes[test] + sizes[q] - shared) - 1e-9].tolist():
+                if label[x] != label[q]:
+                    label[label == label[x]] = label[q]
+                    edges.append((q, x))
+            h = np.delete(h, first)
+            h = h[label[h] != label[q]]
+        seen[flat[starts[q] : ends[q]]] = False
+    return edges
 
 
 SENT = 1_000_000
 
 
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of the pairs (a, b) of nodes, those whose ``sets`` (node, hashes; a node may be repeated) have the
-    Jaccard similarity. Up to ``SENT`` nodes are sent to the sets, so that only theirs are shuffled."""
-    nodes = common.staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-asked")
-    own = sets.join(F.broadcast(nodes) if nodes.count() <= SENT else nodes, "node", "left_semi")
-    own = common.staged(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "simhash-sets")
-    left = pairs.join(own.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
-    both = left.join(own.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b")
-    both = both.withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
-    return both.filter(F.col("shared") >= similarity * (F.size("of_a") + F.size("of_b") - F.col("shared")) - 1e-9).select("a", "b")
-
-
-def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192) -> DataFrame:
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192, nodes: int = 2048, hashes: int = 1 << 20) -> DataFrame:
     """A row for each row of ``docs``: doc_id, text_hash, root, component_id. Two texts are linked if
     their shingle sets have the Jaccard similarity. ``WIDE`` * 64-bit fingerprints only propose pairs
-    (``radius``); each is then decided by the sets themselves.
+    (``radius``); what they propose is then decided by the sets themselves.
 
     A radius this wide leaves a vantage tree over random fingerprints nothing to prune, so the one
     vantage point is the empty set: a text's distance from it is its number of shingles, which a
     similar text can't exceed by more than 1 / similarity. Shards are rings of that ratio; a text meets
-    its own ring and the next. Rings are cut into blocks and a task compares two blocks, so that both
-    its sides are bounded.
-
-    A first pass proposes a spanning forest of closer pairs; those of them that are similar give
-    components. The second pass proposes every pair that isn't in one component by then."""
-    common.small_batches(docs.sparkSession)
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
-
-    def work(frames):
-        for f in frames:
-            sets = [np.unique(_shingles(t, shingle_words)) for t in f["text"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "size": [len(x) for x in sets], "code": [wide_code(x) for x in sets], "hashes": [x.view(np.int64) for x in sets]})
-
-    fps = common.staged(given.mapInPandas(work, "doc_id long, text_hash long, size long, code binary, hashes array<long>"), "simhash-wide")
+    its own ring and the next. Rings are cut into blocks and a task compares two blocks of ``block``
+    fingerprints at most, on average, so that both its sides are bounded. A spanning forest of the
+    proposals leaves it.
+
+    The forests give components of texts that may be similar. Those of a component meet with their sets,
+    in blocks of some ``nodes`` texts and ``hashes`` hashes, two in a task; no pair leaves it but the
+    edges of a spanning forest of the similar ones."""
+
+    def work(batches):
+        for batch in common.parts(batches):
+            sets = [np.unique(_shingles(t, shingle_words)) for t in batch["text"].to_pylist()]
+            offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, sets), np.int64, len(sets))))).astype(np.int32)
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            columns = [batch["doc_id"], batch["text_hash"], pa.array(np.diff(offsets).astype(np.int64)), pa.array([wide_code(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "size", "code", "hashes"])
+
+    fps = common.staged(_given(docs).mapInArrow(work, "doc_id long, text_hash long, size long, code binary, hashes array<bigint>").withColumn("node", F.xxhash64("hashes")), "simhash-wide")
     # texts of one set are one point, known by a hash of it
-    fps = fps.withColumn("node", F.xxhash64("hashes"))
     reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code")), "simhash-points")
-    sets = fps.select("node", "hashes")
     ring = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / math.log(1 / similarity)).cast("int")
     points = reps.select("node", "size", "code", ring.alias("ring"))
     blocks = {r.ring: -(-r.n // block) for r in points.groupBy("ring").agg(F.count("*").alias("n")).collect()}  # a ring for each power of the ratio
     first, most = radius(similarity, 128), radius(similarity, 64 * WIDE)
-    closer = most_bits((1 + similarity) / 2, 64 * WIDE)
 
     def deal(frames):
         for f in frames:
@@ -390,29 +462,38 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
                 for i in range(blocks.get(r - 1, 0)):
                     yield g.assign(ring=r - 1, kind=1, i=i, j=own, home=False)
 
-    def proposals(of: DataFrame, forest: bool) -> DataFrame:
-        bits = (closer, closer) if forest else most
-
-        def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
-            f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
-            codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
-            node, k = f["node"].to_numpy(np.int64), int(f["home"].sum())
-            if not k:
-                return pd.DataFrame({"a": node[:0], "b": node[:0]})
-            within = f["kind"].iloc[0] == 0 and f["i"].iloc[0] == f["j"].iloc[0]
-            part = np.unique(f["part"].to_numpy(np.int64), return_inverse=True)[1]
-            a, b = _proposed(codes, f["size"].to_numpy(np.int64), part, k, within, forest, first, bits, similarity)
-            return pd.DataFrame({"a": node[a], "b": node[b]})
-
-        cells = of.mapInPandas(deal, "node long, size long, code binary, ring int, part long, kind int, i long, j long, home boolean")
-        pairs = common.staged(cells.groupBy("ring", "kind", "i", "j").applyInPandas(close, "a long, b long"), "simhash-pairs")
-        return similar(pairs, sets, similarity)
-
-    edges = common.staged(proposals(points.withColumn("part", F.col("node")), True), "simhash-edges")
-    of = common.staged(connected(edges), "simhash-parts")
-    parts = points.join(of, "node", "left").select("node", "size", "code", "ring", F.coalesce("root", "node").alias("part"))
-    # what the first pass linked is kept as links to the parts' roots
-    of = connected(of.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(proposals(parts, False)))
+    def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
+        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
+        node, k = f["node"].to_numpy(np.int64), int(f["home"].sum())
+        if not k:
+            return pd.DataFrame({"a": node[:0], "b": node[:0]})
+        within = f["kind"].iloc[0] == 0 and f["i"].iloc[0] == f["j"].iloc[0]
+        a, b = _proposed(codes, f["size"].to_numpy(np.int64), k, within, first, most, similarity)
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    cells = points.mapInPandas(deal, "node long, size long, code binary, ring int, kind int, i long, j long, home boolean")
+    maybe = connected(cells.groupBy("ring", "kind", "i", "j").applyInPandas(close, "a long, b long"))
+    maybe = common.staged(maybe.select("node", F.col("root").alias("part")).distinct().join(reps.select("node", "size", "code"), "node"), "simhash-parts")
+
+    # those that may be similar, with their sets
+    asked = maybe.select("node")
+    sets = fps.select("node", "hashes").join(F.broadcast(asked) if asked.count() <= SENT else asked, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    cut = maybe.groupBy("part").agg(F.greatest(F.ceil(F.count("*") / nodes), F.ceil(F.sum("size") / hashes), F.lit(1)).alias("cut"))
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut"))
+    met = maybe.join(cut, "part").withColumn("own", own).join(sets, "node")
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"), (F.col("own") <= k).alias("home")))
+    met = met.select("part", "node", "code", "hashes", F.explode(pair).alias("c")).select("part", "c.i", "c.j", "c.home", "node", "code", "hashes")
+
+    def decide(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("home", ascending=False, kind="stable")
+        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
+        node, home = f["node"].to_numpy(np.int64), f["home"].to_numpy(bool)
+        edges = _linked(codes, [np.asarray(x, np.int64) for x in f["hashes"]], int(home.sum()), key[1] == key[2], most, similarity)
+        a, b = np.array(edges, np.int64).reshape(-1, 2).T
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    of = connected(met.groupBy("part", "i", "j").applyInPandas(decide, "a long, b long"))
     reps = reps.select("node", "low").join(of, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     low = reps.groupBy("root").agg(F.min("low").alias("component_id"))
     return fps.select("doc_id", "text_hash", "node").join(reps.select("node", "root").join(low, "root"), "node").select("doc_id", "text_hash", "root", "component_id")
@@ -420,12 +501,14 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
 
 def keep_one(docs: DataFrame, near: DataFrame) -> DataFrame:
     """The documents less all but one of each component of ``near``: the row with the smallest doc_id
-    (of rows that repeat it, one)."""
-    kept = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash"))
-    kept = kept.select(F.xxhash64("doc_id", "text_hash").alias("k_row"))
-    hashed = docs.withColumn("k_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    first = F.row_number().over(Window.partitionBy("k_row").orderBy("k_row"))
-    return hashed.join(kept, "k_row", "left_semi").withColumn("k_nth", first).filter("k_nth = 1").select(*docs.columns)
+    (of rows that repeat it, one). Texts are shuffled only where rows repeat."""
+    kept = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "root", "text_hash").agg(F.count("*").alias("n"))
+    kept = kept.groupBy("doc_id", "root").agg(F.min_by(F.struct("text_hash", "n"), "text_hash").alias("t"))
+    kept = common.staged(kept.select(F.xxhash64("doc_id", "t.text_hash").alias("k_row"), F.col("t.n").alias("n")), "simhash-kept")
+    hashed = docs.withColumn("k_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))
+    once = hashed.join(kept.filter("n = 1"), "k_row", "left_semi")
+    again = hashed.join(kept.filter("n > 1"), "k_row", "left_semi").dropDuplicates(["k_row"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -43,6 +43,54 @@ def test_training_raises_likelihood():
     assert by_rounds[0] <= by_rounds[1] + 0.05 and by_rounds[1] <= by_rounds[2] + 0.05
 
 
+def expected_every_way(counts, prob):
+    """Expected pieces from all segmentations, each weighted by its probability."""
+    out = {}
+    for word, n in counts.items():
+        w = "▁" + word
+        ways = []
+        for cuts in itertools.product((0, 1), repeat=len(w) - 1):
+            parts, at = [], 0
+            for i, c in enumerate([*cuts, 1], 1):
+                if c:
+                    parts.append(w[at:i])
+                    at = i
+            ways.append((math.prod(prob.get(p, langid.UNKNOWN if len(p) == 1 else 0.0) for p in parts), parts))
+        total = sum(x for x, _ in ways)
+        for x, parts in ways:
+            for p in parts:
+                if p in prob:
+                    out[p] = out.get(p, 0.0) + n * x / total
+    return out
+
+
+def test_expected_pieces():
+    rng = random.Random(5)
+    prob = {p: rng.random() / 5 for p in PIECES}
+    table = langid._with_prefixes(dict.fromkeys(PIECES, 1.0))
+    counts = {"abab": 2, "baqab": 1, "aaaa": 3, "qqq": 1}
+    got, want = langid.expected_pieces(counts, table, prob | {"": langid.UNKNOWN}), expected_every_way(counts, prob)
+    assert all(math.isclose(got[p], want.get(p, 0.0), rel_tol=1e-9, abs_tol=1e-12) for p in PIECES)
+    # nothing is too long or too rare: known pieces around many unknown letters are counted in full
+    long = langid.expected_pieces({"ab" + "ж" * 55 + "ba": 4}, table, prob | {"": langid.UNKNOWN})
+    want = expected_every_way({"abжжba": 4}, prob)
+    assert all(math.isclose(long[p], want.get(p, 0.0), rel_tol=1e-9, abs_tol=1e-12) for p in PIECES)
+
+
+def test_fit_is_train_in_tasks(spark):
+    docs = spark.createDataFrame(rows(60), "doc_id long, text string, lang string")
+    model, counts = langid.fit(docs), {}
+    for d, t, lang in rows(60):
+        if d is not None and lang and t is not None and zlib.crc32(str(d).encode()) % 3 != 1:
+            own = counts.setdefault(lang, {})
+            for w in langid.words(t):
+                own[w.decode()] = own.get(w.decode(), 0) + 1
+    for i, lang in enumerate(model.langs):
+        for p, x in langid.train(counts[lang], langid.vocabulary()).items():
+            assert math.isclose(model.table[p][i], x, rel_tol=1e-9)
+    assert langid.fit(docs).name == model.name != langid.Model({"x": {"a": 0.5}}).name
+
+
 def rows(n=400):
     rng, out = random.Random(0), []
     parts = {"en": ["the", "ing", "and", "ation", "wh"], "fr": ["eau", "eux", "ment", "qué", "le"], "de": ["sch", "ung", "ein", "keit", "der"]}

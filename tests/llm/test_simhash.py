@@ -59,13 +59,15 @@ def test_against_every_pair(spark):
     assert got(spark, corpus()) == brute(corpus())
 
 
-def test_tree_loses_no_link(spark):
+@pytest.mark.parametrize("leaf, sample, chunk", [(40, 512, 1 << 18), (5, 64, 150)])
+def test_tree_loses_no_link(spark, leaf, sample, chunk):
+    """Also with trees below trees, and with blocks of homes and of visitors."""
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400, dtype=np.int64)
     near = base[rng.integers(0, 400, 1500)] ^ np.array([sum({1 << int(b) for b in rng.integers(0, 63, 3)}) for _ in range(1500)])
     fps = np.unique(np.concatenate((base, near)))
     reps = spark.createDataFrame([(int(x),) for x in fps], "fp long")
-    edges = simhash.links(reps, 4, leaf=40, sample=512)
+    edges = simhash.links(reps, 4, leaf=leaf, sample=sample, chunk=chunk)
     found = {r.node: r.root for r in simhash.connected(edges).collect()}
     root = {int(x): int(x) for x in fps}
     d = np.bitwise_count(fps[:, None] ^ fps[None, :])
@@ -148,6 +150,6 @@ def test_near_copies_by_exact_similarity(spark):
                 r, s = find(i), find(j)
                 root[max(r, s)] = min(r, s)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block in (8192, 400):
-        got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, block=block).collect()}
+    for bounds in ({}, {"block": 400, "nodes": 5, "hashes": 200}):
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, **bounds).collect()}
         assert got == {i: find(i) for i in range(len(texts))}
