@@ -165,8 +165,8 @@ def _dominated(filling, left: dict[int, int], sizes: list[int], slack: int) -> b
 
 
 def _fillings(sizes: list[int], counts: dict[int, int], room: int):
-    """The undominated fillings of ``room``, best sum first and, of equal sums, those with larger pieces
-    first."""
+    """The fillings of ``room``, best sum first and, of equal sums, those with larger pieces first; None in
+    the place of a dominated one, so that looking at it counts as a step."""
     sizes = [s for s in sizes if s <= room and counts[s]]
     reach = [1] * (len(sizes) + 1)
     mask = (1 << (room + 1)) - 1
@@ -195,8 +195,7 @@ def _fillings(sizes: list[int], counts: dict[int, int], room: int):
     for total in range(reach[0].bit_length() - 1, -1, -1):
         if reach[0] >> total & 1:
             for filling in of(0, total):
-                if not _dominated(filling, counts, sizes, room - total):
-                    yield filling
+                yield None if _dominated(filling, counts, sizes, room - total) else filling
 
 
 class Solution(NamedTuple):
@@ -236,6 +235,9 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
         top = next(s for s in sizes if left[s])
         own = left | {top: left[top] - 1}
         for filling in _fillings(sizes, own, length - top):
+            if filling is None:
+                yield None
+                continue
             need = Counter({top: 1})
             need.update(dict(filling))
             lost = length - sum(s * k for s, k in need.items())
@@ -251,8 +253,10 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
     levels = [branches()] if fewest > bound else []
     while levels and fewest > bound and (nodes is None or steps < nodes):
         steps += 1
-        found = next(levels[-1], None)
+        found = next(levels[-1], ())
         if found is None:
+            continue
+        if not found:
             levels.pop()
             if chosen:
                 copies, pattern, lost = chosen.pop()
@@ -326,18 +330,19 @@ def assign(cut_up: DataFrame, length: int = LENGTH, nodes: int | None = NODES) -
     return ranked.select(*columns, "rank").mapInPandas(work, f"{schema}, sequence_id long, offset long, fewest_possible long, proven boolean")
 
 
-def assign_in_order(cut_up: DataFrame, order: str, length: int = LENGTH, span: int = SPAN, tokens: int = TOKENS) -> DataFrame:
+def assign_in_order(cut_up: DataFrame, order: str, length: int = LENGTH, span: int = SPAN, tokens: int = TOKENS, nodes: int | None = NODES // 10) -> DataFrame:
     """The pieces (a written table) with sequence_id and offset, so that sequences keep the order of the
     documents (column ``order``, a long of at least 0): runs of ``span`` places, short ones together, are
     packed each on their own, one after the other. In a run, pieces of one length are used in order and
-    sequences stand by their first piece. A run costs its last sequence at most."""
+    sequences stand by their first piece. A run costs its last sequence at most, and what ``nodes`` steps of
+    search don't find."""
     spans = cut_up.groupBy(F.expr(f"{order} div {span}").alias("at")).agg(F.sum("length").alias("n"))
     spans = common.before(common.staged(spans, "pack-spans"), "at", "n").select("at", F.expr(f"before div {tokens}").alias("run"))
     dealt = cut_up.withColumn("at", F.expr(f"{order} div {span}")).join(spans, "at").drop("at")
 
     def work(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values([order, "piece", "doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
-        plan = Plan(complete(dict(Counter(f["length"].tolist())), length).patterns)
+        plan = Plan(complete(dict(Counter(f["length"].tolist())), length, nodes).patterns)
         sequence, offset = plan.place(f["length"].to_numpy(np.int64), f.groupby("length").cumcount().to_numpy(np.int64))
         head = np.unique(sequence, return_index=True)[1]  # of each sequence, its first piece's place
         number = np.empty(len(head), np.int64)
@@ -355,7 +360,7 @@ def pack(docs: DataFrame, length: int = LENGTH, order: str | None = None, nodes:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece (and what ``assign``
     adds); in the documents' ``order``, if there is such a column."""
     cut_up = common.staged(pieces(docs, length, order=order), "pack-pieces")
-    return assign_in_order(cut_up, order, length) if order else assign(cut_up, length, nodes)
+    return assign_in_order(cut_up, order, length, nodes=nodes and nodes // 10) if order else assign(cut_up, length, nodes)
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
