@@ -64,3 +64,11 @@ def before(rows: DataFrame, key: str, value: str, within: str | None = None, wid
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def one_of_each(rows: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """A row of ``rows`` for each ``key`` in ``kept`` (key, n: how many rows have it). Only rows of keys
+    that several have are shuffled, one of each task's."""
+    once = rows.join(kept.filter("n = 1").select(key), key, "left_semi")
+    again = rows.join(kept.filter("n > 1").select(key), key, "left_semi").dropDuplicates([key])
+    return once.unionByName(again)

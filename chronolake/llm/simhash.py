@@ -506,9 +506,7 @@ def keep_one(docs: DataFrame, near: DataFrame) -> DataFrame:
     kept = kept.groupBy("doc_id", "root").agg(F.min_by(F.struct("text_hash", "n"), "text_hash").alias("t"))
     kept = common.staged(kept.select(F.xxhash64("doc_id", "t.text_hash").alias("k_row"), F.col("t.n").alias("n")), "simhash-kept")
     hashed = docs.withColumn("k_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))
-    once = hashed.join(kept.filter("n = 1"), "k_row", "left_semi")
-    again = hashed.join(kept.filter("n > 1"), "k_row", "left_semi").dropDuplicates(["k_row"])
-    return once.unionByName(again).select(*docs.columns)
+    return common.one_of_each(hashed, "k_row", kept).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,41 +1,41 @@
 """Repeated passages by sparse suffix arrays.
 
 Every passage of ``WORDS`` words or more (split at white space) that stands in more than one place of
-the corpus is found, with its full extent in every place. Of all suffixes only those are kept that
-begin at a minimiser: the first smallest of the hashes of ``GRAM``-word runs in a window of ``WORDS``
-words. Equal windows have their minimiser at the same place, so what repeats has a kept suffix in
-common. Kept suffixes are brought together by their leading words and compared with their neighbours;
-those that stand alone are out. Around the others the match is extended: a kept suffix stands for the
-windows whose minimiser it is, some words to its left and right, and each window is compared with its
-equals. What the repeated windows cover, joined where they overlap, is a repeated passage.
-
-The suffixes with neighbours go to the second scan as a bit map of fixed size (``BITS`` bits); a bit
-that another suffix has set costs work, not correctness, as windows are counted exactly afterwards.
-A group of equal windows is only counted, never gathered. Equal 64-bit hashes count as equal words.
+the corpus is found, with its full extent in every place. Texts that are equal as a whole are folded into
+one first. Of all suffixes only those are kept that begin at a minimiser: the first smallest of the
+hashes of ``GRAM``-word runs in a window of ``WORDS`` words. Equal windows have their minimiser at the
+same place, so what repeats has a kept suffix in common. The kept suffixes are sorted by their leading
+words, in ranges over all tasks, and compared with their neighbours; those without a like neighbour are
+out. From the others the match is extended to the left and to the right, window by window: a kept suffix
+stands for the windows whose minimiser it is, up to ``WORDS`` - ``GRAM`` words to its left, and a window
+belongs to the match as long as another place has its equal. What the repeated windows cover, joined where
+they overlap, is a repeated passage.
+
+A window is known by 128 bits made from 128-bit hashes of its words. A group of equal windows is only
+counted, never gathered, so that a passage which very many texts share costs no more than its places.
 
 Of equal windows, the one with the smallest (doc_id, place) is the first (in each row that has them);
 ``later`` passages are those covered by windows that aren't.
 
 Nulls: a null or short text has no passages. A null doc_id comes before all others. Rows that repeat
-both doc_id and text are places of their own and have equal results. Extra columns are ignored. An
-empty table gives an empty result.
+both doc_id and text are places of their own and have equal results. A text may have any length; it is
+read as a whole. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-WORDS, GRAM, BITS = 50, 8, 1 << 26
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_PLACE = np.uint64((1 << 26) - 1)
+WORDS, GRAM = 50, 8
+_BASES = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)]
+_BACKS = [np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,22 +74,34 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
 class Batch:
     """Texts as one array of word hashes, with their windows and minimisers."""
 
-    def __init__(self, texts: list[str | None], words: int, gram: int):
+    def __init__(self, texts: list[str | None], words: int, gram: int, with_windows: bool):
         each = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         self.sizes = np.array([len(w) for w in each], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[: len(each)]
-        h, n = xxhash.xxh64_intdigest, int(self.sizes.sum())
-        hashes = np.fromiter((h(w) for own in each for w in own), np.uint64, n)
-        forth, back = _powers(_BASE, n), _powers(_BACK, n)
-        self.grams, self.windows = _runs(hashes, gram, forth, back), _runs(hashes, words, forth, back)
-        order = (self.grams & ~_PLACE) | np.arange(len(self.grams), dtype=np.uint64)
-        self.anchor = (_least(order, words - gram + 1) & _PLACE).astype(np.int64)
-        self.doc = np.repeat(np.arange(len(each)), self.sizes)[: len(self.windows)]
-        self.whole = np.arange(len(self.windows)) + words <= (self.starts + self.sizes)[self.doc]
-
-
-def _batches(batch: pa.RecordBatch, words: int, gram: int, most: int = 1 << 22):
-    """Parts of a batch that have about ``most`` bytes at most (a longer text is a part alone)."""
+        h, n = xxhash.xxh3_128_digest, int(self.sizes.sum())
+        hashes = np.frombuffer(b"".join([h(w) for own in each for w in own]), np.uint64).reshape(n, 2)
+        forth, back = zip(*((_powers(f, n), _powers(b, n)) for f, b in zip(_BASES, _BACKS, strict=True)), strict=True)
+        self.grams = _runs(hashes[:, 0], gram, forth[0], back[0])
+        n_windows = max(0, n - words + 1)
+        # where each window's minimiser is: the least place in the order of (hash, place)
+        order = np.argsort(self.grams, kind="stable")
+        rank = np.empty(len(order), np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        self.anchor = order[_least(rank, words - gram + 1).astype(np.int64)]
+        self.windows = [_runs(hashes[:, k], words, forth[k], back[k]) for k in (0, 1)] if with_windows else None
+        self.doc = np.repeat(np.arange(len(each)), self.sizes)[:n_windows]
+        self.whole = np.arange(n_windows) + words <= (self.starts + self.sizes)[self.doc]
+
+    def lists(self, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """For sorted places in the array: offsets of each text's, and the places in their texts."""
+        of = np.searchsorted(self.starts, at, side="right") - 1
+        # empty texts begin where the next text does: the last of equal starts has the words
+        return pa.array(np.searchsorted(of, np.arange(len(self.sizes) + 1)).astype(np.int32)), (at - self.starts[of]).astype(np.int32)
+
+
+def _batches(batch: pa.RecordBatch, words: int, gram: int, with_windows: bool, most: int = 1 << 22):
+    """(first row, its part) of parts of a batch that have about ``most`` bytes at most (a longer text is
+    a part alone)."""
     texts = batch["text"].to_pylist()
     at = 0
     while at < len(texts):
@@ -97,57 +109,92 @@ def _batches(batch: pa.RecordBatch, words: int, gram: int, most: int = 1 << 22):
         while end < len(texts) and (end == at or size + len(texts[end] or "") <= most):
             size += len(texts[end] or "")
             end += 1
-        yield at, Batch(texts[at:end], words, gram)
+        yield at, Batch(texts[at:end], words, gram, with_windows)
         at = end
 
 
-def suffixes(docs: DataFrame, words: int, gram: int) -> DataFrame:
-    """The leading words (a hash) of every kept suffix."""
+def kept_suffixes(texts: DataFrame, words: int, gram: int) -> DataFrame:
+    """tid, n_words, and the places and leading words (a hash) of the kept suffixes of each text."""
 
     def work(batches):
         for batch in batches:
-            for _, b in _batches(batch, words, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(b.grams[np.unique(b.anchor[b.whole])].view(np.int64))], names=["lead"])
+            for at, b in _batches(batch, words, gram, False):
+                kept = np.unique(b.anchor[b.whole])
+                offsets, place = b.lists(kept)
+                columns = [batch["tid"].slice(at, len(b.sizes)), pa.array(b.sizes), pa.ListArray.from_arrays(offsets, pa.array(place)), pa.ListArray.from_arrays(offsets, pa.array(b.grams[kept].view(np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["tid", "n_words", "places", "leads"])
 
-    return docs.select("text").mapInArrow(work, "lead long")
+    return texts.mapInArrow(work, "tid binary, n_words long, places array<int>, leads array<bigint>")
 
 
-def neighbours(leads: DataFrame, bits: int) -> np.ndarray:
-    """A bit map (of ``bits`` bits) of the leading words that more than one kept suffix has."""
-    size = 1 << 16
-    twice = leads.groupBy("lead").agg(F.count("*").alias("n")).filter("n > 1").select(F.pmod("lead", F.lit(bits)).alias("bit")).distinct()
+ALIKE, OPEN, EDGE = 0, 1, 2
 
-    def part(f: pd.DataFrame) -> pd.DataFrame:
-        own = np.zeros(size, bool)
-        own[f["bit"].to_numpy(np.int64) % size] = True
-        return pd.DataFrame({"part": [int(f["bit"].iloc[0]) // size], "own": [np.packbits(own).tobytes()]})
 
-    out = np.zeros(bits // 8, np.uint8)
-    for r in twice.withColumn("part", F.expr(f"bit div {size}")).groupBy("part").applyInPandas(part, "part long, own binary").toLocalIterator():
-        out[r.part * size // 8 : (r.part + 1) * size // 8] = np.frombuffer(r.own, np.uint8)
-    return out
+def with_neighbours(suffixes: DataFrame) -> DataFrame:
+    """tid and the places of the kept suffixes that a neighbour in the sorted array is like.
 
+    The array is cut into ranges, so that what very many suffixes begin with is cut up too. A range also
+    tells the leads at its two ends; a suffix there that is like none in its range is like one of another
+    range if that tells the same lead."""
+    spark = suffixes.sparkSession
+    rows = suffixes.select("tid", F.explode(F.arrays_zip("places", "leads")).alias("s")).select(F.col("s.leads").alias("lead"), "tid", F.col("s.places").alias("place"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    array = rows.repartitionByRange(ranges, "lead", "tid", "place").sortWithinPartitions("lead")
 
-def candidates(docs: DataFrame, seen: np.ndarray, words: int, gram: int) -> DataFrame:
-    """doc_id, text_hash, n_words, starts, windows: the windows around kept suffixes with neighbours."""
-    bits = len(seen) * 8
+    def work(batches):
+        part, held, first = TaskContext.get().partitionId(), None, True
+        names = ["kind", "part", "lead", "tid", "place"]
+
+        def out(batch, kind):
+            n = batch.num_rows
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), batch["lead"], batch["tid"], batch["place"]], names=names)
+
+        def compared(batch, before, after):
+            """Of the rows with a lead before and one after, those like a neighbour; the rest at the ends."""
+            lead = batch["lead"].to_numpy(zero_copy_only=False)
+            same = lead[1:] == lead[:-1]
+            alike = np.concatenate(([before is not None and before == lead[0]], same)) | np.concatenate((same, [after is not None and after == lead[-1]]))
+            yield out(batch.filter(pa.array(alike)), ALIKE)
+            ends = np.zeros(len(lead), bool)
+            ends[0], ends[-1] = before is None, after is None
+            yield out(batch.filter(pa.array(ends & ~alike)), OPEN)
+            yield out(batch.filter(pa.array(ends)), EDGE)
+
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield from compared(held, before, batch["lead"][0].as_py())
+                before = held["lead"][held.num_rows - 1].as_py()
+            held, first = batch, False
+        if held is not None:
+            yield from compared(held, before, None)
+
+    found = common.staged(array.mapInArrow(work, "kind int, part int, lead long, tid binary, place int"), "suffix-array")
+    edges = found.filter(F.col("kind") == EDGE).select("lead", "part").distinct().groupBy("lead").count().filter("count > 1").select("lead")  # two for each range at most
+    alike = found.filter(F.col("kind") == ALIKE).unionByName(found.filter(F.col("kind") == OPEN).join(F.broadcast(edges), "lead", "left_semi"))
+    return alike.groupBy("tid").agg(F.collect_list("place").alias("places"))
+
+
+def extended(texts: DataFrame, places: DataFrame, words: int, gram: int) -> DataFrame:
+    """tid, low, and start and hashes (w1, w2) of the windows around each text's ``places``."""
 
     def work(batches):
         for batch in batches:
-            for at, b in _batches(batch, words, gram):
-                lead = b.grams[b.anchor]
-                bit = np.mod(lead.view(np.int64), bits)
-                chosen = np.flatnonzero(b.whole & (seen[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1).astype(bool))
-                n = len(b.sizes)
-                offsets = np.searchsorted(b.doc[chosen], np.arange(n + 1)).astype(np.int32)
-                place = (chosen - b.starts[b.doc[chosen]]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(at, n), batch["text_hash"].slice(at, n), pa.array(b.sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(place)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(b.windows[chosen].view(np.int64)))],
-                    names=["doc_id", "text_hash", "n_words", "starts", "windows"],
-                )
-
-    given = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return given.mapInArrow(work, "doc_id long, text_hash long, n_words long, starts array<int>, windows array<bigint>")
+            for at, b in _batches(batch, words, gram, True):
+                own = np.zeros(int(b.sizes.sum()) + 1, bool)
+                for i, at_words in enumerate(batch["places"].slice(at, len(b.sizes)).to_pylist()):
+                    own[b.starts[i] + np.array(at_words, np.int64)] = True
+                chosen = np.flatnonzero(b.whole & own[b.anchor])
+                offsets, place = b.lists(chosen)
+                columns = [batch["tid"].slice(at, len(b.sizes)), batch["low"].slice(at, len(b.sizes))]
+                columns += [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place, b.windows[0][chosen].view(np.int64), b.windows[1][chosen].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["tid", "low", "starts", "first", "second"])
+
+    found = texts.join(places, "tid").mapInArrow(work, "tid binary, low long, starts array<int>, first array<bigint>, second array<bigint>")
+    each = common.staged(found, "suffix-windows").select("tid", "low", F.explode(F.arrays_zip("starts", "first", "second")).alias("w"))
+    return each.select("tid", "low", F.col("w.starts").alias("start"), F.col("w.first").alias("w1"), F.col("w.second").alias("w2"))
 
 
 def _covered(starts: str, words: int) -> str:
@@ -160,24 +207,32 @@ def _covered(starts: str, words: int) -> str:
     return f"aggregate({starts}, struct({none} as done, struct(-1 as start, -1 as end) as cur), (a, s) -> {step}, a -> if(a.cur.end < 0, a.done, concat(a.done, array(a.cur))))"
 
 
-def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, bits: int = BITS) -> DataFrame:
-    """For each row: doc_id, text_hash, n_words, spans and later (arrays of start and end in words)."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    leads = common.staged(suffixes(given, words, gram), "suffix-leads")
-    found = common.staged(candidates(given, neighbours(leads, bits), words, gram), "suffix-windows")
-    at = found.filter(F.size("windows") > 0).select("doc_id", "text_hash", F.explode(F.arrays_zip("windows", "starts")).alias("w")).select("doc_id", "text_hash", F.col("w.windows").alias("window"), F.col("w.starts").alias("start"))
-    groups = at.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).filter("n > 1").select("window", "first")
+def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame:
+    """For each row: doc_id, n_words, spans and later (arrays of start and end in words)."""
+    tid = F.unhex(F.substring(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), 1, 32))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), tid.alias("tid"))
+    ids = given.groupBy("tid", "doc_id").agg(F.count("*").alias("m"))
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "m"))
+    texts = ids.groupBy("tid").agg(F.sum("m").alias("rows"), first.alias("low")).select("tid", "rows", F.col("low.doc_id").alias("low"), F.col("low.m").alias("m"))
+    texts = common.staged(texts, "suffix-texts")
+    row = lambda d: F.struct("tid", F.coalesce(F.col(d), F.lit(0).cast("long")), F.col(d).isNull())
+    folded = common.one_of_each(given.withColumn("row", row("doc_id")), "row", texts.select(row("low").alias("row"), F.col("m").alias("n")))
+    kept = common.staged(kept_suffixes(folded.select("tid", "text"), words, gram), "suffix-kept")
+    at = extended(folded.select("tid", F.col("doc_id").alias("low"), "text"), common.staged(with_neighbours(kept), "suffix-places"), words, gram)
+    place = F.struct(F.col("low").isNotNull().alias("some"), "low", "start")
+    groups = at.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").select("w1", "w2", "first")
     groups = common.staged(groups, "suffix-groups")  # read anew, so that the join can split a window that very many have
-    again = at.join(groups, "window")
-    own = F.struct("doc_id", "start")
-    later = F.when(~own.eqNullSafe(F.col("first")), F.col("start"))
-    places = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("start")).alias("s_all"), F.sort_array(F.collect_set(later)).alias("s_later"))
-    places = places.select(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash"), F.expr(_covered("s_all", words)).alias("spans"), F.expr(_covered("s_later", words)).alias("later"))
+    again = at.join(groups, ["w1", "w2"])
+    later = F.when(~place.eqNullSafe(F.col("first")), F.col("start"))
+    spans = again.groupBy("tid").agg(F.sort_array(F.collect_list("start")).alias("s_all"), F.sort_array(F.collect_list(later)).alias("s_later"))
+    spans = spans.select("tid", F.expr(_covered("s_all", words)).alias("s_spans"), F.expr(_covered("s_later", words)).alias("s_later"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_hash"))
-    return found.select("doc_id", "text_hash", "n_words").join(places, same, "left").select("doc_id", "text_hash", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("later", none).alias("later"))
+    known = texts.join(kept.select("tid", "n_words"), "tid").join(spans, "tid", "left")
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
+    copied = (F.col("rows") > 1) & (F.col("n_words") >= words)
+    known = known.select("tid", "low", "n_words", F.when(copied, whole).otherwise(F.coalesce("s_spans", none)).alias("spans"), F.coalesce("s_later", none).alias("first_later"), F.when(copied, whole).otherwise(none).alias("copy_later"))
+    own = F.col("doc_id").eqNullSafe(F.col("low"))
+    return given.select("doc_id", "tid").join(known, "tid").select("doc_id", "n_words", "spans", F.when(own, F.col("first_later")).otherwise(F.col("copy_later")).alias("later"))
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -6,28 +6,32 @@ import pytest
 from chronolake.llm import suffix
 
 
+def joined(starts, size):
+    spans = []
+    for s in sorted(starts):
+        if spans and s <= spans[-1][1]:
+            spans[-1][1] = s + size
+        else:
+            spans.append([s, s + size])
+    return [tuple(x) for x in spans]
+
+
 def plain(rows, size):
-    """Every window against every other."""
+    """Every window against every other: (spans, later spans) of each row."""
     places = defaultdict(list)
     for i, (d, t) in enumerate(rows):
         w = (t or "").split()
         for s in range(len(w) - size + 1):
             places[tuple(w[s : s + size])].append((d is not None, d, s, i))
-    cover = [set() for _ in rows]
+    cover, later = [set() for _ in rows], [set() for _ in rows]
     for own in places.values():
         if len(own) > 1:
-            for *_, s, i in own:
-                cover[i].add(s)
-    out = []
-    for starts in cover:
-        spans = []
-        for s in sorted(starts):
-            if spans and s <= spans[-1][1]:
-                spans[-1][1] = s + size
-            else:
-                spans.append([s, s + size])
-        out.append([tuple(x) for x in spans])
-    return out
+            first = min(own, key=lambda p: (p[0], p[1] or 0, p[2]))[:3]
+            for *place, i in own:
+                cover[i].add(place[2])
+                if tuple(place) != first:
+                    later[i].add(place[2])
+    return [(joined(a, size), joined(b, size)) for a, b in zip(cover, later, strict=True)]
 
 
 def corpus(size, seed):
@@ -44,13 +48,15 @@ def corpus(size, seed):
     return rows + [(100, rows[3][1]), (101, "x " * (2 * size)), (102, None), (103, ""), (None, rows[4][1]), (5, rows[5][1] + " z")]
 
 
-@pytest.mark.parametrize("size, gram, bits", [(50, 8, 1 << 20), (20, 4, 1 << 16), (12, 3, 1 << 16)])
-def test_against_every_window(spark, size, gram, bits):
+@pytest.mark.parametrize("size, gram", [(50, 8), (20, 4), (12, 3)])
+def test_against_every_window(spark, size, gram):
     rows = corpus(size, size)
+    rows += [(200 + i, f"own{i} " * 3 + " ".join(f"shared{k}" for k in range(size + 4)) + f" end{i}") for i in range(150)]  # one passage in very many
+    rows += [(400, " ".join(["one", "two"] * (3 * size))), (401, rows[3][1]), (3, rows[3][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS start", "2 AS window")
     got = defaultdict(list)
-    for r in suffix.passages(docs.repartition(3), size, gram, bits).collect():
-        got[(r.doc_id, r.n_words)].append([(s.start, s.end) for s in r.spans])
+    for r in suffix.passages(docs.repartition(3), size, gram).collect():
+        got[(r.doc_id, r.n_words)].append(([(s.start, s.end) for s in r.spans], [(s.start, s.end) for s in r.later]))
     want = defaultdict(list)
     for (d, t), spans in zip(rows, plain(rows, size), strict=True):
         want[(d, len((t or "").split()))].append(spans)
@@ -64,3 +70,13 @@ def test_query_first_and_empty(spark, tmp_path):
     got = sorted(tuple(r) for r in suffix.op7_suffix_dedup(spark, str(tmp_path)).collect())
     assert got == [(1, 62, 1, 60, 0, "1:61", ""), (2, 60, 1, 60, 60, "0:60", "0:60"), (3, 1, 0, 0, 0, "", ""), (3, 1, 0, 0, 0, "", "")]
     assert suffix.passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_text(spark):
+    """A text that is far longer than a part of a batch, with a passage at both ends."""
+    rng = random.Random(2)
+    p = [f"p{i}" for i in range(70)]
+    w = p + [f"w{rng.randrange(10**9)}" for _ in range(900_000)] + p
+    docs = spark.createDataFrame([(1, " ".join(w)), (2, "a b " + " ".join(p[:60]))], "doc_id long, text string")
+    got = {r.doc_id: ([tuple(s) for s in r.spans], [tuple(s) for s in r.later]) for r in suffix.passages(docs).collect()}
+    assert got == {1: ([(0, 70), (900070, 900140)], [(900070, 900140)]), 2: ([(2, 62)], [(2, 62)])}
