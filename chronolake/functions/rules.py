@@ -33,7 +33,7 @@ class Rule:
         if self.unit == "occurrences":
             n = F.regexp_count(text, F.lit(self.pattern))
         elif self.unit == "lines":
-            n = F.size(F.filter(lines(text), lambda x: x.rlike(self.pattern) & (~x.rlike(self.unless) if self.unless else F.lit(True))))
+            n = F.size(F.filter(F.col(f"_lines_{self.source}"), lambda x: x.rlike(self.pattern) & (~x.rlike(self.unless) if self.unless else F.lit(True))))
         elif self.unit == "files":
             n = text.rlike(self.pattern).cast("int")
         else:
@@ -51,6 +51,8 @@ def apply(files: DataFrame, rules: list[Rule], keys: list[str] | None = None) ->
     patterns run in one pass over the files."""
     keys = keys or KEYS
     names = list(dict.fromkeys(r.name for r in rules))
+    for source in sorted({r.source for r in rules if r.unit == "lines"}):  # cut to lines once for all rules
+        files = files.withColumn(f"_lines_{source}", lines(source))
     each = files.select(*keys, *(sum((r.column() for r in rules if r.name == n), F.lit(0)).cast("bigint").alias(n) for n in names))
     return each.groupBy(*keys).agg(*(F.sum(n).alias(n) for n in names))
 
@@ -64,9 +66,18 @@ def register_metric(name: str, function) -> None:
     _metrics[name] = function
 
 
-def all_metrics(files: DataFrame) -> DataFrame:
-    """The metrics of every registered group, side by side; null where a group has no row."""
+def all_metrics(files: DataFrame, failed: dict[str, Exception] | None = None) -> DataFrame:
+    """The metrics of every registered group, side by side; null where a group has no row. Where
+    ``failed`` is given, a group whose plan can't be made goes there with its error, and the others are
+    kept; otherwise the error is raised."""
     out = files.select(*KEYS).distinct()
     for name in sorted(_metrics):
-        out = out.join(_metrics[name](files), KEYS, "left")
+        try:
+            own = _metrics[name](files)
+        except Exception as e:
+            if failed is None:
+                raise
+            failed[name] = e
+            continue
+        out = out.join(own, KEYS, "left")
     return out

@@ -75,14 +75,15 @@ def counted(failures: DataFrame, outcome: DataFrame) -> DataFrame:
 
 def projected(stored: DataFrame, fresh: DataFrame, key: str, columns: list[str], authoritative: tuple[str, ...] = ()) -> DataFrame:
     """Narrow upsert: a fresh value wins unless it is null; an authoritative column is overwritten by
-    the fresh row, null or not. A description hash is cleared when a new title arrives otherwise."""
+    the fresh row, null or not. A description hash is cleared whenever a title arrives
+    otherwise."""
     f = fresh.select(key, F.lit(True).alias("_in"), *(F.col(c).alias(f"_{c}") for c in columns))
     both = stored.join(f, key, "full_outer")
     out = []
     for c in columns:
         new = F.when(F.col("_in") & F.lit(c in authoritative), F.col(f"_{c}")).otherwise(F.coalesce(f"_{c}", c))
         if c == "description_hash" and c not in authoritative and "title" in columns:
-            new = F.when(F.col("_title").isNotNull() & ~F.col("_title").eqNullSafe(F.col("title")), F.lit(None)).otherwise(new)
+            new = F.when(F.col("_title").isNull(), new)
         out.append(new.alias(c))
     return both.select(key, *out)
 

@@ -19,14 +19,15 @@ def fingerprint(df: DataFrame, package: str, version: str) -> DataFrame:
     return df.agg(F.sha2(joined, 256).alias("fingerprint"))
 
 
-def fingerprint_by_parts(df: DataFrame, package: str, version: str, parts: int = 4096) -> DataFrame:
+def fingerprint_by_parts(df: DataFrame, package: str, version: str, digits: int = 3) -> DataFrame:
     """A digest for any number of keys, another value than ``fingerprint``: each package's versions are
-    digested, then the packages of each part, then the parts."""
-    own = df.groupBy(package).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.col(version).cast("string"))), ","), 256).alias("d"))
-    part = own.withColumn("_part", F.pmod(F.xxhash64(package), F.lit(parts)))
+    digested, then the packages of each part, which is named by the first ``digits`` hexadecimal digits of
+    the package's own digest, then the parts."""
+    p = F.col(package).cast("string")
     digest = lambda c: F.sha2(F.array_join(F.sort_array(F.collect_list(c)), ","), 256)
-    part = part.groupBy("_part").agg(digest(F.concat(F.col(package).cast("string"), F.lit(":"), F.col("d"))).alias("d"))
-    return part.agg(digest(F.concat(F.col("_part").cast("string"), F.lit(":"), F.col("d"))).alias("fingerprint"))
+    own = df.groupBy(p.alias("_p")).agg(digest(F.col(version).cast("string")).alias("d"))
+    part = own.groupBy(F.substring(F.md5("_p"), 1, digits).alias("_part")).agg(digest(F.concat("_p", F.lit(":"), "d")).alias("d"))
+    return part.agg(digest(F.concat("_part", F.lit(":"), "d")).alias("fingerprint"))
 
 
 def counts(tables: dict[str, DataFrame], package: str = "package") -> DataFrame:
@@ -47,10 +48,10 @@ def stats(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def manifest(tables: dict[str, DataFrame], keyed: DataFrame, package: str, version: str, columns: list[str]) -> DataFrame:
-    """One row of JSON: counts per table, statistics, fingerprint."""
+    """One row of JSON: counts per table, statistics, fingerprint (by parts)."""
     c = counts(tables, package).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("table_name", F.struct("n_rows", "n_packages"))))).alias("tables"))
     s = stats(keyed, columns).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", F.struct("mean", "median"))))).alias("stats"))
-    one = c.crossJoin(s).crossJoin(fingerprint(keyed, package, version))  # one row each
+    one = c.crossJoin(s).crossJoin(fingerprint_by_parts(keyed, package, version))  # one row each
     return one.select(F.to_json(F.struct("tables", "stats", "fingerprint")).alias("manifest"))
 
 
@@ -85,7 +86,7 @@ def coverage_alerts(now: DataFrame, before: DataFrame, floor: int = 100, share:
         F.when(F.col("measured") == 0, "never measured"),
         F.when((F.col("kind") == "flag") & (F.col("measured") > 0) & (F.col("positive") == 0), "true for none"),
         F.when((F.col("measured_before") > floor) & (F.col("measured") < F.col("measured_before") * share), "measured fell"),
-        F.when((F.col("positive_before") > floor) & (F.coalesce("positive", F.lit(0)) < F.col("positive_before") * share), "positive fell"),
+        F.when((F.col("positive_before") > floor) & (F.col("positive") < F.col("positive_before") * share), "positive fell"),
     )
     return df.select("metric", F.explode(F.array_compact(alerts)).alias("alert"))
 

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.text import strip
 
-BUCKET = 1 << 14
-
 
 def within_budget(rows: DataFrame, order: list, text: str, room: int) -> DataFrame:
     """Rows, in order, while their bytes and a line end each stay within ``room``. Only the first
@@ -31,10 +29,11 @@ def top_with_rest(rows: DataFrame, order: list, k: int) -> DataFrame:
 
 
 def row_metrics(df: DataFrame) -> DataFrame:
-    """n_functions from exports and internals (null only if both are), else the fallback; n_deps, else
-    counted from the raw text."""
-    both = F.coalesce(F.col("n_exports"), F.lit(0)) + F.coalesce(F.col("n_internal"), F.lit(0))
-    functions = F.when(F.col("n_exports").isNotNull() | F.col("n_internal").isNotNull(), both).otherwise(F.col("n_functions_fallback"))
+    """n_functions from exports and internals (null only if both are); the fallback only where the table
+    has neither column. n_deps, else counted from the raw text."""
+    split = [F.col(c) for c in ("n_exports", "n_internal") if c in df.columns]
+    total = sum((F.coalesce(c, F.lit(0)) for c in split), F.lit(0))
+    functions = F.when(F.coalesce(*split).isNotNull(), total) if split else F.col("n_functions_fallback")
     counted = F.size(F.filter(F.transform(F.split("raw_deps", ","), strip), lambda x: (x != "") & ~x.rlike(r"^R\b(?!\.)")))
     return df.withColumn("n_functions", functions).withColumn("n_deps", F.coalesce("n_deps_direct", F.when(F.col("raw_deps").isNotNull(), counted)))
 

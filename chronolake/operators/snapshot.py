@@ -6,12 +6,12 @@ measured absence 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronolake.functions import parse
 from chronolake.functions.rules import KEYS, Rule, apply
-from chronolake.functions.text import basename, blank_to_null, extension, line_count, or_empty, ratio, strip, words
+from chronolake.functions.text import basename, blank_to_null, extension, line_count, lines, or_empty, ratio, strip, words
 
 # Paths and extensions.
 R_SOURCE = r"^R/.*\.[Rr]$"
@@ -21,7 +21,11 @@ NOT_CODE = (
     r"(?i)\.(rda|rdata|pdf|png|jpg|jpeg|gif|bmp|svg|ico|woff|woff2|eot|ttf|otf|gz|zip|tar|bz2|xz|7z|"
     r"dll|so|dylib|o|a|lib|pyd|class|jar|pyc|xlsx|xls|docx|doc|pptx|ppt|mp3|mp4|ogg|wav|avi|mov)$"
 )
-NOT_TEXT = NOT_CODE[:-2] + "|rds|sam|bam|bai|cram|fasta|fa|fastq|fq|vcf|bcf|bed|wig|bedgraph|bigwig|bw|bigbed|bb)$"
+NOT_TEXT = (
+    r"(?i)\.(rda|rdata|pdf|png|jpg|jpeg|gif|bmp|svg|ico|woff|woff2|eot|ttf|otf|gz|zip|tar|bz2|xz|7z|"
+    r"dll|so|dylib|o|a|lib|pyd|class|jar|pyc|xlsx|xls|docx|doc|pptx|ppt|mp3|mp4|ogg|wav|avi|mov|"
+    r"rds|sam|bam|bai|cram|fasta|fa|fastq|fq|vcf|bcf|bed|wig|bedgraph|bigwig|bw|bigbed|bb)$"
+)
 SUM_FILE = r"(^|/)MD5$"
 VIGNETTE = r"^vignettes/.*\.([Rr](md|nw|html|rst|tex)|qmd|md)$"
 READMES = ["README.md", "README.Rmd", "README.qmd", "README.markdown"]
@@ -44,7 +48,7 @@ UNSAFE = [
     Rule("unsafe_pattern_score", R_SOURCE, r"eval\s*\(\s*parse\s*\(\s*text\s*=", weight=3),
     Rule("unsafe_pattern_score", R_SOURCE, r"system\s*\(\s*paste\s*\(", weight=2),
     Rule("unsafe_pattern_score", R_SOURCE, r"system2\s*\([^\n]*paste\s*\(", weight=2),
-    Rule("unsafe_pattern_score", R_SOURCE, r"^(?=.*Sys\.setenv\s*\().*=\s*[A-Za-z_.]", unit="lines", weight=2, source="unquoted"),
+    Rule("unsafe_pattern_score", R_SOURCE, r"=\s*[A-Za-z_.]", unit="lines", weight=2, source="set_lines"),
     Rule("unsafe_pattern_score", R_SOURCE, r"download\.file\s*\(|\burl\s*\(|\bcurl\s*\(", weight=2, where=HOOK),
 ]
 SECRETS = [
@@ -66,12 +70,9 @@ STATE = [
     Rule("debug_artifacts", R_SOURCE, r"^\s*(?:print|cat)\s*\(", unit="lines", source="bare", unless=r"\b(?:message|warning|stop)\s*\("),
 ]
 
-# A line up to the # of its comment: runs outside quotes, and whole strings. Possessive, so linear.
-BEFORE_COMMENT = r"""(?m)^((?:[^"'#\n]++|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')*+)#.*$"""
-
 # License tokens that are known, and those of them that are open source.
 LICENSES_OSI = ["GPL-2", "GPL-3", "GPL (>= 2)", "GPL (>= 3)", "LGPL-2", "LGPL-2.1", "LGPL-3", "LGPL (>= 2)", "LGPL (>= 2.1)", "MIT", "BSD_2_clause", "BSD_3_clause", "Apache License 2.0", "Apache License (>= 2)", "MPL-2.0", "Artistic-2.0", "AGPL-3", "AGPL (>= 3)"]
-LICENSES_KNOWN = [*LICENSES_OSI, "CC0", "CC BY 4.0", "CC-BY-4.0", "Unlimited", "file LICENSE", "file LICENCE"]
+LICENSES_KNOWN = ["GPL-2", "GPL-3", "GPL (>= 2)", "GPL (>= 3)", "LGPL-2", "LGPL-2.1", "LGPL-3", "LGPL (>= 2)", "LGPL (>= 2.1)", "MIT", "BSD_2_clause", "BSD_3_clause", "Apache License 2.0", "Apache License (>= 2)", "MPL-2.0", "Artistic-2.0", "AGPL-3", "AGPL (>= 3)", "CC0", "CC BY 4.0", "CC-BY-4.0", "Unlimited", "file LICENSE", "file LICENCE"]
 LICENSES_TEMPLATE = ["MIT", "BSD_2_clause", "BSD_3_clause"]
 
 
@@ -117,10 +118,12 @@ def size_by_class(rows: DataFrame, by: list[str], text: str) -> DataFrame:
 
 
 def _prepared(files: DataFrame) -> DataFrame:
-    """Adds bare (comments cut) and unquoted (string contents cut) texts of sources."""
-    bare = F.when(_is(R_SOURCE), F.regexp_replace("content", BEFORE_COMMENT, "$1")).otherwise("")
-    unquoted = F.when(_is(R_SOURCE), F.regexp_replace(F.regexp_replace("content", "'[^']*'", "''"), '"[^"]*"', '""')).otherwise("")
-    return files.withColumn("bare", bare).withColumn("unquoted", unquoted)
+    """Adds bare (lines up to their first #) and set_lines (the lines that set environment variables,
+    without what stands in quotes) of sources."""
+    source = lambda c: F.when(_is(R_SOURCE), c).otherwise("")
+    cut = lambda x: F.regexp_replace(F.regexp_replace(x, "'[^']*'", "''"), '"[^"]*"', '""')
+    set_lines = F.array_join(F.transform(F.filter(lines("content"), lambda x: x.rlike(r"Sys\.setenv\s*\(")), cut), "\n")
+    return files.withColumn("bare", source(F.regexp_replace("content", "#[^\n]*", ""))).withColumn("set_lines", source(set_lines))
 
 
 def rule_metrics(files: DataFrame) -> DataFrame:
@@ -289,8 +292,8 @@ def documentation(files: DataFrame) -> DataFrame:
                 wrapped = None
                 if examples is not None:
                     body = examples.strip()
-                    start = next((len(p) for p in ("\\dontrun{", "\\donttest{") if body.startswith(p)), None)
-                    end = parse.balanced(body, start) if start else None
+                    start = parse.WRAPPER.match(body)
+                    end = parse.balanced(body, start.end()) if start else None
                     wrapped = end is not None and not body[end + 1 :].strip()
                 params = parse.usage_params(usage) if usage is not None else []
                 missing = [p for p in params if p not in parse.item_names(arguments or "")]
@@ -330,8 +333,8 @@ def license_tokens(license: Column) -> Column:
 
 
 def all_in(tokens: Column, known: list[str]) -> Column:
-    """Every token is in the list (no tokens: false)."""
-    return (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.array_contains(F.lit(known), t))
+    """Every token is in the list; null without tokens."""
+    return F.when(F.size(tokens) > 0, F.forall(tokens, lambda t: F.array_contains(F.lit(known), t)))
 
 
 def _entries(c: str) -> Column:
@@ -352,18 +355,16 @@ def described(files: DataFrame) -> DataFrame:
     every = F.concat(_entries("Imports"), _entries("Depends"))
     remotes = words(F.coalesce(c("Remotes"), F.lit("")))
     required = F.filter(F.transform(F.split(c("SystemRequirements"), r",|\band\b"), lambda x: F.lower(F.trim(x))), lambda x: x != "")
-    unfilled = F.exists(tokens, lambda t: F.array_contains(F.lit(LICENSES_TEMPLATE), t)) & F.col("_lic").rlike(r"(?i)<year>|<copyright holder|YEAR:\s*(?:YYYY)?\s*(?:\n|$)|COPYRIGHT HOLDER:\s*(?:\n|$)")
+    unfilled = F.exists(tokens, lambda t: F.array_contains(F.lit(LICENSES_TEMPLATE), t)) & F.col("_lic").rlike(r"\bYEAR\b|\bCOPYRIGHT HOLDER\b")
     refers = F.coalesce(c("License").rlike(r"\bfile\s+LICEN[SC]E\b"), F.lit(False))
-    plain = F.transform(F.filter(F.split(F.regexp_replace(F.coalesce(c("Author"), F.lit("")), r"\[[^\]]*\]|\([^)]*\)|<[^>]*>", ""), r",|\band\b"), lambda x: F.trim(x) != ""), strip)
-    listed = F.transform("persons", lambda p: F.concat_ws(" ", p["given"], p["family"]))
-    authors = F.when(F.size("persons") > 0, listed).otherwise(plain)
+    authors = F.when(blank_to_null("Authors@R").isNotNull(), F.when(F.size("persons") > 0, F.col("persons"))).when(blank_to_null("Author").isNotNull(), parse.free_authors(c("Author")))
     return f.select(
         *KEYS,
         blank_to_null("License").alias("license"),
         all_in(tokens, LICENSES_KNOWN).alias("spdx_valid"),
         all_in(tokens, LICENSES_OSI).alias("osi_approved"),
         F.when(~refers, None).when(F.coalesce(F.trim("_lic"), F.lit("")) == "", False).otherwise(~unfilled).alias("license_file_completeness"),
-        F.when(blank_to_null("Authors@R").isNotNull(), c("Authors@R").rlike(r"\bcph\b")).when(blank_to_null("Author").isNotNull(), True).alias("copyright_holder_declared"),
+        F.when(blank_to_null("Authors@R").isNotNull(), c("Authors@R").rlike("[\"]cph[\"]|[']cph[']")).when(blank_to_null("Author").isNotNull(), True).alias("copyright_holder_declared"),
         deps.alias("dep_list"),
         F.size(deps).alias("n_deps_direct"),
         *(blank_to_null(n).alias(n.lower()) for n in ("Imports", "Depends", "Suggests", "LinkingTo", "Enhances")),
@@ -378,7 +379,7 @@ def described(files: DataFrame) -> DataFrame:
         blank_to_null("Title").alias("title"),
         blank_to_null("Description").alias("description"),
         authors.alias("authors"),
-        F.size(authors).alias("n_authors"),
+        F.when(authors.isNotNull(), F.size(authors)).alias("n_authors"),
     )
 
 
@@ -414,22 +415,22 @@ def vignette_metrics(files: DataFrame) -> DataFrame:
 
 
 def deprecation_signals(files: DataFrame) -> DataFrame:
-    """symbols named in deprecation calls, and whether life-cycle calls are used."""
+    """symbols named in deprecation calls, and whether life-cycle calls are used. Of a life-cycle call the
+    second text counts, without a package in front and parentheses behind."""
     r = F.when(_is(R_SOURCE), F.col("content")).otherwise("")
     direct = F.regexp_extract_all(r, F.lit(r"\.(?:Deprecated|Defunct)\s*\(\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    cycle = F.regexp_extract_all(r, F.lit(r"deprecate_(?:soft|warn|stop)\s*\(\s*[\"'][^\"']*[\"']\s*,\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    bare = F.transform(F.concat(direct, cycle), lambda x: F.regexp_replace(F.regexp_replace(x, r"\(.*$", ""), r"^.*::", ""))
-    return files.groupBy(*KEYS).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(bare)))).alias("symbols"), F.bool_or(r.rlike(r"\bdeprecate_(?:soft|warn|stop)\s*\(")).alias("uses_lifecycle"))
+    calls = F.regexp_extract_all(r, F.lit(r"lifecycle::deprecate_(?:warn|soft|stop)\s*\([^,\n]+,\s*[\"'][^\"']+[\"']"), F.lit(0))
+    second = F.transform(calls, lambda x: F.get(F.regexp_extract_all(x, F.lit(r"[\"']([^\"']+)[\"']"), F.lit(1)), F.lit(1)))
+    bare = F.filter(F.transform(second, lambda x: F.regexp_replace(F.regexp_replace(x, "^[^:]+::", ""), r"\(\)$", "")), lambda x: x != "")
+    found = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.concat(direct, bare)))))
+    return files.groupBy(*KEYS).agg(found.alias("symbols"), F.bool_or(r.rlike(r"lifecycle::deprecate_(?:warn|soft|stop)")).alias("uses_lifecycle"))
 
 
 def archive_fields(files: DataFrame) -> DataFrame:
-    """Identity fields of DESCRIPTION with the digest of its bytes."""
+    """The twelve identity fields of DESCRIPTION files with the digest of their bytes (a column
+    content_bytes, where there is one, else the text's)."""
     d = files.filter(_named(["DESCRIPTION"]))
-    f = parse.field(parse.fields(d, KEYS), KEYS, "Title", "Description", "License", "URL", "BugReports", "Maintainer", "Author", "Date", "NeedsCompilation", "Repository")
-    return f.join(d.select(*KEYS, F.sha2("content", 256).alias("description_hash")), KEYS)
-
-
-def keep_latest(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows of each package's latest version."""
-    w = Window.partitionBy("package").orderBy(*order)
-    return rows.withColumn("_r", F.rank().over(w)).filter("_r = 1").drop("_r")
+    url = parse.field(parse.fields(d, KEYS), KEYS, "URL").select(*KEYS, blank_to_null(F.trim("URL")).alias("url"))
+    own = described(d).select(*KEYS, "title", "description", "authors", "maintainer", "maintainer_email", F.trim("license").alias("license"), "depends", "imports", "suggests", "linkingto", "enhances")
+    digest = d.select(*KEYS, F.sha2("content_bytes" if "content_bytes" in files.columns else "content", 256).alias("description_hash"))
+    return own.join(url, KEYS, "left").join(digest, KEYS)

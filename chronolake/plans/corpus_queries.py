@@ -36,7 +36,7 @@ LICENSE_RULES = [
     rules.Rule("license_score", "", r"(?i)released under", weight=3),
     rules.Rule("mail_lines", "", "[a-z0-9.]+@[a-z0-9.]+", unit="lines"),
     rules.Rule("shouting_files", "", "[A-Z]{4,}!!", unit="files"),
-    rules.Rule("assigned_secrets", "", "(password=|token = |AKIA)", most_bytes=20000),
+    rules.Rule("assigned_secrets", "", "(password=|token = |AKIA)"),
     rules.Rule("digit_lines_without_mail", "", "[0-9]", unit="lines", unless="@"),
 ]
 
@@ -127,6 +127,26 @@ def fields_of_documents(spark, sf_dir):
 _D = "WITH f AS (SELECT source AS package, lang AS version, text AS content FROM documents), l AS (SELECT package, version, unnest(string_split(content, chr(10))) AS l FROM f) "
 _P = "WITH p AS (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS package, CAST(page_id % 5 AS VARCHAR) AS version, html FROM pages), loc AS (SELECT *, CASE WHEN html = '' THEN 0 ELSE len(string_split(html, chr(10))) - CASE WHEN html LIKE '%' || chr(10) THEN 1 ELSE 0 END END AS n FROM p) "
 
+_UNSAFE = _P + r""", b AS (SELECT package, version, l, regexp_replace(l, '#.*$', '') AS b FROM (SELECT package, version, unnest(string_split(html, chr(10))) AS l FROM p)),
+k AS (SELECT package, version,
+  count(*) FILTER (WHERE b LIKE '%<<-%') + count(*) FILTER (WHERE regexp_matches(b, '\bassign\s*\([^)]*(?:\.GlobalEnv|globalenv\s*\(|baseenv\s*\()'))
+  + count(*) FILTER (WHERE regexp_matches(b, '\boptions\s*\([^)]*=')) + count(*) FILTER (WHERE regexp_matches(b, '\bSys\.setenv\s*\(')) AS s,
+  count(*) FILTER (WHERE regexp_matches(b, '(^|[^A-Za-z0-9_.])[TF]($|[^A-Za-z0-9_.=])')) + count(*) FILTER (WHERE regexp_matches(b, '\b1:(?:length|nrow|ncol)\s*\('))
+  + count(*) FILTER (WHERE regexp_matches(b, '^[ \t]{2,}.*\b(?:require|library)\s*\(')) + count(*) FILTER (WHERE regexp_matches(b, '\.Internal\s*\(')) AS i,
+  count(*) FILTER (WHERE regexp_matches(b, '^\s*browser\s*\(\s*\)')) + count(*) FILTER (WHERE regexp_matches(b, '^\s*(?:print|cat)\s*\(') AND NOT regexp_matches(b, '\b(?:message|warning|stop)\s*\(')) AS g,
+  2 * count(*) FILTER (WHERE regexp_matches(l, 'Sys\.setenv\s*\(') AND regexp_matches(regexp_replace(regexp_replace(l, '''[^'']*''', '''''', 'g'), '"[^"]*"', '""', 'g'), '=\s*[A-Za-z_.]')) AS e
+  FROM b GROUP BY 1, 2),
+f AS (SELECT package, version, sum(n) AS loc,
+  sum(3 * len(regexp_extract_all(html, 'eval\s*\(\s*parse\s*\(\s*text\s*=')) + 2 * len(regexp_extract_all(html, 'system\s*\(\s*paste\s*\(')) + 2 * len(regexp_extract_all(html, 'system2\s*\([^\n]*paste\s*\('))
+    + CASE WHEN regexp_matches(html, '\.on(?:Load|Attach)\s*<-\s*function') THEN 2 * len(regexp_extract_all(html, 'download\.file\s*\(|\burl\s*\(|\bcurl\s*\(')) ELSE 0 END) AS u,
+  sum(CASE WHEN strlen(html) <= 1000000 THEN len(regexp_extract_all(html, 'AKIA[0-9A-Z]{16}')) + len(regexp_extract_all(html, 'gh[pous]_[A-Za-z0-9_]{36,}|github_pat_[A-Za-z0-9_]{36,}'))
+    + len(regexp_extract_all(html, '(?i)(?:api[_-]?key|api[_-]?secret|secret[_-]?key|access[_-]?token)\s*[=:]\s*["''][A-Za-z0-9+/=_\-]{16,}["'']'))
+    + len(regexp_extract_all(html, '(?i)(?:password|passwd|api_?key|auth_?token|secret)\s*=\s*["''][A-Za-z0-9+/]{40,}={0,2}["'']')) ELSE 0 END) AS secrets
+  FROM loc GROUP BY 1, 2)
+SELECT package, version, CAST(u + e AS BIGINT) AS unsafe_pattern_score, CAST(secrets AS BIGINT) AS secret_pattern_count, s * 1000.0::DOUBLE / loc AS global_state_write_density,
+  i * 1000.0::DOUBLE / loc AS deprecated_idiom_density, g * 1000.0::DOUBLE / loc AS debug_artifact_density FROM f JOIN k USING (package, version)
+"""
+
 QUERIES = {
     "size_by_class": (
         size_by_class,
@@ -136,7 +156,7 @@ QUERIES = {
     "pattern_score": (
         pattern_score,
         _D + ", a AS (SELECT package, version, sum(2 * len(regexp_extract_all(content, '(?i)licen[cs]e')) + 3 * len(regexp_extract_all(content, '(?i)released under'))) AS license_score, "
-        "count(*) FILTER (WHERE regexp_matches(content, '[A-Z]{4,}!!')) AS shouting_files, sum(CASE WHEN strlen(content) <= 20000 THEN len(regexp_extract_all(content, '(password=|token = |AKIA)')) ELSE 0 END) AS assigned_secrets FROM f GROUP BY 1, 2), "
+        "count(*) FILTER (WHERE regexp_matches(content, '[A-Z]{4,}!!')) AS shouting_files, sum(len(regexp_extract_all(content, '(password=|token = |AKIA)'))) AS assigned_secrets FROM f GROUP BY 1, 2), "
         "b AS (SELECT package, version, count(*) FILTER (WHERE regexp_matches(l, '[a-z0-9.]+@[a-z0-9.]+')) AS mail_lines, count(*) FILTER (WHERE regexp_matches(l, '[0-9]') AND NOT l LIKE '%@%') AS digit_lines_without_mail FROM l GROUP BY 1, 2) "
         "SELECT package, version, CAST(license_score AS BIGINT) AS license_score, mail_lines, shouting_files, CAST(assigned_secrets AS BIGINT) AS assigned_secrets, digit_lines_without_mail FROM a JOIN b USING (package, version)",
     ),
@@ -149,7 +169,7 @@ QUERIES = {
         _D + "SELECT package, version, CAST(sum(CASE WHEN strlen(content) <= 1000000 THEN len(regexp_extract_all(content, 'AKIA[0-9A-Z]{16}')) + len(regexp_extract_all(content, 'gh[pous]_[A-Za-z0-9_]{36,}|github_pat_[A-Za-z0-9_]{36,}')) "
         "+ len(regexp_extract_all(content, '(?i)(api[_-]?key|api[_-]?secret|secret[_-]?key|access[_-]?token)\\s*[=:]\\s*[\"''][A-Za-z0-9+/=_\\-]{16,}[\"'']')) + len(regexp_extract_all(content, '(?i)(password|passwd|api_?key|auth_?token|secret)\\s*=\\s*[\"''][A-Za-z0-9+/]{40,}={0,2}[\"'']')) ELSE 0 END) AS BIGINT) AS secret_pattern_count FROM f GROUP BY 1, 2",
     ),
-    "unsafe_pages": (unsafe_pages, None),
+    "unsafe_pages": (unsafe_pages, _UNSAFE),
     "prose_length": (prose_length, "SELECT doc_id, len(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> '')) AS n_words FROM documents"),
     "license_tokens": (
         license_tokens,
@@ -166,7 +186,7 @@ QUERIES = {
         analyzer_records,
         "SELECT user_id, 'summary' AS rec, min(event_id) AS name, arg_min(value, event_id) AS v FROM events WHERE event_type = 'purchase' GROUP BY 1 UNION ALL SELECT user_id, 'function', event_id, value FROM events WHERE event_type IS DISTINCT FROM 'purchase'",
     ),
-    "open_records": (open_records, None),
+    "open_records": (open_records, "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM events"),
     "version_tags": (
         version_tags,
         "WITH t AS (SELECT o_custkey AS package, strftime(o_orderdate, '%Y.%m') AS version, CASE WHEN o_orderkey % 11 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date, strftime(o_orderdate, '%Y-%m-%d') AS commit, o_orderkey AS seq FROM orders), "

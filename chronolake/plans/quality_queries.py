@@ -31,7 +31,9 @@ def manifest_stats(spark, sf_dir):
 
 def manifest_document(spark, sf_dir):
     v = order_versions(spark, sf_dir)
-    return quality.manifest({"orders": v}, v, "package", "seq", ["size"])
+    m = quality.manifest({"orders": v}, v, "package", "seq", ["size"])
+    of = lambda path, kind: F.get_json_object("manifest", f"$.{path}").cast(kind)
+    return m.select(of("tables.orders.n_rows", "bigint").alias("n_rows"), of("tables.orders.n_packages", "bigint").alias("n_packages"), of("stats.size.mean", "double").alias("mean"), of("stats.size.median", "double").alias("median"), of("fingerprint", "string").alias("fingerprint"))
 
 
 def _labelled(spark, sf_dir):
@@ -123,7 +125,7 @@ def row_metrics(spark, sf_dir):
 def bounded_report(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     fixed = d.groupBy("lang").agg(F.count("*").alias("n")).select(F.lit(1).alias("section"), F.row_number().over(series.Window.orderBy("lang")).cast("long").alias("line_no"), F.concat_ws(" ", "lang", F.col("n").cast("string")).alias("text"))
-    rows = d.select(F.lit(2).alias("section"), F.col("doc_id").alias("line_no"), F.concat_ws(" ", F.col("doc_id").cast("string"), "source", F.substring("text", 1, 30)).alias("text"))
+    rows = d.select(F.lit(2).alias("section"), F.col("doc_id").alias("line_no"), F.concat_ws(" ", F.col("doc_id").cast("string"), "source", "text").alias("text"))
     return report.bounded_report(fixed, rows, 20000).select("section", "line_no", "text")
 
 
@@ -143,6 +145,10 @@ def _covered(columns: dict[str, str], source: str) -> str:
     return " UNION ALL ".join(out)
 
 
+_PARTS = _V + (
+    ", own AS (SELECT CAST(package AS VARCHAR) AS p, sha256(string_agg(CAST(seq AS VARCHAR), ',' ORDER BY CAST(seq AS VARCHAR))) AS d FROM v GROUP BY 1), "
+    "part AS (SELECT substring(md5(p), 1, 3) AS k, sha256(string_agg(p || ':' || d, ',' ORDER BY p || ':' || d)) AS d FROM own GROUP BY 1), t AS (SELECT sha256(string_agg(k || ':' || d, ',' ORDER BY k || ':' || d)) AS fingerprint FROM part) "
+)
 _KINDS = {"doc_id": "number", "lang": "other", "n_chars": "number", "quality": "number", "toxic": "number", "long_text": "boolean"}
 _CHANGED = _V + (
     ", last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY released DESC, seq DESC) AS n FROM v) WHERE n = 1), "
@@ -151,7 +157,7 @@ _CHANGED = _V + (
 
 QUERIES = {
     "catalog_fingerprint": (catalog_fingerprint, _V + "SELECT sha256(string_agg(package || ':' || seq, ',' ORDER BY package, seq)) AS fingerprint FROM v"),
-    "catalog_fingerprint_parts": (catalog_fingerprint_parts, None),
+    "catalog_fingerprint_parts": (catalog_fingerprint_parts, _PARTS + "SELECT fingerprint FROM t"),
     "table_counts": (
         table_counts,
         "SELECT 'orders' AS table_name, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_packages FROM orders UNION ALL SELECT 'customer', count(*), count(DISTINCT c_custkey) FROM customer "
@@ -162,7 +168,7 @@ QUERIES = {
         "SELECT 'n_chars' AS metric, avg(n_chars) AS mean, median(n_chars) AS median FROM documents UNION ALL SELECT 'long_text', avg(n_chars / 2), median(n_chars / 2) FROM documents "
         "UNION ALL SELECT 'lang', NULL, NULL UNION ALL SELECT 'absent', NULL, NULL",
     ),
-    "manifest_document": (manifest_document, None),
+    "manifest_document": (manifest_document, _PARTS + "SELECT count(*) AS n_rows, count(DISTINCT package) AS n_packages, avg(size) AS mean, median(size) AS median, (SELECT fingerprint FROM t) AS fingerprint FROM v"),
     "metric_coverage": (metric_coverage, _LABELLED + _covered(_KINDS, "d")),
     "coverage_alerts": (
         coverage_alerts,
@@ -174,7 +180,7 @@ QUERIES = {
         + _covered(_KINDS | {"nothing": "number", "never": "boolean"}, "t")
         + "), j AS (SELECT ct.*, cb.measured AS mb, cb.positive AS pb FROM ct LEFT JOIN cb USING (metric)) "
         "SELECT metric, 'never measured' AS alert FROM j WHERE measured = 0 UNION ALL SELECT metric, 'true for none' FROM j WHERE kind = 'flag' AND measured > 0 AND positive = 0 "
-        "UNION ALL SELECT metric, 'measured fell' FROM j WHERE mb > 100 AND measured < mb * 0.5 UNION ALL SELECT metric, 'positive fell' FROM j WHERE pb > 100 AND coalesce(positive, 0) < pb * 0.5",
+        "UNION ALL SELECT metric, 'measured fell' FROM j WHERE mb > 100 AND measured < mb * 0.5 UNION ALL SELECT metric, 'positive fell' FROM j WHERE pb > 100 AND positive < pb * 0.5",
     ),
     "retention_check": (
         retention_check,
@@ -211,13 +217,13 @@ QUERIES = {
     ),
     "row_metrics": (
         row_metrics,
-        "SELECT p_partkey, CASE WHEN p_size % 2 = 0 OR p_size % 3 = 0 THEN CASE WHEN p_size % 2 = 0 THEN p_size ELSE 0 END + CASE WHEN p_size % 3 = 0 THEN p_size ELSE 0 END ELSE p_size * 10 END AS n_functions, "
+        "SELECT p_partkey, CASE WHEN p_size % 2 = 0 OR p_size % 3 = 0 THEN CASE WHEN p_size % 2 = 0 THEN p_size ELSE 0 END + CASE WHEN p_size % 3 = 0 THEN p_size ELSE 0 END END AS n_functions, "
         "CASE WHEN p_size % 5 = 0 THEN 7 ELSE len(list_filter(string_split(p_name, ' '), lambda x: trim(x) <> '')) END AS n_deps FROM part",
     ),
     "bounded_report": (
         bounded_report,
         "WITH f AS (SELECT 1 AS section, row_number() OVER (ORDER BY lang) AS line_no, concat_ws(' ', lang, n) AS text FROM (SELECT lang, count(*) AS n FROM documents GROUP BY 1)), "
-        "t AS (SELECT 2 AS section, doc_id AS line_no, concat_ws(' ', doc_id, source, substring(text, 1, 30)) AS text FROM documents), "
+        "t AS (SELECT 2 AS section, doc_id AS line_no, concat_ws(' ', doc_id, source, text) AS text FROM documents), "
         "k AS (SELECT section, line_no, text FROM (SELECT *, sum(strlen(text) + 1) OVER (ORDER BY section, line_no) AS b FROM t) WHERE b <= 20000 - (SELECT sum(strlen(text) + 1) FROM f)) SELECT * FROM f UNION ALL SELECT * FROM k",
     ),
 }

@@ -106,7 +106,7 @@ def sentinel_backfill(spark, sf_dir):
     rows = d.join(labels.groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id", "left").select(F.col("source").alias("package"), "doc_id", "quality")
     every = d.select(F.col("source").alias("package")).distinct()
     none = every.limit(0).select("package", F.lit(0).alias("consecutive_failures"))
-    return incremental.backfill(rows.filter("doc_id % 20 < 10 or quality is not null"), every, none, "quality")
+    return incremental.backfill(rows, every, none, "quality")
 
 
 def stale_scan(spark, sf_dir):
@@ -161,7 +161,7 @@ QUERIES = {
     "change_detection": (change_detection, _STATE + "SELECT package FROM todo"),
     "sentinel_backfill": (
         sentinel_backfill,
-        "WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) SELECT DISTINCT source AS package FROM documents LEFT JOIN q USING (doc_id) WHERE doc_id % 20 < 10 AND quality IS NULL",
+        "WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) SELECT DISTINCT source AS package FROM documents LEFT JOIN q USING (doc_id) WHERE quality IS NULL",
     ),
     "stale_scan": (stale_scan, "SELECT doc_id, CASE WHEN lang = 'en' THEN n_chars END AS scanned, lang AS build FROM documents"),
     "todo_shard": (todo_shard, _STATE + "SELECT package FROM (SELECT package FROM todo UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0) ORDER BY package LIMIT 400"),
@@ -180,7 +180,7 @@ QUERIES = {
         narrow_projection,
         "WITH c AS (SELECT c_custkey AS package, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS title, c_mktsegment AS license, md5(c_name) AS description_hash FROM customer), "
         "s AS (SELECT s_suppkey * 2 AS package, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS new FROM supplier) "
-        "SELECT package, coalesce(new, title) AS title, license, CASE WHEN new IS NOT NULL AND new IS DISTINCT FROM title THEN NULL ELSE description_hash END AS description_hash FROM c FULL JOIN s USING (package)",
+        "SELECT package, coalesce(new, title) AS title, license, CASE WHEN new IS NULL THEN description_hash END AS description_hash FROM c FULL JOIN s USING (package)",
     ),
     "harvest_selection": (
         harvest_selection,

@@ -13,12 +13,12 @@ TAG = r"^(?:R-)?[0-9]"
 
 
 def corpus(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files below ``path``/package/version/ as the table ``files``; a final newline is dropped. Empty
-    files aren't listed."""
+    """Files below ``path``/package/version/ as the table ``files``, with their bytes (content_bytes). The
+    text is without a final newline. Empty files aren't listed."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     rest = F.split(F.element_at(F.split(F.regexp_replace("path", r"^[a-z]+:/+", "/"), F.lit(path.rstrip("/").split(":")[-1].replace("//", "/") + "/"), 2), 2), "/", 3)
     text = F.regexp_replace(F.col("content").cast("string"), r"\n\z", "")
-    return raw.select(rest[0].alias("package"), rest[1].alias("version"), rest[2].alias("path"), text.alias("content"))
+    return raw.select(rest[0].alias("package"), rest[1].alias("version"), rest[2].alias("path"), text.alias("content"), F.col("content").alias("content_bytes"))
 
 
 def find(files: DataFrame, pattern: str) -> DataFrame:
@@ -42,7 +42,7 @@ def change_log(log: DataFrame) -> DataFrame:
     ``__C__sha<tab>date<tab>subject`` holds for the lines after it; the version is the first in the
     subject; ``-`` counts are null; lines of fewer than three fields are skipped."""
     w = Window.partitionBy("package").orderBy("line_no")
-    head = F.when(F.col("line").startswith("__C__"), F.split(F.substring("line", 6, 1 << 20), "\t"))
+    head = F.when(F.col("line").startswith("__C__"), F.split(F.expr("substring(line, 6)"), "\t"))
     df = log.withColumn("head", F.last(head, ignorenulls=True).over(w)).filter(~F.col("line").startswith("__C__") & F.col("head").isNotNull())
     p = F.split("line", "\t")
     version = F.nullif(F.regexp_extract(F.get("head", F.lit(2)), r"[0-9]+[._-][0-9]+(?:[._-][0-9]+)*", 0), F.lit(""))
@@ -69,15 +69,19 @@ def flattened(df: DataFrame) -> DataFrame:
     return df.select(*(F.to_json(c).alias(c) if t.startswith(nested) else F.col(c) for c, t in df.dtypes))
 
 
-def open_records(lines: DataFrame, base: StructType, nested: str = "columns") -> DataFrame:
+def open_records(lines: DataFrame, base: StructType, nested: str = "columns", most_keys: int = 10_000) -> DataFrame:
     """NDJSON records with whatever keys they have. A column is boolean, bigint or double if all its
     values are, else text (nested values as JSON); base columns are always there; n_cols is the length
-    of ``nested``. Only the names and kinds of the keys go through the driver."""
+    of ``nested``. Only the names and kinds of the keys go through the driver;
+    more than ``most_keys`` are an error."""
     rows = lines.select(F.from_json("line", "map<string,string>").alias("m")).filter("m is not null")
     each = rows.select(F.explode("m").alias("k", "v")).filter("v is not null")
     is_a = lambda p: F.bool_and(F.col("v").rlike(p))
     kinds = each.groupBy("k").agg(is_a("^(true|false)$").alias("boolean"), is_a(r"^-?[0-9]{1,18}$").alias("bigint"), is_a(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$").alias("double"))
-    found = {r.k: next((t for t in ("boolean", "bigint", "double") if r[t]), "string") for r in kinds.orderBy("k").collect()}
+    kinds = kinds.orderBy("k").limit(most_keys + 1).collect()
+    if len(kinds) > most_keys:
+        raise ValueError(f"records with more than {most_keys} keys")
+    found = {r.k: next((t for t in ("boolean", "bigint", "double") if r[t]), "string") for r in kinds}
     columns = [F.element_at("m", k).cast(t).alias(k) for k, t in found.items()]
     columns += [F.lit(None).cast(f.dataType).alias(f.name) for f in base if f.name not in found]
     if nested in found:

@@ -113,7 +113,7 @@ def test_functions(files):
 
 def test_documentation(files):
     r = one(snapshot.documentation(files))
-    assert r["dontrun_example_ratio"] == 0.5 and r["undocumented_params_rate"] == pytest.approx((1 / 3 + 1) / 2)
+    assert r["dontrun_example_ratio"] == 0.5 and r["undocumented_params_rate"] == pytest.approx((1 / 2 + 1) / 2)
     assert (r["value_doc_rate"], r["references_coverage"], r["roxygen_doc_coverage"]) == (0.5, 0.5, 1.0)
     r = one(snapshot.readme_and_news(files))
     assert (r["has_readme"], r["readme_prose_length"], r["news_structure_quality"]) == (True, 4, 1.0)
@@ -122,13 +122,13 @@ def test_documentation(files):
 
 def test_described(files):
     r = one(snapshot.described(files))
-    assert (r["license"], r["spdx_valid"], r["osi_approved"], r["license_file_completeness"], r["copyright_holder_declared"]) == ("MIT + file LICENSE", True, True, True, True)
+    assert (r["license"], r["spdx_valid"], r["osi_approved"], r["license_file_completeness"], r["copyright_holder_declared"]) == ("MIT + file LICENSE", True, True, False, True)
     assert (r["dep_list"], r["n_deps_direct"], r["dep_constraint_coverage"]) == (["rlang", "cli", "methods"], 3, 0.25)
     assert (r["non_registry_remotes"], r["remote_schemes"], r["system_requirements_count"]) == (2, ["github", "gitlab"], 2)
     assert (r["min_r_version"], r["testthat_edition"], r["maintainer"], r["maintainer_email"]) == ("4.1.0", 3, "Ann Lee", "ann@example.org")
-    assert r["authors"] == ["Ann Lee", "Bo (x) Ek"]
+    assert [tuple(a) for a in r["authors"]] == [("Ann", "Lee", ["aut", "cph"]), ("Bo (x)", "Ek", [])] and r["n_authors"] == 2
     bare = one(snapshot.described(files), "bare")
-    assert bare["license"] is None and bare["spdx_valid"] is False and bare["min_r_version"] is None
+    assert bare["license"] is None and bare["spdx_valid"] is None and bare["osi_approved"] is None and bare["authors"] is None and bare["min_r_version"] is None
     assert len(one(snapshot.archive_fields(files))["description_hash"]) == 64
 
 
@@ -149,7 +149,7 @@ def test_parsers(spark, files):
     got = spark.createDataFrame([(p,) for p in paths], "p string").select(parse.renamed("p").alias("r")).collect()
     assert [r.r for r in got] == ["src/new/a.R", "b/c.R", "inst/x", "plain"]
     assert parse.person_calls('person("A", "B", role = "aut"), person(first = "C", role = c("ctb", \'cph\')), person("open') == [("A", "B", ["aut"]), ("C", None, ["ctb", "cph"])]
-    assert parse.usage_params("f(a, b = c(1, 2), \\dots)") == ["a", "b", "..."]
+    assert parse.usage_params("f(a, b = c(1, 2), \\dots)") == ["a", "b"]
 
 
 def test_deprecation_and_registry(spark):
@@ -162,3 +162,51 @@ def test_deprecation_and_registry(spark):
     both = rules.all_metrics(f)
     assert {"n_files", "bundled_files"} <= set(both.columns) and both.count() == 2
 
+
+
+def described(spark, text, more=None):
+    rows = [("p", "1", "DESCRIPTION", text), *(("p", "1", path, c) for path, c in (more or {}).items())]
+    return one(snapshot.described(spark.createDataFrame(rows, "package string, version string, path string, content string")), "p")
+
+
+@pytest.mark.parametrize("license, file, complete", [("MIT + file LICENSE", "YEAR Jane Doe", False), ("MIT + file LICENSE", "2020 Jane Doe", True), ("MIT + file LICENSE", "  ", False), ("MIT + file LICENSE", None, False), ("GPL-3 + file LICENSE", "YEAR: 2020", True), ("GPL-3", "YEAR", None)])
+def test_license_file(spark, license, file, complete):
+    assert described(spark, f"Package: p\nLicense: {license}\n", {} if file is None else {"LICENSE": file})["license_file_completeness"] is complete
+
+
+def test_people(spark):
+    text = "Package: p\nAuthor: Ann Lee [aut, cre] <a@b.c>, Bo\n  and Max M Roe [ctb]\n"
+    r = described(spark, text)
+    assert [tuple(a) for a in r["authors"]] == [("Ann", "Lee", ["aut", "cre"]), (None, "Bo", []), ("Max M", "Roe", ["ctb"])] and r["copyright_holder_declared"] is True
+    assert described(spark, "Package: p\nAuthors@R: person('A', 'B', comment = 'cph')\n")["copyright_holder_declared"] is True
+    assert described(spark, "Package: p\nAuthors@R: person('A', 'cph-like')\n")["copyright_holder_declared"] is False
+
+
+def test_quotes_end_with_their_line(spark):
+    code = "# don't\nSys.setenv(A = x)\n# can't\nx <- 'a # b'; options(a = 1)\n"
+    f = spark.createDataFrame([("p", "1", "R/a.R", code)], "package string, version string, path string, content string")
+    r = one(snapshot.rule_metrics(f), "p")
+    assert r["unsafe_pattern_score"] == 2 and r["global_state_write_density"] == 250.0  # the comment begins at the first #
+
+
+def test_usage_and_items():
+    assert parse.usage_params("f(a, b = g(1, c), \\ldots) % x, y\nh(d, a = 2)") == ["a", "b", "c", "d"]
+    assert parse.item_names("\\item{a, b}{x} \\item {c}{y}") == ["a, b", "c"]
+
+
+def test_native_symbols_and_patterns(spark):
+    text = 'exportPattern("^[a-z]{1,3}$")\nuseDynLib("demo", one, two)\nS3method(print)\n'
+    d = parse.directives(spark.createDataFrame([("p", text)], "package string, content string"), ["package"])
+    assert {(r.kind, r.arg) for r in d.collect()} == {("exportPattern", "pattern:^[a-z]{1,3}$"), ("useDynLib", "demo"), ("useDynLib", "demo::one"), ("useDynLib", "demo::two")}
+
+
+def test_failures_are_kept_apart(spark):
+    f = spark.createDataFrame([("p", "1", "R/a.R", "x")], "package string, version string, path string, content string")
+    rules.register_metric("broken", lambda files: files.select("no_such_column"))
+    try:
+        failed = {}
+        assert rules.all_metrics(f, failed).count() == 1 and list(failed) == ["broken"]
+        with pytest.raises(Exception, match="no_such_column"):
+            rules.all_metrics(f)
+    finally:
+        rules._metrics.pop("broken")
