@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from chronolake.llm import common
 
 LENGTH, END, NODES, ROWS, WORDS_KEPT = 2048, 0, 20_000, 20_000, 200_000
-SPAN, TOKENS = 4096, 1 << 21
+SPAN, TOKENS, LEVELS = 4096, 1 << 21, 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict[str, "Encoder"] = {}
@@ -167,7 +167,7 @@ def _dominated(filling, left: dict[int, int], sizes: list[int], slack: int) -> b
 def _fillings(sizes: list[int], counts: dict[int, int], room: int):
     """The fillings of ``room``, best sum first and, of equal sums, those with larger pieces first; None in
     the place of a dominated one, so that looking at it counts as a step."""
-    sizes = [s for s in sizes if s <= room and counts[s]]
+    every, sizes = sizes, [s for s in sizes if s <= room and counts[s]]
     reach = [1] * (len(sizes) + 1)
     mask = (1 << (room + 1)) - 1
     for i in range(len(sizes) - 1, -1, -1):
@@ -195,7 +195,7 @@ def _fillings(sizes: list[int], counts: dict[int, int], room: int):
     for total in range(reach[0].bit_length() - 1, -1, -1):
         if reach[0] >> total & 1:
             for filling in of(0, total):
-                yield None if _dominated(filling, counts, sizes, room - total) else filling
+                yield None if _dominated(filling, counts, every, room - total) else filling
 
 
 class Solution(NamedTuple):
@@ -230,12 +230,13 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
     met: dict[bytes, int] = {}  # of each state, the fewest sequences it was met with
     bins = waste = steps = 0
 
-    def branches():
-        """(copies, pattern) to try from this state, whose counts are the same whenever it goes on."""
+    def branches(begin: int = 0, at_most: int | None = None):
+        """(copies, pattern, waste of each, filling's number) to try from this state, from a filling and a
+        number of copies of it on."""
         top = next(s for s in sizes if left[s])
-        own = left | {top: left[top] - 1}
-        for filling in _fillings(sizes, own, length - top):
-            if filling is None:
+        own = {s: n - (s == top) for s, n in left.items() if n}
+        for i, filling in enumerate(_fillings(list(own), own, length - top)):
+            if filling is None or i < begin:
                 yield None
                 continue
             need = Counter({top: 1})
@@ -246,14 +247,19 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
                 return
             copies = min(left[s] // k for s, k in need.items())
             copies = min(copies, room // lost) if lost else copies
+            copies = min(copies, at_most) if i == begin and at_most is not None else copies
             while copies:
-                yield copies, tuple(sorted(need.items(), reverse=True)), lost
+                yield copies, tuple(sorted(need.items(), reverse=True)), lost, i
                 copies //= 2
 
-    levels = [branches()] if fewest > bound else []
+    # of each level its branches, and the one taken; branches far up are dropped and made anew when needed
+    levels: list[list] = [[branches(), 0, None]] if fewest > bound else []
     while levels and fewest > bound and (nodes is None or steps < nodes):
         steps += 1
-        found = next(levels[-1], ())
+        level = levels[-1]
+        if level[0] is None:
+            level[0] = branches(level[1], level[2])
+        found = next(level[0], ())
         if found is None:
             continue
         if not found:
@@ -264,7 +270,8 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
                 for s, k in pattern:
                     left[s] += copies * k
             continue
-        copies, pattern, lost = found
+        copies, pattern, lost, i = found
+        level[1:] = [i, copies // 2]
         if waste + copies * lost > (fewest - 1) * length - total:
             continue
         for s, k in pattern:
@@ -280,8 +287,10 @@ def complete(counts: dict[int, int], length: int = LENGTH, nodes: int | None = N
                 left[s] += copies * k
             continue
         met[state] = bins
-        chosen.append(found)
-        levels.append(branches())
+        chosen.append((copies, pattern, lost))
+        levels.append([branches(), 0, None])
+        if len(levels) > LEVELS:
+            levels[-LEVELS - 1][0] = None
     return Solution(best, fewest, bound, fewest == bound or not levels)
 
 
