@@ -433,17 +433,27 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     in blocks of some ``nodes`` texts and ``hashes`` hashes, two in a task; no pair leaves it but the
     edges of a spanning forest of the similar ones."""
 
+    def sets_of(batch):
+        sets = [np.unique(_shingles(t, shingle_words)) for t in batch["text"].to_pylist()]
+        return sets, pa.array(np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64))
+
     def work(batches):
         for batch in common.parts(batches):
-            sets = [np.unique(_shingles(t, shingle_words)) for t in batch["text"].to_pylist()]
+            sets, node = sets_of(batch)
+            columns = [batch["doc_id"], batch["text_hash"], node, pa.array([len(x) for x in sets], pa.int64()), pa.array([wide_code(x) for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "size", "code"])
+
+    def hashes_of(batches):
+        for batch in common.parts(batches):
+            sets, node = sets_of(batch)
             offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, sets), np.int64, len(sets))))).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            columns = [batch["doc_id"], batch["text_hash"], pa.array(np.diff(offsets).astype(np.int64)), pa.array([wide_code(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "size", "code", "hashes"])
+            yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "hashes"])
 
-    fps = common.staged(_given(docs).mapInArrow(work, "doc_id long, text_hash long, size long, code binary, hashes array<bigint>").withColumn("node", F.xxhash64("hashes")), "simhash-wide")
-    # texts of one set are one point, known by a hash of it
-    reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code")), "simhash-points")
+    fps = common.staged(_given(docs).mapInArrow(work, "doc_id long, text_hash long, node long, size long, code binary"), "simhash-wide")
+    # texts of one set are one point, known by a hash of it; one row stands for it
+    row = F.xxhash64("doc_id", "text_hash")
+    reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code"), F.min(row).alias("row")), "simhash-points")
     ring = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / math.log(1 / similarity)).cast("int")
     points = reps.select("node", "size", "code", ring.alias("ring"))
     blocks = {r.ring: -(-r.n // block) for r in points.groupBy("ring").agg(F.count("*").alias("n")).collect()}  # a ring for each power of the ratio
@@ -474,14 +484,15 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
 
     cells = points.mapInPandas(deal, "node long, size long, code binary, ring int, kind int, i long, j long, home boolean")
     maybe = connected(cells.groupBy("ring", "kind", "i", "j").applyInPandas(close, "a long, b long"))
-    maybe = common.staged(maybe.select("node", F.col("root").alias("part")).distinct().join(reps.select("node", "size", "code"), "node"), "simhash-parts")
+    maybe = common.staged(maybe.select("node", F.col("root").alias("part")).distinct().join(reps.select("node", "size", "code", "row"), "node"), "simhash-parts")
 
     # those that may be similar, with their sets
-    asked = maybe.select("node")
-    sets = fps.select("node", "hashes").join(F.broadcast(asked) if asked.count() <= SENT else asked, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    asked = maybe.select("row")
+    sets = _given(docs).withColumn("row", row).join(F.broadcast(asked) if asked.count() <= SENT else asked, "row", "left_semi").select("text").mapInArrow(hashes_of, "node long, hashes array<bigint>")
+    sets = sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
     cut = maybe.groupBy("part").agg(F.greatest(F.ceil(F.count("*") / nodes), F.ceil(F.sum("size") / hashes), F.lit(1)).alias("cut"))
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut"))
-    met = maybe.join(cut, "part").withColumn("own", own).join(sets, "node")
+    met = maybe.drop("row").join(cut, "part").withColumn("own", own).join(sets, "node")
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"), (F.col("own") <= k).alias("home")))
     met = met.select("part", "node", "code", "hashes", F.explode(pair).alias("c")).select("part", "c.i", "c.j", "c.home", "node", "code", "hashes")
 
