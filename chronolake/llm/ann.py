@@ -53,8 +53,9 @@ def folded(vectors: DataFrame, k: int) -> DataFrame:
     return few.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("members"))
 
 
-def _matrix(blobs) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+def _matrix(blobs, kind: str) -> np.ndarray:
+    """Vectors kept as ``kind`` of number (their own, so nothing is lost), in double precision."""
+    return np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), -1).astype(np.float64)
 
 
 def _codes(x: np.ndarray, mean: np.ndarray, trees: int, levels: int, seed: int) -> np.ndarray:
@@ -133,6 +134,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
     fold = common.staged(folded(vectors, k), "ann-distinct")
     queries = vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), "h1", "h2").join(fold, ["h1", "h2"]).select("query_id", F.col("rep").alias("q"))
     asked = queries.select(F.col("q").alias("rep")).distinct().withColumn("asked", F.lit(True))
+    kind = "<f4" if dict(rows.dtypes)[vector] == "array<float>" else "<f8"
     kinds = "rep long, asked boolean, codes array<long>, vec binary"
     one = vectors.first()
     if one is None:
@@ -144,7 +146,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
         for f in frames:
             if len(f):
                 x = np.stack(f["vec"].to_numpy())
-                yield pd.DataFrame({"rep": f["rep"], "asked": f["asked"], "codes": list(_codes(x, mean, trees, levels, seed)), "vec": [r.tobytes() for r in x]})
+                yield pd.DataFrame({"rep": f["rep"], "asked": f["asked"], "codes": list(_codes(x, mean, trees, levels, seed)), "vec": [r.astype(kind).tobytes() for r in x]})
 
     distinct = vectors.join(fold.select(F.col("rep").alias("vec_id")), "vec_id").withColumnRenamed("vec_id", "rep")
     index = distinct.join(asked, "rep", "left").select("rep", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
@@ -159,7 +161,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
     arrays = {r.tree: np.frombuffer(r.below, np.int64) for r in each.groupBy("tree").applyInPandas(count, "tree int, below binary").collect()}  # fixed size
     forest = Forest(np.stack([arrays[t] for t in range(trees)]), levels)
     n = int(forest.below[0][-1])
-    wanted = _calibrated(index, forest, n, k, recall)
+    wanted = _calibrated(index, forest, n, k, recall, kind)
 
     def nearest(index: DataFrame, wanted: int) -> DataFrame:
         probe = index.filter("asked").select("codes")
@@ -208,7 +210,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
             ask = f[~item]
             if not len(ids) or not len(ask):
                 return pd.DataFrame({"q": [], "rep": [], "score": []})
-            x, q = _matrix(f["vec"].to_numpy()[item]), _matrix(ask["vec"].to_numpy())
+            x, q = _matrix(f["vec"].to_numpy()[item], kind), _matrix(ask["vec"].to_numpy(), kind)
             level, code, qid = ask["level"].to_numpy(np.int64), ask["code"].to_numpy(np.int64), ask["rep"].to_numpy(np.int64)
             low = (code >> (levels - level)) << (levels - level)
             lo, hi = np.searchsorted(codes, low), np.searchsorted(codes, low + (1 << (levels - level)))
@@ -241,19 +243,19 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
     return full.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", F.col("rep").alias("vec_id"), "score")
 
 
-def _calibrated(index: DataFrame, forest: Forest, n: int, k: int, recall: float) -> int:
+def _calibrated(index: DataFrame, forest: Forest, n: int, k: int, recall: float, kind: str) -> int:
     """The fewest candidates that give ``PROBES`` queries the wanted recall of their true neighbours
     among all rows."""
     probes = index.filter("asked").orderBy(F.xxhash64("rep"), "rep").limit(PROBES).collect()
     if not probes:
         return 1
-    q, codes, own = _matrix([r.vec for r in probes]), np.array([r.codes for r in probes], np.int64), np.array([r.rep for r in probes])
+    q, codes, own = _matrix([r.vec for r in probes], kind), np.array([r.codes for r in probes], np.int64), np.array([r.rep for r in probes])
 
     def exact(frames):
         for f in frames:
             if len(f):
                 ids, of = f["rep"].to_numpy(np.int64), np.stack(f["codes"].to_numpy())
-                i, rep, score = _search(_matrix(f["vec"].to_numpy()), ids, q, k + 1)
+                i, rep, score = _search(_matrix(f["vec"].to_numpy(), kind), ids, q, k + 1)
                 at = pd.Series(range(len(ids)), index=ids).loc[rep].to_numpy()
                 yield pd.DataFrame({"q": own[i], "rep": rep, "score": score, "common": _common(of[at], codes[i], forest.levels).max(axis=1)})
 
@@ -268,5 +270,4 @@ def _calibrated(index: DataFrame, forest: Forest, n: int, k: int, recall: float)
 
 
 def op4_ann(spark, sf_dir: str) -> DataFrame:
-    common.small_batches(spark, 4096)
     return search(common.table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
