@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-BLOCK, POWER, PARTS, ROWS, SEGMENT, PERIOD, FEW = 64, 0.7, 10_000, 20_000, 1 << 17, 1 << 17, 4096
+BLOCK, POWER, PARTS, ROWS, SEGMENT, PERIOD, FEW = 64, 0.7, 10_000, 4000, 1 << 17, 1 << 17, 4096
 AT = "mix_at"
 
 

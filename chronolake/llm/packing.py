@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-LENGTH, END, NODES, ROWS, WORDS_KEPT = 2048, 0, 20_000, 20_000, 200_000
+LENGTH, END, NODES, ROWS, WORDS_KEPT = 2048, 0, 20_000, 4000, 200_000
 SPAN, TOKENS, LEVELS = 4096, 1 << 21, 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

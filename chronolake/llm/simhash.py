@@ -417,7 +417,7 @@ def _linked(codes: np.ndarray, sets: list[np.ndarray], k: int, within: bool, mos
 SENT = 1_000_000
 
 
-def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192, nodes: int = 2048, hashes: int = 1 << 20) -> DataFrame:
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192, nodes: int = 512, hashes: int = 1 << 19) -> DataFrame:
     """A row for each row of ``docs``: doc_id, text_hash, root, component_id. Two texts are linked if
     their shingle sets have the Jaccard similarity. ``WIDE`` * 64-bit fingerprints only propose pairs
     (``radius``); what they propose is then decided by the sets themselves.
