@@ -66,9 +66,20 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+SENT = 1_000_000
+
+
+def sent(keys: DataFrame, weight: str | None = None) -> DataFrame:
+    """Keys (a written table) to be sent to every task, if there are ``SENT`` at most (or the sum of
+    ``weight``, SQL, is); more are left to a shuffle."""
+    n = (keys.agg(F.sum(F.expr(weight))).first()[0] or 0) if weight else keys.count()
+    return F.broadcast(keys) if n <= SENT else keys
+
+
 def one_of_each(rows: DataFrame, key: str, kept: DataFrame) -> DataFrame:
     """A row of ``rows`` for each ``key`` in ``kept`` (key, n: how many rows have it). Only rows of keys
     that several have are shuffled, one of each task's."""
-    once = rows.join(kept.filter("n = 1").select(key), key, "left_semi")
-    again = rows.join(kept.filter("n > 1").select(key), key, "left_semi").dropDuplicates([key])
+    once, more = kept.filter("n = 1").select(key), kept.filter("n > 1").select(key)
+    once = rows.join(sent(once), key, "left_semi")
+    again = rows.join(sent(more), key, "left_semi").dropDuplicates([key])
     return once.unionByName(again)

@@ -178,7 +178,7 @@ def with_neighbours(suffixes: DataFrame) -> DataFrame:
 
 
 def extended(texts: DataFrame, places: DataFrame, words: int, gram: int) -> DataFrame:
-    """tid, low, and start and hashes (w1, w2) of the windows around each text's ``places``."""
+    """short (of tid), low, and start and hashes (w1, w2) of the windows around each text's ``places``."""
 
     def work(batches):
         for batch in batches:
@@ -192,9 +192,10 @@ def extended(texts: DataFrame, places: DataFrame, words: int, gram: int) -> Data
                 columns += [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place, b.windows[0][chosen].view(np.int64), b.windows[1][chosen].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["tid", "low", "starts", "first", "second"])
 
-    found = texts.join(places, "tid").mapInArrow(work, "tid binary, low long, starts array<int>, first array<bigint>, second array<bigint>")
-    each = common.staged(found, "suffix-windows").select("tid", "low", F.explode(F.arrays_zip("starts", "first", "second")).alias("w"))
-    return each.select("tid", "low", F.col("w.starts").alias("start"), F.col("w.first").alias("w1"), F.col("w.second").alias("w2"))
+    found = texts.join(common.sent(places, "size(places) + 4"), "tid").mapInArrow(work, "tid binary, low long, starts array<int>, first array<bigint>, second array<bigint>")
+    # a row for each window: the text's id shortened to 64 bits, as its doc_id goes with it
+    each = common.staged(found, "suffix-windows").select(F.xxhash64("tid").alias("short"), "low", F.explode(F.arrays_zip("starts", "first", "second")).alias("w"))
+    return each.select("short", "low", F.col("w.starts").alias("start"), F.col("w.first").alias("w1"), F.col("w.second").alias("w2"))
 
 
 def _covered(starts: str, words: int) -> str:
@@ -216,7 +217,7 @@ def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame
     texts = ids.groupBy("tid").agg(F.sum("m").alias("rows"), first.alias("low")).select("tid", "rows", F.col("low.doc_id").alias("low"), F.col("low.m").alias("m"))
     texts = common.staged(texts, "suffix-texts")
     row = lambda d: F.struct("tid", F.coalesce(F.col(d), F.lit(0).cast("long")), F.col(d).isNull())
-    folded = common.one_of_each(given.withColumn("row", row("doc_id")), "row", texts.select(row("low").alias("row"), F.col("m").alias("n")))
+    folded = common.one_of_each(given.withColumn("row", row("doc_id")), "row", common.staged(texts.select(row("low").alias("row"), F.col("m").alias("n")), "suffix-rows"))
     kept = common.staged(kept_suffixes(folded.select("tid", "text"), words, gram), "suffix-kept")
     at = extended(folded.select("tid", F.col("doc_id").alias("low"), "text"), common.staged(with_neighbours(kept), "suffix-places"), words, gram)
     place = F.struct(F.col("low").isNotNull().alias("some"), "low", "start")
@@ -224,10 +225,10 @@ def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame
     groups = common.staged(groups, "suffix-groups")  # read anew, so that the join can split a window that very many have
     again = at.join(groups, ["w1", "w2"])
     later = F.when(~place.eqNullSafe(F.col("first")), F.col("start"))
-    spans = again.groupBy("tid").agg(F.sort_array(F.collect_list("start")).alias("s_all"), F.sort_array(F.collect_list(later)).alias("s_later"))
-    spans = spans.select("tid", F.expr(_covered("s_all", words)).alias("s_spans"), F.expr(_covered("s_later", words)).alias("s_later"))
+    spans = again.groupBy("short", "low").agg(F.sort_array(F.collect_list("start")).alias("s_all"), F.sort_array(F.collect_list(later)).alias("s_later"))
+    spans = spans.select("short", F.col("low").alias("s_low"), F.expr(_covered("s_all", words)).alias("s_spans"), F.expr(_covered("s_later", words)).alias("s_later"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    known = texts.join(kept.select("tid", "n_words"), "tid").join(spans, "tid", "left")
+    known = texts.join(kept.select("tid", "n_words"), "tid").withColumn("short", F.xxhash64("tid")).join(spans.withColumnRenamed("short", "s_short"), (F.col("short") == F.col("s_short")) & F.col("low").eqNullSafe(F.col("s_low")), "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     copied = (F.col("rows") > 1) & (F.col("n_words") >= words)
     known = known.select("tid", "low", "n_words", F.when(copied, whole).otherwise(F.coalesce("s_spans", none)).alias("spans"), F.coalesce("s_later", none).alias("first_later"), F.when(copied, whole).otherwise(none).alias("copy_later"))
