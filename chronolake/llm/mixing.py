@@ -13,7 +13,8 @@ first slot. So no slot is empty, and there are as many slots as blocks.
 Only a phase's first period has to be worked out, as the schedule repeats. Where weights have no
 period of ``PERIOD`` slots or less (1/3 given as a float has one of 2^54), the driver runs through the blocks once,
 keeping the state of the schedule at every ``SEGMENT``-th slot, and tasks work out the segments from
-there. A block finds its slot by a join on source and number.
+there. A hash bucket gets the slots of all blocks that it has rows of, so that whole rows are shuffled
+once, by bucket, whatever the size.
 
 Ranks within a source are counted in two levels (source, then a hash bucket), so that a source that
 holds most documents isn't ordered in one task. The number of sources must be small against a corpus:
@@ -174,13 +175,15 @@ def mix(docs: DataFrame, weights: dict[str, float | Fraction] | None = None, blo
     known = spark.createDataFrame([(s, buckets[s], float(Fraction(share[s], sum(share.values()) or 1))) for s in sorted(sizes)], "m_source string, m_buckets long, m_weight double")
     df = df.join(F.broadcast(known), "m_source").withColumn("m_bucket", F.pmod("m_hash", F.col("m_buckets")))  # a row for each source
     cells = common.staged(df.groupBy("m_source", "m_bucket").agg(F.count("*").alias("n")), "mix-cells")
-    cells = common.before(cells, "m_bucket", "n", "m_source").select("m_source", "m_bucket", F.col("before").alias("m_before"))
+    cells = common.before(cells, "m_bucket", "n", "m_source").select("m_source", "m_bucket", F.col("before").alias("m_before"), "n")
+    runs = cells.withColumn("m_block", F.expr(f"explode(sequence(m_before div {block}, (m_before + n - 1) div {block}))"))
+    places = F.sort_array(F.collect_list(F.struct("m_block", "m_slot", "m_release", "m_deadline"))).alias("m_places")
+    cells = runs.join(plan, ["m_source", "m_block"], "left").groupBy("m_source", "m_bucket", "m_before").agg(places)
     nth = F.row_number().over(Window.partitionBy("m_source", "m_bucket").orderBy("m_hash", "doc_id"))
-    df = df.withColumn("m_row", nth).join(cells, ["m_source", "m_bucket"])
-    rank = F.col("m_before") + F.col("m_row") - 1
-    df = df.withColumn("m_block", F.expr(f"(m_before + m_row - 1) div {block}")).withColumn("m_nth", (rank % block).cast("long"))
-    df = df.join(plan, ["m_source", "m_block"], "left")
-    return df.select(*docs.columns, "m_source", "m_weight", "m_block", "m_nth", "m_slot", "m_release", "m_deadline")
+    df = df.withColumn("m_row", nth).join(cells, ["m_source", "m_bucket"])  # as the window dealt them out: whole rows move once
+    df = df.withColumn("m_nth", ((F.col("m_before") + F.col("m_row") - 1) % block).cast("long"))
+    df = df.withColumn("m_at", F.get("m_places", F.expr(f"cast((m_before + m_row - 1) div {block} - m_before div {block} as int)")))
+    return df.select(*docs.columns, "m_source", "m_weight", "m_at.m_block", "m_nth", "m_at.m_slot", "m_at.m_release", "m_at.m_deadline")
 
 
 def mixed(docs: DataFrame, weights: dict[str, float | Fraction] | None = None) -> DataFrame:
