@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,10 +44,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def parts(batches, rows: int = 500):
     """Record batches cut to ``rows`` rows at most, so that a task builds its results for few texts at a
-    time. Spark bounds the batches themselves by bytes."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    time. Spark bounds the batches themselves by bytes. At the end of the task Arrow's free memory goes
+    back to the system, as the worker process stays."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable):
+    """What a worker process keeps for its next task: one thing at a time, so that those of a pipeline's
+    stages don't add up."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
 
 
 def before(rows: DataFrame, key: str, value: str, within: str | None = None, wide: int = 4096) -> DataFrame:

@@ -240,14 +240,18 @@ class Model:
         known, new, n = self.index.get, {}, len(self.index)
         places = [n + new.setdefault(w, len(new)) if (k := known(w)) is None else k for own in given for w in own]
         fresh = list(new)
-        logs = np.concatenate((self.logs, self.many(fresh))) if fresh else self.logs
+        logs = self.many(fresh)
         sizes = np.fromiter(map(len, given), np.int64, len(given))
         total, step = np.zeros((len(given), len(self.langs))), np.repeat(np.arange(len(given)), sizes)
+        at = np.array(places, np.int64)
+        kept = at < n
         for k in range(len(self.langs)):
-            total[:, k] = np.bincount(step, logs[places, k], len(given)) if len(places) else 0.0
-        if room := max(0, WORDS_KEPT - n):
+            each = np.empty(len(at))
+            each[kept], each[~kept] = self.logs[at[kept], k], logs[at[~kept] - n, k]
+            total[:, k] = np.bincount(step, each, len(given))
+        if fresh and (room := WORDS_KEPT - n) > 0:
             self.index |= {w: n + i for i, w in enumerate(fresh[:room])}
-            self.logs = logs[: n + room].copy()
+            self.logs = np.concatenate((self.logs, logs[:room]))
         out = []
         for t, size in zip(total.tolist(), sizes.tolist(), strict=True):
             if not size:
@@ -259,9 +263,6 @@ class Model:
         return out
 
 
-_models: dict[str, Model] = {}
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -321,10 +322,8 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, names
     given = docs.select(*keep, F.col("text").cast("string").alias("x_text"))
 
     def work(batches):
-        if model.name not in _models:
-            _models.clear()
-        own = _models.setdefault(model.name, model)  # its word cache stays for the worker's next task
-        for batch in common.parts(batches, 2000):
+        own = common.held(model.name, lambda: model)  # its word cache stays for the worker's next task
+        for batch in common.parts(batches):
             found = own.classify(batch["x_text"].to_pylist())
             columns = [batch[c] for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])

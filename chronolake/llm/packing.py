@@ -42,8 +42,6 @@ LENGTH, END, NODES, ROWS, WORDS_KEPT = 2048, 0, 20_000, 4000, 200_000
 SPAN, TOKENS, LEVELS = 4096, 1 << 21, 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-_encoders: dict[str, "Encoder"] = {}
-
 
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, as the tokenizer file has them. A text is
@@ -90,12 +88,13 @@ def encoder() -> Encoder:
     """One for each worker process."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    if path not in _encoders:
+    def make() -> Encoder:
         with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
             added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-        _encoders[path] = Encoder(path, public_tokenizers.PATTERN, added)
-    return _encoders[path]
+        return Encoder(path, public_tokenizers.PATTERN, added)
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return common.held(path, make)
 
 
 def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
