@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronolake.llm import ann, langid, license, mixing, packing, pii, simhash, sketch, suffix, warc
+from chronolake.llm import ann, langid, license, mixing, packing, pii, resample, simhash, sketch, suffix, trie, urlfilter, warc
 
 QUERIES = {
     "op1_license_scan": license.op1_license_scan,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op11_url_filter": urlfilter.op11_url_filter,
+    "op12_prefix_trie": trie.op12_prefix_trie,
+    "op13_resample": resample.op13_resample,
 }
-ORACLE_SQL: dict[str, str] = {"op9_warc": warc.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_warc": warc.OP9_SQL, "op11_url_filter": urlfilter.OP11_SQL, "op12_prefix_trie": trie.OP12_SQL, "op13_resample": resample.OP13_SQL}
