@@ -43,12 +43,14 @@ def dense_counts(keys: DataFrame, rows: DataFrame, key: str, name: str) -> DataF
     return keys.join(rows.groupBy(key).agg(F.count("*").alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def change_summary(changed: DataFrame, seed: DataFrame, universe: int, analysed: int) -> DataFrame:
-    """One row: new and updated packages against the seed, percent processed, remaining."""
+def change_summary(changed: DataFrame, seed: DataFrame, universe: int, analysed: int, batch: DataFrame | None = None) -> DataFrame:
+    """One row: new and updated packages against the seed, percent processed, remaining; with the outcomes
+    (package, ok) of the last batch, how many it had and how many failed."""
     c, s = changed.select("package").distinct(), seed.select("package").distinct().withColumn("_old", F.lit(True))
     both = c.join(s, "package", "left").agg(F.count_if(F.col("_old").isNull()).alias("n_new"), F.count_if(F.col("_old")).alias("n_updated"))
     percent = F.lit(100.0 * analysed / universe if universe else None).cast("double")
-    return both.withColumn("percent", F.floor(percent)).withColumn("remaining", F.lit(min(max(universe - analysed, 0), universe)).cast("bigint"))
+    both = both.withColumn("percent", F.floor(percent)).withColumn("remaining", F.lit(min(max(universe - analysed, 0), universe)).cast("bigint"))
+    return both if batch is None else both.crossJoin(batch.agg(F.count_if(~F.coalesce("ok", F.lit(False))).alias("n_failed"), F.count("*").alias("n_batch")))  # one row each
 
 
 def deltas(now: DataFrame, before: DataFrame) -> DataFrame:
