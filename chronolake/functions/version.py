@@ -15,6 +15,14 @@ def triple(version: Column | str) -> Column:
     return F.when(F.trim(v) != "", F.array(part(0), part(1), part(2))).otherwise(F.array(*[F.lit(None).cast("bigint")] * 3))
 
 
+def padded_key(version: Column | str) -> Column:
+    """Text that orders versions: dashes are dots, every run of digits is padded with zeros to ten (of a longer one the
+    last ten count). Null for a null version."""
+    v = F.col(version) if isinstance(version, str) else version
+    padded = F.regexp_replace(F.replace(v, F.lit("-"), F.lit(".")), "([0-9]++)", "000000000$1")
+    return F.regexp_replace(padded, "0*([0-9]{10})", "$1")
+
+
 def sort_key(version: Column | str) -> Column:
     """array<bigint> that orders versions by number: digits between dots and dashes; what isn't a
     number sorts first. Null for a null version."""

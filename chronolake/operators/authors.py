@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolake.functions.version import sort_key
+from chronolake.functions.version import padded_key
 
 AUTHORS = "array<struct<given:string,family:string,roles:array<string>>>"
 
@@ -25,7 +25,7 @@ def spans(rows: DataFrame, author: str, package: str, released: str, version: st
     """Per author and package: first and last version, their dates, the number of versions, and the
     latest display columns. Versions are ordered by date (missing last), number, text."""
     once = rows.dropDuplicates([author, package, version]) if not display else rows
-    order = F.struct(F.col(released).isNull(), F.col(released), sort_key(version), F.col(version))
+    order = F.struct(F.col(released).isNull(), F.col(released), padded_key(version), F.col(version))
     return once.groupBy(author, package).agg(
         F.min_by(version, order).alias("first_version"),
         F.min_by(released, order).alias("first_seen"),
