@@ -36,6 +36,25 @@ def counts(tables: dict[str, DataFrame], package: str = "package") -> DataFrame:
     return reduce(DataFrame.unionByName, each)
 
 
+def distinct_sketches(df: DataFrame, key: str, buckets: int = 64, log_k: int = 16) -> DataFrame:
+    """bucket, n_rows, sketch: of each bucket of keys a sketch of how many different ones it has. The sketches are kept with the
+    manifest; buckets are parted by key, so they merge, and one that changed is replaced alone."""
+    k = F.col(key).cast("string")
+    return df.groupBy(F.pmod(F.xxhash64(k), F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n_rows"), F.hll_sketch_agg(k, F.lit(log_k)).alias("sketch"))
+
+
+def refreshed_sketches(stored: DataFrame, changed: DataFrame, key: str, touched: list[int], buckets: int = 64, log_k: int = 16) -> DataFrame:
+    """The stored sketches, those of the ``touched`` buckets made anew from ``changed`` (all rows of these buckets); no row
+    of the others is read."""
+    return stored.filter(~F.col("bucket").isin(touched)).unionByName(distinct_sketches(changed, key, buckets, log_k))
+
+
+def distinct_estimate(sketches: DataFrame) -> DataFrame:
+    """One row: n_rows, n_distinct (estimated, within 2 % at the default size) of all buckets together."""
+    merged = sketches.agg(F.sum("n_rows").alias("n_rows"), F.hll_union_agg("sketch").alias("s"))
+    return merged.select(F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce(F.hll_sketch_estimate("s"), F.lit(0)).alias("n_distinct"))
+
+
 def stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """metric, mean, median of numeric columns without their nulls; null for the others and for columns
     that aren't there."""

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
 from chronolake.functions.parse import renamed
+from chronolake.sources.files import files as archive_files
 
 FILES = "package string, version string, released date, path string, content string"
 TAG = r"^(?:R-)?[0-9]"
 
 
-def corpus(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files below ``path``/package/version/ as the table ``files``, with their bytes (content_bytes). The
-    text is without a final newline. Empty files aren't listed."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    rest = F.split(F.element_at(F.split(F.regexp_replace("path", r"^[a-z]+:/+", "/"), F.lit(path.rstrip("/").split(":")[-1].replace("//", "/") + "/"), 2), 2), "/", 3)
-    text = F.regexp_replace(F.col("content").cast("string"), r"\n\z", "")
-    return raw.select(rest[0].alias("package"), rest[1].alias("version"), rest[2].alias("path"), text.alias("content"), F.col("content").alias("content_bytes"))
+def corpus(spark: SparkSession, path: str, pattern: str = "") -> DataFrame:
+    """Files below ``path``/package/version/ as the table ``files``, with their bytes (content_bytes): all of them, empty and
+    hidden ones too, or those whose path ``pattern`` is found in, before any is opened. The text is without a final newline."""
+    raw = archive_files(spark, path, pattern)
+    text = F.regexp_replace(F.col("content_bytes").cast("string"), r"\n\z", "")
+    return raw.select("package", "version", "path", text.alias("content"), "content_bytes")
 
 
 def find(files: DataFrame, pattern: str) -> DataFrame:
