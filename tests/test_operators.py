@@ -10,14 +10,15 @@ from chronolake.operators import authors, contents, incremental, quality, report
 
 
 @pytest.fixture(scope="module")
-def four(spark):
-    """One package, four versions."""
+def tide(spark):
+    """One package, five versions."""
     d = datetime.date
     rows = [
-        ("p", "1.0.0", d(2020, 1, 1), ["rlang"], ["foo", "baz"], [], 1),
-        ("p", "1.0.1", d(2020, 2, 1), ["rlang", "cli"], ["foo"], [], 2),
-        ("p", "1.1.0", d(2020, 4, 1), ["rlang", "cli"], ["foo", "bar"], ["bar"], 3),
-        ("p", "2.0.0", d(2021, 1, 1), ["rlang"], ["foo"], [], 4),
+        ("tide", "0.3.0", d(2019, 3, 10), ["glass", "fern"], ["load", "save", "peek"], ["peek"], 1),
+        ("tide", "0.3.2", d(2019, 3, 30), ["glass"], ["load", "save"], [], 2),
+        ("tide", "0.4.0", d(2019, 6, 8), ["glass", "moss"], ["load", "save", "scan"], [], 3),
+        ("tide", "1.0.0", d(2019, 6, 18), ["moss"], ["load", "scan", "tidy"], ["load"], 4),
+        ("tide", "1.0.1", d(2020, 6, 18), ["moss"], ["scan", "tidy"], [], 5),
     ]
     return spark.createDataFrame(rows, "package string, version string, released date, deps array<string>, exports array<string>, signals array<string>, seq long")
 
@@ -25,19 +26,20 @@ def four(spark):
 ORDER = ["released", "seq"]
 
 
-def test_series(four):
-    v = series.with_fidelity(series.with_bump(series.with_set_diff(four, "package", ORDER, "exports"), "package", ORDER, "version")).orderBy("seq").collect()
-    assert [r.bump for r in v] == ["initial", "patch", "minor", "major"] and [r.bump_fidelity for r in v] == [None, False, True, True]
-    assert series.drift(four, "package", ORDER, "deps").first().dependency_drift == 2
-    c = series.cadence(four, "package", "released").first()
-    assert (c.n_versions, c.cadence_days, str(c.latest_release)) == (4, 60, "2021-01-01")
-    cold = series.cold_removals(four, "package", ORDER, "exports", "signals").first()
-    assert (cold.n_removed, cold.n_cold, cold.cold_removal_rate) == (2, 1, 0.5)
-    one = series.cold_removals(four.filter("seq = 1"), "package", ORDER, "exports", "signals")
+def test_series(tide):
+    v = series.with_fidelity(series.with_bump(series.with_set_diff(tide, "package", ORDER, "exports"), "package", ORDER, "version")).orderBy("seq").collect()
+    assert [r.bump for r in v] == ["initial", "patch", "minor", "major", "patch"] and [r.bump_fidelity for r in v] == [None, False, True, True, False]
+    assert [(r.n_added, r.n_removed) for r in v] == [(3, 0), (0, 1), (1, 0), (1, 1), (0, 1)]
+    assert series.drift(tide, "package", ORDER, "deps").first().dependency_drift == 3  # fern goes, moss comes, glass goes
+    c = series.cadence(tide, "package", "released").first()
+    assert (c.n_versions, c.cadence_days, str(c.latest_release)) == (5, 45, "2020-06-18")  # of 20, 70, 10 and 366 days
+    cold = series.cold_removals(tide, "package", ORDER, "exports", "signals").first()
+    assert (cold.n_removed, cold.n_cold, round(cold.cold_removal_rate, 9)) == (3, 1, 0.333333333)  # save went unannounced
+    one = series.cold_removals(tide.filter("seq = 1"), "package", ORDER, "exports", "signals")
     assert one.count() == 0
-    level = series.deprecation_maturity(four.withColumn("lc", F.lit(None).cast("boolean")), "package", "signals", "lc").first()
+    level = series.deprecation_maturity(tide.withColumn("lc", F.lit(None).cast("boolean")), "package", "signals", "lc").first()
     assert level.deprecation_maturity == 1
-    assert [r.seq for r in series.current_only(four, "package", ORDER).collect()] == [4]
+    assert [r.seq for r in series.current_only(tide, "package", ORDER).collect()] == [5]
 
 
 def test_versions(spark):
@@ -49,20 +51,20 @@ def test_versions(spark):
 
 def test_spans(spark):
     rows = [
-        ("p", "1.0", "2020-01-01", '[{"given":"Alice","family":"Smith","roles":["aut"]}]'),
-        ("p", "1.10", "2020-03-01", '[{"given":"  ALICE ","family":"smith"},{"given":"Bob","family":null}]'),
-        ("p", "1.9", None, '[{"given":"Bob"}]'),
+        ("p", "1.0", "2020-01-01", '[{"given":"Ines","family":"Okafor","roles":["aut"]}]'),
+        ("p", "1.10", "2020-03-01", '[{"given":"  INES ","family":"okafor"},{"given":"Tomi","family":null}]'),
+        ("p", "1.9", None, '[{"given":"Tomi"}]'),
         ("q", "1", "2020-01-01", "not json"),
-        ("q", "2", "2021-01-01", '[{"given":null,"family":null},{"given":"Alice","family":"Smith"},{"given":"Alice","family":"Smith"}]'),
+        ("q", "2", "2021-01-01", '[{"given":null,"family":null},{"given":"Ines","family":"Okafor"},{"given":"Ines","family":"Okafor"}]'),
     ]
     df = spark.createDataFrame(rows, "package string, version string, released string, authors string")
     got = {(r.author_key, r.package): r for r in authors.spans(authors.exploded(df, "authors"), "author_key", "package", "released", "version", ["given"]).collect()}
-    assert set(got) == {("alice smith", "p"), ("bob ", "p"), ("alice smith", "q")}
-    a = got[("alice smith", "p")]
-    assert (a.first_version, a.last_version, a.n_versions, a.given) == ("1.0", "1.10", 2, "  ALICE ")
-    b = got[("bob ", "p")]
+    assert set(got) == {("ines okafor", "p"), ("tomi ", "p"), ("ines okafor", "q")}
+    a = got[("ines okafor", "p")]
+    assert (a.first_version, a.last_version, a.n_versions, a.given) == ("1.0", "1.10", 2, "  INES ")
+    b = got[("tomi ", "p")]
     assert (b.first_version, b.last_version, b.last_seen) == ("1.10", "1.9", None)
-    assert got[("alice smith", "q")].n_versions == 1
+    assert got[("ines okafor", "q")].n_versions == 1
 
 
 def test_churn(spark):
@@ -114,10 +116,10 @@ def test_incremental(spark):
 
 
 def test_quality(spark):
-    pairs = spark.createDataFrame([("Rcpp11", "1"), ("Rcpp", "2"), ("Rcpp", "10")], "p string, v string")
+    pairs = spark.createDataFrame([("elm7", "1"), ("elm", "2"), ("elm", "10")], "p string, v string")
     import hashlib
 
-    assert quality.fingerprint(pairs, "p", "v").first().fingerprint == hashlib.sha256(b"Rcpp:10,Rcpp:2,Rcpp11:1").hexdigest()
+    assert quality.fingerprint(pairs, "p", "v").first().fingerprint == hashlib.sha256(b"elm:10,elm:2,elm7:1").hexdigest()
     assert quality.fingerprint(pairs.limit(0), "p", "v").first().fingerprint == hashlib.sha256(b"").hexdigest()
     assert quality.fingerprint_by_parts(pairs, "p", "v").first() == quality.fingerprint_by_parts(pairs.repartition(3), "p", "v").first()
     figures = lambda rows: spark.createDataFrame(rows, "field string, value double")
