@@ -75,8 +75,8 @@ def counted(failures: DataFrame, outcome: DataFrame) -> DataFrame:
 
 def projected(stored: DataFrame, fresh: DataFrame, key: str, columns: list[str], authoritative: tuple[str, ...] = ()) -> DataFrame:
     """Narrow upsert: a fresh value wins unless it is null; an authoritative column is overwritten by
-    the fresh row, null or not. A description hash is cleared whenever a title arrives
-    otherwise."""
+    the fresh row, null or not. A description hash that isn't authoritative is cleared whenever a title
+    arrives, as it was another description's."""
     f = fresh.select(key, F.lit(True).alias("_in"), *(F.col(c).alias(f"_{c}") for c in columns))
     both = stored.join(f, key, "full_outer")
     out = []

@@ -66,12 +66,27 @@ def stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.explode(rows).alias("s")).select("s.*")
 
 
-def manifest(tables: dict[str, DataFrame], keyed: DataFrame, package: str, version: str, columns: list[str]) -> DataFrame:
-    """One row of JSON: counts per table, statistics, fingerprint (by parts)."""
+def manifest(tables: dict[str, DataFrame], keyed: DataFrame, package: str, version: str, columns: list[str], bootstrap: DataFrame | None = None) -> DataFrame:
+    """One row of JSON: counts per table, statistics, fingerprint (by parts), and the first pass's progress, where it is given
+    (``progress``)."""
     c = counts(tables, package).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("table_name", F.struct("n_rows", "n_packages"))))).alias("tables"))
     s = stats(keyed, columns).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", F.struct("mean", "median"))))).alias("stats"))
     one = c.crossJoin(s).crossJoin(fingerprint_by_parts(keyed, package, version))  # one row each
-    return one.select(F.to_json(F.struct("tables", "stats", "fingerprint")).alias("manifest"))
+    parts = ["tables", "stats", "fingerprint"]
+    if bootstrap is not None:
+        one, parts = one.crossJoin(bootstrap.select(F.struct(*bootstrap.columns).alias("bootstrap"))), [*parts, "bootstrap"]  # one row each
+    return one.select(F.to_json(F.struct(*parts)).alias("manifest"))
+
+
+def progress(universe: DataFrame, analysed: DataFrame, permanent: DataFrame, deferred: int = 0) -> DataFrame:
+    """One row on a first pass over the universe: n_universe, n_analyzed (of it), n_permanent, n_remaining (not below 0), and
+    whether it is complete: nothing put off, and all but permanent failures analysed."""
+    u = universe.select("package").distinct()
+    flag = lambda df, name: df.select("package").distinct().withColumn(name, F.lit(True))
+    both = u.join(flag(analysed, "a"), "package", "left").join(flag(permanent, "p"), "package", "left")
+    n = both.agg(F.count("*").alias("n_universe"), F.count("a").alias("n_analyzed"), F.count("p").alias("n_permanent"), F.count_if(F.col("a").isNull() & F.col("p").isNull()).alias("n_remaining"))
+    done = F.lit(deferred == 0) & (F.col("n_analyzed") >= F.col("n_universe") - F.col("n_permanent"))
+    return n.withColumn("n_deferred", F.lit(deferred)).withColumn("bootstrap_complete", done)
 
 
 def coverage(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

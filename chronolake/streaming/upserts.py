@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from chronolake.operators.series import keep_one
 from chronolake.sources.archive import read_table, replace_packages, write_table
+from chronolake.sources.shared import written
+from chronolake.sources.store import Store
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -27,7 +29,7 @@ def upsert_batch(batch: DataFrame, snapshots: str, results: str, series: Callabl
     packages = batch.select("package").distinct()
     if _exists(spark, snapshots):
         old = read_table(spark, snapshots).join(packages, "package", "left_semi")
-        replace_packages(spark, snapshots, keep_one(old.unionByName(batch), keys, [F.desc(seq)]), keys, buckets=buckets)
+        replace_packages(spark, snapshots, keep_one(old.unionByName(batch, allowMissingColumns=True), keys, [F.desc(seq)]), keys, buckets=buckets)
     else:
         write_table(keep_one(batch, keys, [F.desc(seq)]), snapshots, buckets=buckets)
     own = read_table(spark, snapshots).join(packages, "package", "left_semi")
@@ -38,6 +40,27 @@ def upsert_batch(batch: DataFrame, snapshots: str, results: str, series: Callabl
         write_table(fresh, results, buckets=buckets)
 
 
+def ordered_batch(batch: DataFrame, batch_id: str, store: Store, series: Callable[[DataFrame], DataFrame], keys: list[str], seq: str) -> None:
+    """The same into the tables ``snapshots`` and ``results`` of a store: both are seen together, results last, and a batch that
+    has its marker isn't taken again."""
+    if store.has(batch_id) or batch.isEmpty():
+        return
+    batch = written(batch, "arrivals")
+    old = store.read("snapshots", store.touched(batch, "snapshots"))
+    packages = batch.select("package").distinct()
+    if old is not None:
+        batch = old.join(packages, "package", "left_semi").unionByName(batch, allowMissingColumns=True)
+    own = written(keep_one(batch, keys, [F.desc(seq)]), "snapshots")
+    store.upsert(batch_id, [("snapshots", own), ("results", series(own))])
+
+
+def run_ordered(stream: DataFrame, store: Store, checkpoint: str, series: Callable[[DataFrame], DataFrame], keys: list[str], seq: str):
+    """Processes what has arrived into the store and stops. One stream writes to a store: its batch numbers are the ids."""
+    query = stream.writeStream.foreachBatch(lambda b, i: ordered_batch(b, f"stream-{i}", store, series, keys, seq)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def run(stream: DataFrame, snapshots: str, results: str, checkpoint: str, series: Callable[[DataFrame], DataFrame], keys: list[str], seq: str):
     """Processes what has arrived and stops (run again for what comes later)."""
     write = stream.writeStream.foreachBatch(lambda b, _: upsert_batch(b, snapshots, results, series, keys, seq))

@@ -5,6 +5,7 @@ from pyspark.sql.types import StructType
 
 from chronolake.operators import series
 from chronolake.sources import archive
+from chronolake.sources.store import Store
 from chronolake.streaming import upserts
 
 
@@ -71,3 +72,23 @@ def test_stream_equals_batch(spark, tmp_path):
     once = work(series.keep_one(rows, ["package", "version"], [F.desc("seq")]))
     assert sorted(map(tuple, archive.read_table(spark, f"{tmp_path}/out").select(*once.columns).collect())) == sorted(map(tuple, once.collect()))
     assert archive.read_table(spark, f"{tmp_path}/snap").count() == rows.select("package", "version").distinct().count()
+
+
+def test_ordered_stream(spark, tmp_path):
+    """The same through a store: both tables at once, a batch with its marker isn't taken again, new columns are added."""
+    rows = spark.range(120).select((F.col("id") % 7).cast("string").alias("package"), (F.col("id") % 30).cast("string").alias("version"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("released"), F.col("id").alias("seq"))
+    work = lambda df: series.cadence(df, "package", "released")
+    store = Store(spark, f"{tmp_path}/store", {"snapshots": "package", "results": "package"}, 4)
+    for i in range(2):
+        rows.filter(F.col("seq") % 2 == i).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        upserts.run_ordered(stream, store, f"{tmp_path}/check", work, ["package", "version"], "seq")
+    once = work(series.keep_one(rows, ["package", "version"], [F.desc("seq")]))
+    found = lambda: sorted(map(tuple, store.read("results").select(*once.columns).collect()))
+    assert found() == sorted(map(tuple, once.collect())) and store.has("stream-0") and store.has("stream-1")
+    more = rows.limit(3).withColumn("extra", F.lit(1)).withColumn("package", F.lit("0"))
+    before = store.current()
+    upserts.ordered_batch(more, "stream-1", store, work, ["package", "version"], "seq")
+    assert store.current() == before
+    upserts.ordered_batch(more, "late", store, work, ["package", "version"], "seq")
+    assert "extra" in store.read("snapshots").columns and store.read("results").count() == 7
