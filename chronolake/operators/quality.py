@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
@@ -11,16 +13,46 @@ from pyspark.sql.types import BooleanType, NumericType
 from chronolake.functions.text import ratio
 
 
+BLOCK = 1 << 18
+
+
 def fingerprint(df: DataFrame, package: str, version: str) -> DataFrame:
-    """One digest of all (package, version) pairs in order of the pair. For up to some 10^6 keys: they
-    meet in one row."""
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(package).alias("p"), F.col(version).alias("v"))))
-    joined = F.array_join(F.transform(pairs, lambda x: F.concat(x["p"].cast("string"), F.lit(":"), x["v"].cast("string"))), ",")
-    return df.agg(F.sha2(joined, 256).alias("fingerprint"))
+    """One digest of all (package, version) pairs in order of the pair; pairs with a null are left out. Pairs are sorted in
+    ranges, each range writes its text in blocks, and one task, which SHA-256 can't do without, reads the blocks one after
+    the other: it sees text only, and holds a block at a time."""
+    pair = F.concat(F.col(package).cast("string"), F.lit(":"), F.col(version).cast("string"))
+    order = [F.col(package), F.col(version)]
+    ranged = df.select(package, version, pair.alias("pair")).filter("pair is not null").repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+
+    def blocks(batches):
+        held, size, nth, part = [], 0, 0, None
+        for batch in batches:
+            for p, x in zip(batch["part"].to_pylist(), batch["pair"].to_pylist(), strict=True):
+                part = p
+                held.append(x)
+                size += len(x)
+                if size >= BLOCK:
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([nth], pa.int64()), pa.array([",".join(held)])], names=["part", "nth", "block"])
+                    held, size, nth = [], 0, nth + 1
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([nth], pa.int64()), pa.array([",".join(held)])], names=["part", "nth", "block"])
+
+    def digest(batches):
+        sha, first = hashlib.sha256(), True
+        for batch in batches:
+            for x in batch["block"]:
+                sha.update(b"" if first else b",")
+                sha.update(x.as_py().encode())
+                first = False
+        yield pa.RecordBatch.from_arrays([pa.array([sha.hexdigest()])], names=["fingerprint"])
+
+    texts = ranged.sortWithinPartitions(*order).select("part", "pair").mapInArrow(blocks, "part int, nth long, block string")
+    one = texts.repartition(1).sortWithinPartitions("part", "nth").select("block").mapInArrow(digest, "fingerprint string")
+    return one.agg(F.coalesce(F.max("fingerprint"), F.sha2(F.lit(""), 256)).alias("fingerprint"))
 
 
 def fingerprint_by_parts(df: DataFrame, package: str, version: str, digits: int = 3) -> DataFrame:
-    """A digest for any number of keys, another value than ``fingerprint``: each package's versions are
+    """A digest that no task sees the whole of, another value than ``fingerprint``: each package's versions are
     digested, then the packages of each part, which is named by the first ``digits`` hexadecimal digits of
     the package's own digest, then the parts."""
     p = F.col(package).cast("string")

@@ -16,7 +16,7 @@ def within_budget(rows: DataFrame, order: list, text: str, room: int) -> DataFra
     return first.withColumn("bytes_used", used).filter(F.col("bytes_used") <= room)
 
 
-def ranked(rows: DataFrame, breaking: str, moved: str, size: str, name: str) -> list:
+def ranked(breaking: str, moved: str, size: str, name: str) -> list:
     """The order of changed packages: breaking first, then what moved most, then the largest."""
     return [F.coalesce(F.col(breaking).cast("int"), F.lit(0)).desc(), F.coalesce(F.col(moved), F.lit(0)).desc(), F.coalesce(F.col(size), F.lit(0)).desc(), F.col(name).asc()]
 

@@ -163,6 +163,7 @@ def bundled_code(files: DataFrame) -> DataFrame:
 
 def tests(files: DataFrame) -> DataFrame:
     """Tests and CI: presence, ratio to source lines, snapshots, isolation libraries, seeds, systems."""
+    # The patterns here are fixed values.
     test, source = _is("^tests/"), _is(TEST_SOURCE)
     c = F.col("content")
     random, seeded = c.rlike(r"\b(?:sample|runif|rnorm|rbinom)\s*\("), c.rlike(r"\bset\.seed\s*\(")
@@ -197,6 +198,7 @@ def tests(files: DataFrame) -> DataFrame:
 
 def prose_words(text: Column) -> Column:
     """Words of a readme without fenced code and lines of badges or images."""
+    # The patterns here are fixed values.
     kept = F.regexp_replace(text, r"(?s)```[^\n]*\n.*?```", "")
     kept = F.regexp_replace(kept, r"(?m)^\s*(\[!\[|<img\s|\[\[img).*$", "")
     return F.size(F.filter(F.split(F.trim(kept), r"\s+"), lambda x: x != ""))
@@ -204,6 +206,7 @@ def prose_words(text: Column) -> Column:
 
 def news_quality(text: Column) -> Column:
     """Thirds for version headings, bullets, and headings in descending order (two at least)."""
+    # The patterns here are fixed values.
     head = r"^(#{1,4}\s[^\n]*\d+\.\d+|[Vv]ersion\s+\d+\.\d+|[Cc]hanges?\s+(in|for)\s+(version\s+)?\d+\.\d+|\d+\.\d+(?:\.\d+)?\s*([-_(]|$))"
     rows = F.split(text, "\n")
     heads = F.filter(rows, lambda x: x.rlike(head))
@@ -296,7 +299,8 @@ def documentation(files: DataFrame) -> DataFrame:
                     end = parse.balanced(body, start.end()) if start else None
                     wrapped = end is not None and not body[end + 1 :].strip()
                 params = parse.usage_params(usage) if usage is not None else []
-                missing = [p for p in params if p not in parse.item_names(arguments or "")]
+                told = set(parse.item_names(arguments or ""))
+                missing = [p for p in params if p not in told]
                 rows.append((*own, wrapped, len(missing) / len(params) if params else None))
             yield Frame(rows, columns=[*KEYS, "path", "wrapped", "undocumented"])
 
@@ -386,6 +390,7 @@ def described(files: DataFrame) -> DataFrame:
 def vignettes(files: DataFrame) -> DataFrame:
     """A row per vignette source: format, engine, output, title, authors, builder, and whether it is
     prebuilt, precomputed and has code."""
+    # The patterns here are fixed values.
     v = files.filter(_is(VIGNETTE))
     front = parse.front_matter(v, KEYS).groupBy(*KEYS, "path").agg(F.max(F.when(F.col("field") == "title", F.col("value"))).alias("title"), F.max(F.when(F.col("field") == "output", F.col("value"))).alias("out"), F.max(F.when(F.col("field") == "format", F.col("value"))).alias("fmt"))
     who = parse.front_authors(v, KEYS)
@@ -417,6 +422,7 @@ def vignette_metrics(files: DataFrame) -> DataFrame:
 def deprecation_signals(files: DataFrame) -> DataFrame:
     """symbols named in deprecation calls, and whether life-cycle calls are used. Of a life-cycle call the
     second text counts, without a package in front and parentheses behind."""
+    # The patterns here are fixed values.
     r = F.when(_is(R_SOURCE), F.col("content")).otherwise("")
     direct = F.regexp_extract_all(r, F.lit(r"\.(?:Deprecated|Defunct)\s*\(\s*[\"']([^\"']+)[\"']"), F.lit(1))
     calls = F.regexp_extract_all(r, F.lit(r"lifecycle::deprecate_(?:warn|soft|stop)\s*\([^,\n]+,\s*[\"'][^\"']+[\"']"), F.lit(0))

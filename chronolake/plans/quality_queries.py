@@ -79,7 +79,7 @@ def _changed(spark, sf_dir):
 
 def ranked_changes(spark, sf_dir):
     """The 40 customers on top of the report, and how many follow."""
-    return report.top_with_rest(_changed(spark, sf_dir), report.ranked(_changed(spark, sf_dir), "is_breaking", "moved", "size", "package"), 40)
+    return report.top_with_rest(_changed(spark, sf_dir), report.ranked("is_breaking", "moved", "size", "package"), 40)
 
 
 def byte_budget(spark, sf_dir):

@@ -28,8 +28,8 @@ x AS (SELECT d.*, list_filter(exports, lambda e: NOT list_contains(exports_b, e)
 
 
 def release_cadence_drift(spark, sf_dir):
-    v = with_sets(spark, sf_dir)
-    return series.cadence(v, "package", "released").join(series.drift(v, "package", ORDER, "deps", "bigint"), "package")
+    dates, v = order_versions(spark, sf_dir), with_sets(spark, sf_dir)  # dates need no sets
+    return series.cadence(dates, "package", "released").join(series.drift(v, "package", ORDER, "deps", "bigint"), "package")
 
 
 def bump_and_fidelity(spark, sf_dir):

@@ -134,6 +134,21 @@ def test_quality(spark):
     assert [(r.series, r.table_name, r.verdict) for r in quality.preflight({"code": ({"x": empty}, recorded)}).collect()] == [("code", "y", "violation")]
 
 
+def test_fingerprint_in_blocks(spark, monkeypatch):
+    """Many ranges, each in many blocks, give the digest of the whole; nulls are left out."""
+    import hashlib
+
+    monkeypatch.setattr(quality, "BLOCK", 40)
+    rows = [(i % 97, f"v{i * 7919 % 1000}") for i in range(1000)] + [(None, "x"), (3, None)]
+    df = spark.createDataFrame(rows, "p long, v string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = quality.fingerprint(df, "p", "v").first().fingerprint
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == hashlib.sha256(",".join(f"{p}:{v}" for p, v in sorted(r for r in rows if None not in r)).encode()).hexdigest()
+
+
 def test_report(spark):
     rows = spark.createDataFrame([(i, "é" * 4) for i in range(10)], "n int, t string")
     assert report.within_budget(rows, [F.asc("n")], "t", 27).count() == 3  # nine bytes each with the line end
