@@ -1,10 +1,11 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 Words are runs of digits, a-z and non-ASCII characters after lower-casing A-Z. A template of n words is
-held against blocks of ``BLOCK`` words or the least power of two that is 2 n or more, and a new block
-begins every half block, so that any passage of up to half a block lies whole in one, however long a
+held against blocks of the least power of two words that is 2 n or more (``BLOCK`` at least), and a new block
+begins every half block, so that any passage of up to half a block lies whole in one, however long or short a
 template is. A template and a block match if the block holds at least ``LEAST`` of the template's
-distinct words. All such pairs are found: words are ordered by how often they occur in the whole
+distinct words; of a template of fewer than ``FULL`` distinct words, whose words are mostly everybody's, all of
+them. All such pairs are found: words are ordered by how often they occur in the whole
 corpus, rarest first; a match must share a word of the template's prefix and of the block's prefix in
 that order (prefix filter), have enough words at all (length filter), and still be able to reach the
 overlap from the places where the shared word stands (positional filter); what is left is counted.
@@ -13,7 +14,7 @@ The templates are a parameter and small, so each task holds their index and bloc
 All matches are returned (column matches). Variants of one notice (cc-by and cc-by-nc) differ by less than
 the threshold, so that all of them match where one stands. A match gives a label only if it has evidence
 of its own: if the block still matches without the words of the passages of better matches (by
-containment, then by distinct words) of templates that share ``LEAST`` of its own. A match's passage is
+containment, then by distinct words) of templates that share enough of its own. A match's passage is
 the window of ``SLACK`` times the template's words in the block that holds most of its distinct words,
 the first of equals. A document's labels are those of its matches with evidence of their own and those of
 its base phrases; its score is 1 if it has a base phrase, else the best containment among the former,
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from chronolake.llm import common
 from chronolake.llm.license_texts import PHRASES, TEMPLATES
 
-BLOCK, LEAST, SLACK = 64, 0.8, 1.25
+BLOCK, LEAST, SLACK, FULL = 8, 0.8, 1.25, 12
 
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -88,7 +89,7 @@ class Index:
         self.labels, self.lengths, self.sets = [x for x, _ in given], [len(w) for _, w in given], [frozenset(w) for _, w in given]
         every = sorted(set().union(*self.sets), key=lambda w: (counts.get(w.decode(), 0), w))
         self.rank = {w: i for i, w in enumerate(every)}
-        self.need = [ceil(least * len(w) - 1e-9) for w in self.sets]
+        self.need = [len(w) if len(w) < FULL else ceil(least * len(w) - 1e-9) for w in self.sets]
         self.prefix: dict[int, dict[bytes, list[tuple[int, int]]]] = {}  # of each size of block
         for t, w in enumerate(self.sets):
             own = self.prefix.setdefault(block_size(self.lengths[t], block), {})
@@ -201,4 +202,4 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, block: int
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
     df = scan(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return df.withColumn("n_matches", F.size("matches").cast("long")).drop("matches")
+    return df.withColumn("n_matches", F.size("matches").cast("long")).withColumn("matches", F.transform("matches", lambda m: F.struct(m["label"].alias("label"), m["first_word"].alias("first_word"), m["containment"].alias("containment"))))

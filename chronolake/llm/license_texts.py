@@ -1,4 +1,5 @@
-"""Phrases, notices and whole texts of public licenses, as (label, text)."""
+"""Phrases and notices of public licenses, and the permissive ones' whole texts, as (label, text). What stands for the
+long licenses is the notice that they ask to be put on a work."""
 
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -27,7 +28,7 @@ NOTICES = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 
-# Whole licenses.
+# Whole licenses, and the long notices of two others.
 WHOLE = (
     (
         "mit",
