@@ -47,7 +47,7 @@ def bounded_changes(spark, sf_dir):
     lines, n = change_report.prepared(change_report.changed_rows(changed, summary, seed, data)), changed.count()
     out = None
     for cap, budget in [*((CAP, b) for b in BUDGETS), (1_000_000, 20_000), (CAP, None)]:
-        one = change_report.bounded_table(lines, n, cap, budget).select(F.lit(cap).alias("cap"), F.lit(budget).cast("int").alias("budget"), F.row_number().over(change_report.Window.orderBy("line_no")).alias("line"), "text")  # as many rows as fit
+        one = change_report.bounded_table(lines, n, cap, budget).select(F.lit(cap).alias("cap"), F.lit(budget).cast("int").alias("budget"), F.row_number().over(change_report.Window.orderBy("line_no")).cast("long").alias("line"), "text")  # as many rows as fit
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -70,7 +70,7 @@ def change_report_lines(spark, sf_dir):
     foot = by.select(F.ascii("o_orderstatus").cast("long").alias("line_no"), F.concat(F.lit("- "), "o_orderstatus", F.lit(" "), change_report.number(F.col("n"))).alias("text"))
     out = None
     for budget in BUDGETS:
-        one = change_report.whole_report(top, lines, n, foot, CAP, budget).select(F.lit(budget).alias("budget"), F.row_number().over(change_report.Window.orderBy("section", "line_no")).alias("line"), "text")  # as many rows as fit
+        one = change_report.whole_report(top, lines, n, foot, CAP, budget).select(F.lit(budget).alias("budget"), F.row_number().over(change_report.Window.orderBy("section", "line_no")).cast("long").alias("line"), "text")  # as many rows as fit
         out = one if out is None else out.unionByName(one)
     return out
 

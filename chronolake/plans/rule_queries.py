@@ -117,7 +117,7 @@ QUERIES = {
     "every_rule": (
         every_rule,
         _oracle(
-            f"unsafe AS unsafe_pattern_score, secrets AS secret_pattern_count, {_PER.format('state', 'global_state_write_density')}, {_PER.format('idioms', 'deprecated_idiom_density')}, {_PER.format('debug', 'debug_artifact_density')}",
+            f"CAST(unsafe AS BIGINT) AS unsafe_pattern_score, CAST(secrets AS BIGINT) AS secret_pattern_count, {_PER.format('state', 'global_state_write_density')}, {_PER.format('idioms', 'deprecated_idiom_density')}, {_PER.format('debug', 'debug_artifact_density')}",
             [(r[0], *r[2:]) for r in RULES],
             "file, unsafe, secrets, state, idioms, debug",
         ),
@@ -127,7 +127,7 @@ QUERIES = {
     "every_vignette": (
         every_vignette,
         _oracle(
-            "file, format, engine, output, title, authors, len(string_split(authors, '|')) AS n_authors, stated AS author_stated, builder, beside AS precomputed, lines, code AS has_code",
+            "file, format, engine, output, title, authors, CAST(len(string_split(authors, '|')) AS INTEGER) AS n_authors, stated AS author_stated, builder, beside AS precomputed, CAST(lines AS BIGINT) AS lines, code AS has_code",
             [(r[0], *r[2:]) for r in VIGNETTES],
             "file, beside, format, engine, output, title, authors, stated, builder, lines, code",
         ),

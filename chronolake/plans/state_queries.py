@@ -167,7 +167,7 @@ QUERIES = {
     "grown_table": (
         grown_table,
         "SELECT CAST(o_custkey AS VARCHAR) AS package, o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey % 100 AS VARCHAR) WHEN 1 THEN o_orderpriority WHEN 3 THEN CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END END AS a, "
-        "CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END WHEN 1 THEN o_orderkey % 7 END AS b, CASE o_orderkey % 4 WHEN 1 THEN 17 END AS c, "
+        "CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END WHEN 1 THEN o_orderkey % 7 END AS b, CASE o_orderkey % 4 WHEN 1 THEN 17::BIGINT END AS c, "
         "CASE o_orderkey % 4 WHEN 2 THEN o_totalprice WHEN 3 THEN CAST(o_orderkey AS DOUBLE) END AS d, CASE o_orderkey % 4 WHEN 3 THEN '[\"' || o_orderstatus || '\"]' END AS e, CAST(NULL AS DOUBLE) AS f FROM orders",
     ),
     "retention_of_manifests": (retention_of_manifests, _RETAINED),
