@@ -115,7 +115,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def replace_packages(spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], seq: str | None = None, package: str = "package", buckets: int = 64) -> None:
     """Upsert on disk: rewrites only the buckets that the fresh packages fall in, by way of a staged
-    copy next to the table (a table can't be overwritten while it is read)."""
+    copy next to the table (a table can't be overwritten while it is read), which goes in the end. A run that fails between is
+    to be done again; where readers must never see half of it, or several tables change together, see ``sources.store``."""
     from chronolake.operators.incremental import upsert
 
     bucket = F.pmod(F.xxhash64(package), F.lit(buckets)).cast("int")
@@ -125,6 +126,8 @@ def replace_packages(spark: SparkSession, path: str, fresh: DataFrame, keys: lis
     upsert(stored, fresh, keys, seq).withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(staged)
     done = spark.read.parquet(staged)
     done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    gone = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
