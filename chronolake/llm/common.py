@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -54,6 +55,14 @@ def parts(batches, rows: int = 500):
         pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Free memory of a worker process goes back to the system, as far as the C library lets it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _held: dict[str, object] = {}
 
 

@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from chronolake.llm import common
 
-SAMPLE, ROUNDS, EVIDENCE, WORDS_KEPT = 2000, 3, 20, 200_000
+SAMPLE, ROUNDS, EVIDENCE, WORDS_KEPT = 2000, 3, 20, 100_000
 UNKNOWN, SMOOTH = 1e-7, 0.5
 MARK, LONG = "▁", 40
 _KEY, _NONE = np.uint64(0x9E3779B97F4A7C15), np.zeros(0, np.uint64)
@@ -327,6 +327,7 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, names
             found = own.classify(batch["x_text"].to_pylist())
             columns = [batch[c] for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
+        common.give_back()
 
     kept = [StructField(f.name, f.dataType, True) for f in docs.select(*keep).schema]
     return given.mapInArrow(work, StructType([*kept, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))

@@ -438,6 +438,8 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         return sets, pa.array(np.fromiter((xxhash.xxh64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64))
 
     def work(batches):
+        common.held("near copies", object)  # what an earlier stage's workers keep goes
+        common.give_back()
         for batch in common.parts(batches):
             sets, node = sets_of(batch)
             columns = [batch["doc_id"], batch["text_hash"], node, pa.array([len(x) for x in sets], pa.int64()), pa.array([wide_code(x) for x in sets], pa.binary())]
