@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from chronolake.llm import ann
@@ -34,7 +35,7 @@ def test_recall_and_scores(spark, n, clusters, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS rep", "2 AS vec")
     df = df.unionByName(df.filter("vec_id = 20"))
     got, want = {}, exact(rows)
-    for r in ann.search(df, "vec_id % 20 = 0", levels=10).collect():
+    for r in ann.search(df, "vec_id % 20 = 0").collect():
         got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
     assert set(got) == set(want)
     hits = total = 0
@@ -58,16 +59,46 @@ def test_edges(spark):
     assert ann.search(spark.createDataFrame([(20, [1.0, 2.0])], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").count() == 0
 
 
-def test_levels():
+@pytest.mark.parametrize("part", [7, 1 << 20])
+def test_levels(part):
+    """Blocks keep rows of equal keys together; in the own block, and with one block a tree, counts are exact."""
     rng = np.random.default_rng(0)
-    codes = rng.integers(0, 1 << 6, (300, 3))
-    below = np.stack([np.concatenate(([0], np.cumsum(np.bincount(codes[:, t], minlength=64)))) for t in range(3)])
-    forest = ann.Forest(below, 6)
-    for wanted in (1, 50, 400, 5000):
-        got = forest.level(codes[:40], wanted)
-        for c, level in zip(codes[:40], got, strict=True):
-            totals = [(ann._common(codes, c[None, :], 6) >= x).sum() for x in range(7)]
-            assert level == max((x for x in range(7) if totals[x] >= wanted), default=0)
+    levels = 12
+    keys = np.sort((rng.integers(0, 1 << 5, (300, 3)) << 7 | rng.integers(0, 1 << 7, (300, 3))) << ann.TAIL, axis=0)
+    run = pd.DataFrame({"tree": np.repeat(np.arange(3), 300), "key": keys.T.ravel()})
+    blocks = list(ann._blocks((run.iloc[i : i + 50] for i in range(0, 900, 50)), part))
+    assert pd.concat(blocks).reset_index(drop=True).equals(run) and all(b["tree"].nunique() == 1 for b in blocks)
+    assert all(len(b) <= part or b["key"].iloc[part - 1 :].nunique() == 1 for b in blocks)
+    own = np.zeros((300, levels + 1), np.int64)
+    for b in blocks:
+        t, key = b["tree"].iloc[0], b["key"].to_numpy()
+        at = np.flatnonzero(np.isin(keys[:, t], key))
+        own[at] += ann._shared(key, keys[at, t], levels)
+    ends = [(b["tree"].iloc[0], b["key"].iloc[0], b["key"].iloc[-1], len(b)) for b in blocks]
+    forest = ann.Forest([tuple(np.array([e[i] for e in ends if e[0] == t], np.int64) for i in (1, 2, 3)) for t in range(3)], levels)
+    got, most = forest.counts(keys, own), max(len(b) for b in blocks)
+    for c, counted in zip(keys, got, strict=True):
+        true = [int((ann._common(keys, c[None, :], levels) >= x).sum()) for x in range(levels + 1)]
+        assert all(t <= g <= t + (2 * 3 * most if part == 7 else 0) for t, g in zip(true, counted, strict=True))
+    for wanted in (1, 50, 400, 900):
+        for level, counted in zip(forest.level(keys, own, wanted), got, strict=True):
+            assert level == (0 if wanted == 900 else max((x for x in range(levels + 1) if counted[x] >= wanted), default=0))
+
+
+def test_recall_on_the_given_table(spark):
+    """Default parameters, the whole table."""
+    rows = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()}
+    ids, x = np.array(sorted(rows)), np.stack([rows[i] for i in sorted(rows)])
+    got = {}
+    for r in ann.op4_ann(spark, "/root/testdata/sf0.01").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == {i for i in rows if i % 20 == 0}
+    hits = 0
+    for q, near in got.items():
+        s = (x * rows[q]).sum(axis=1)
+        best = [i for i in ids[np.lexsort((ids, -s))].tolist() if i != q][:20]
+        hits += len(near.intersection(best))
+    assert hits >= 0.9 * 20 * len(got)
 
 
 def test_every_query_is_filled(spark):
