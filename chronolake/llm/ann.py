@@ -21,7 +21,7 @@ Such queries, and only they, ascend again with eight times the candidates until
 all rows.
 
 Equal vectors are folded into one before, with their K + 1 smallest ids: more can't be in a result.
-Vectors travel once for each tree, to their blocks, where queries meet them; a join of candidates with
+Vectors travel once for each tree, to their blocks (small ones at the ends of ranges are joined), where queries meet them; a join of candidates with
 vectors would send a vector once for each candidate. Each task keeps the best of what it sees.
 
 Vectors that are null, zero, of another size than most, or that hold a null or a value that isn't
@@ -86,6 +86,10 @@ def _range(keys: np.ndarray, level, levels: int) -> tuple[np.ndarray, np.ndarray
     return low, low + (np.int64(1) << shift)
 
 
+def _part(rows: int) -> int:
+    return max(PART, -(-rows // BLOCKS))
+
+
 def _cuts(tree: np.ndarray, key: np.ndarray, part: int) -> list[tuple[int, int]]:
     """Where a sorted run is cut into blocks: after ``part`` rows and at each tree, never between equal keys."""
     n = len(key)
@@ -132,6 +136,20 @@ class Forest:
         self.below = [np.concatenate(([0], np.cumsum(n))) for n in self.n]
         self.levels, self.size = levels, int(sum(b[-1] for b in self.below))
 
+    def merged(self, part: int) -> "Forest":
+        """The same arrays with neighbouring blocks joined, up to ``part`` rows."""
+        out = []
+        for first, last, n in zip(self.first, self.last, self.n, strict=True):
+            starts, size = [], part
+            for i, rows in enumerate(n.tolist()):
+                size += rows
+                if size > part:
+                    starts.append(i)
+                    size = rows
+            at = np.array(starts, np.int64)
+            out.append((first[at], last[np.append(at[1:], len(n)) - 1], np.add.reduceat(n, at)) if starts else (first, last, n))
+        return Forest(out, self.levels)
+
     def block(self, t: int, keys: np.ndarray) -> np.ndarray:
         """The block that holds each key of an array."""
         return np.searchsorted(self.first[t], keys, side="right") - 1
@@ -219,6 +237,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
     index = distinct.join(asked, "rep", "left").select("rep", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
     index = common.staged(index.mapInPandas(hashed, "rep long, asked boolean, keys array<long>, vec binary"), "ann-index")
     forest, asked = _sorted(index, trees, levels)
+    blocks = forest.merged(_part(forest.size))
     wanted = _calibrated(index, asked, forest, k, recall, kind)
 
     def nearest(asked: DataFrame, wanted: int) -> DataFrame:
@@ -227,7 +246,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
                 if len(f):
                     keys = np.stack(f["keys"].to_numpy())
                     for t in range(trees):
-                        yield pd.DataFrame({"tree": t, "block": forest.block(t, keys[:, t]), "key": keys[:, t], "high": -1, "rep": f["rep"], "vec": f["vec"]})
+                        yield pd.DataFrame({"tree": t, "block": blocks.block(t, keys[:, t]), "key": keys[:, t], "high": -1, "rep": f["rep"], "vec": f["vec"]})
 
         def asks(frames):
             for f in frames:
@@ -237,7 +256,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
                 level = forest.level(keys, np.stack(f["own"].to_numpy()), wanted)
                 for t in range(trees):
                     low, high = _range(keys[:, t], level, levels)
-                    a, b = forest.reached(t, low, high)
+                    a, b = blocks.reached(t, low, high)
                     q = np.repeat(np.arange(len(f)), b - a)
                     block = np.arange(len(q)) + np.repeat(b - np.cumsum(b - a), b - a)
                     for s in range(0, len(q), 8192):
@@ -285,8 +304,7 @@ def search(rows: DataFrame, is_query: str, k: int = K, vector: str = "embedding"
 def _sorted(index: DataFrame, trees: int, levels: int) -> tuple[Forest, DataFrame]:
     """The directory of the sorted arrays, and rep, keys, vec and own of the queries: how many rows of
     their blocks in all trees together share each prefix."""
-    n = index.count() * trees
-    part = max(PART, -(-n // BLOCKS))
+    part = _part(index.count() * trees)
     ranges = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = index.select("rep", "asked", F.posexplode("keys").alias("tree", "key"))
     array = rows.repartitionByRange(ranges, "tree", "key").sortWithinPartitions("tree", "key")

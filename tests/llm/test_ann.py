@@ -80,6 +80,10 @@ def test_levels(part):
     for c, counted in zip(keys, got, strict=True):
         true = [int((ann._common(keys, c[None, :], levels) >= x).sum()) for x in range(levels + 1)]
         assert all(t <= g <= t + (2 * 3 * most if part == 7 else 0) for t, g in zip(true, counted, strict=True))
+    joined = forest.merged(40)
+    for t in range(3):
+        assert joined.n[t].sum() == 300 and (joined.n[t][:-1] + joined.n[t][1:] > 40).all() and (joined.n[t] <= max(40, most)).all()
+        assert all(joined.first[t][b] <= key <= joined.last[t][b] for key, b in zip(keys[:, t], joined.block(t, keys[:, t]), strict=True))
     for wanted in (1, 50, 400, 900):
         for level, counted in zip(forest.level(keys, own, wanted), got, strict=True):
             assert level == (0 if wanted == 900 else max((x for x in range(levels + 1) if counted[x] >= wanted), default=0))
