@@ -15,7 +15,9 @@ members, or not at all.
 
 Of the records with equal payloads of at least ``LEAST`` bytes, that with the largest page_id (of
 rows that repeat it, the first in the archive) is the response and the others are revisits. Only keys
-and digests are shuffled for that; the archives are then dealt out by file.
+and digests are shuffled for that. Archives are then converted in slices of ``FILES`` files and ``AGAIN``
+revisits at most (a file with more is a slice alone), so that a slice's list of revisits can be sent to all
+tasks and contents are never shuffled. The driver knows files by name and count only, as any scan does.
 
 Nulls: a null html is an empty payload; a null url is written as ``about:blank``; a null page_id stays
 null and loses against any other. Blanks and control characters in a url are percent-coded. Repeated
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
-LEAST, BYTES = 1000, 16 << 20
+LEAST, BYTES, FILES, AGAIN = 1000, 16 << 20, 4096, 500_000
 ADDRESS, DATE = "0.0.0.0", "20240101000000"
 
 # The field lists of the two ARC versions and the line ends of the two formats.
@@ -69,9 +71,9 @@ def _gathered(records, head: Callable[[int], bytes], most: int):
         yield b"".join(out)
 
 
-def _write(rows: DataFrame, path: str) -> None:
+def _write(rows: DataFrame, path: str, mode: str = "error") -> None:
     """A file for each row of ``record``."""
-    rows.select(F.col("record").cast("string")).write.options(lineSep="\0", maxRecordsPerFile=1, compression="none").text(path)
+    rows.select(F.col("record").cast("string")).write.mode(mode).options(lineSep="\0", maxRecordsPerFile=1, compression="none").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -230,14 +232,34 @@ def _record(kind: str, name: str, date: str, block: bytes, more: list[str]) -> b
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + WARC_END
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST, most: int = BYTES) -> None:
+def slices(counts, most_files: int, most_rows: int):
+    """Lists of paths from (path, n) in order, each of ``most_files`` paths and ``most_rows`` at most, or of one path."""
+    out, rows = [], 0
+    for path, n in counts:
+        if out and (len(out) == most_files or rows + n > most_rows):
+            yield out
+            out, rows = [], 0
+        out.append(path)
+        rows += n
+    if out:
+        yield out
+
+
+def _slice(spark: SparkSession, paths: list[str], again: DataFrame) -> DataFrame:
+    """path, content and again of the files at the sorted ``paths``."""
+    files = spark.read.format("binaryFile").load([re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]).select("path", "content")
+    return files.join(F.broadcast(again.filter(F.col("path").between(paths[0], paths[-1]))), "path", "left")
+
+
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST, most: int = BYTES, most_files: int = FILES, most_again: int = AGAIN) -> None:
     """Writes the WARC equivalent of all ARC files below ``arc_path``."""
     index = common.staged(_index(_files(spark, arc_path)), "arc-index")
     order = F.struct(F.col("page_id").isNotNull(), "page_id", F.col("path").alias("p"), "at")
     kept = index.filter(F.col("bytes") >= least).groupBy("digest").agg(F.max_by("id", order).alias("to"), F.count("*").alias("n")).filter("n > 1")
     again = index.filter(F.col("bytes") >= least).join(kept, "digest").filter(F.col("id") != F.col("to"))
     again = again.groupBy("path").agg(F.collect_list(F.struct("at", "to")).alias("again"))  # no more than a file has records
-    files = _files(spark, arc_path).join(again, "path", "left")
+    again = common.staged(again.sort("path"), "arc-again")
+    counts = _files(spark, arc_path).select("path").join(again.select("path", F.size("again").alias("n")), "path", "left").select("path", F.coalesce("n", F.lit(0)).alias("n"))
 
     def records(path, content, refers):
         for at, fields, body in arc_records(content):
@@ -258,7 +280,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
                 for file in _gathered(records(path, content, {x["at"]: x["to"] for x in seen or []}), head, most):
                     yield pa.RecordBatch.from_arrays([pa.array([file], pa.binary())], names=["record"])
 
-    _write(files.mapInArrow(work, "record binary"), warc_path)
+    _write(spark.createDataFrame([], "record binary"), warc_path)  # the folder, where there are no archives
+    for paths in slices(counts.sort("path").toLocalIterator(), most_files, most_again):
+        _write(_slice(spark, paths, again).mapInArrow(work, "record binary"), warc_path, "append")
 
 
 def warc_records(content: bytes):
@@ -322,8 +346,10 @@ def archive(pages: DataFrame, version: int = 1, most: int = BYTES) -> str:
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
     records = common.staged(read(spark, archive(common.table(spark, sf_dir, "pages"))), "warc-index")
-    target = records.filter("type = 'response'").select(F.col("id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    return records.join(target, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+    kept, again = records.filter("type = 'response'"), records.filter("type <> 'response'")
+    target = kept.select(F.col("id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    rows = kept.withColumn("refers_to", F.lit(None).cast("long")).unionByName(again.join(target, "refers_to_id", "left"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
 OP9_SQL = """

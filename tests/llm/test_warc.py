@@ -44,6 +44,28 @@ def test_round_trip(spark, version):
     assert {r.url for r in got if r.page_id in (100, 106)} == {"http://a%20b/%0A", "u"} and {r.date for r in got} == {"2024-01-01T00:00:00Z"}
 
 
+def test_slices(spark, tmp_path, monkeypatch):
+    """Files converted in many slices give the same records; no slice shuffles or sorts contents."""
+    assert list(warc.slices([("a", 3), ("b", 9), ("c", 1), ("d", 1), ("e", 0)], 2, 5)) == [["a"], ["b"], ["c", "d"], ["e"]] and not list(warc.slices([], 2, 5))
+    pages = spark.createDataFrame(rows(), "page_id long, url string, html string")
+    warc.write_arc(pages, f"{tmp_path}/arc", 1, 1500)
+    plans, made = [], warc._slice
+    monkeypatch.setattr(warc, "_slice", lambda *a: plans.append(made(*a)) or plans[-1])
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        warc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/whole")
+        warc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/cut", most_files=2, most_again=1)
+        assert len(plans) > 3
+        for df in plans:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    read = lambda name: sorted(map(tuple, warc.read(spark, f"{tmp_path}/{name}", with_payload=True).collect()), key=str)
+    assert len(read("whole")) == len(rows()) and read("whole") == read("cut")
+
+
 def test_query_and_empty(spark, tmp_path):
     pages = spark.createDataFrame(rows(), "page_id long, url string, html string")
     for name, p in (("a", pages), ("b", pages.limit(0))):
