@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from chronolake.llm import suffix
+from chronolake.llm import common, suffix
 
 
 def joined(starts, size):
@@ -48,8 +48,11 @@ def corpus(size, seed):
     return rows + [(100, rows[3][1]), (101, "x " * (2 * size)), (102, None), (103, ""), (None, rows[4][1]), (5, rows[5][1] + " z")]
 
 
-@pytest.mark.parametrize("size, gram", [(50, 8), (20, 4), (12, 3)])
-def test_against_every_window(spark, size, gram):
+@pytest.mark.parametrize("size, gram, sent", [(50, 8, None), (20, 4, None), (12, 3, None), (20, 4, 0)])
+def test_against_every_window(spark, size, gram, sent, monkeypatch):
+    """Also where keys are too many to be sent and texts are shuffled (``sent`` 0)."""
+    if sent is not None:
+        monkeypatch.setattr(common, "SENT", sent)
     rows = corpus(size, size)
     rows += [(200 + i, f"own{i} " * 3 + " ".join(f"shared{k}" for k in range(size + 4)) + f" end{i}") for i in range(150)]  # one passage in very many
     rows += [(400, " ".join(["one", "two"] * (3 * size))), (401, rows[3][1]), (3, rows[3][1])]
