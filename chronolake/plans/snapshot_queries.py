@@ -265,7 +265,8 @@ def person_roles(spark, sf_dir):
     return d.select("package", F.posexplode("persons").alias("nth", "p")).select("package", "nth", "p.given", "p.family", F.array_join("p.roles", "+").alias("roles"))
 
 
-_LINES = lambda path: f"CASE WHEN {FILES[path][0]} THEN len(string_split({FILES[path][1]}, chr(10))) - {1 if FILES[path][1].endswith(NL) else 0} ELSE 0 END"
+# one final newline begins no further line, also where it ends a row without words
+_LINES = lambda path: f"CASE WHEN {FILES[path][0]} THEN len(string_split({FILES[path][1]}, chr(10))) - CAST(ends_with({FILES[path][1]}, chr(10)) AS INTEGER) ELSE 0 END"
 _LOC = {"loc_r": ["R/code.R", "R/zzz.R", "R/dep.R"], "loc_src": ["src/x.c"], "loc_tests": ["tests/testthat/test-a.R", "tests/testthat/_snaps/a.md"], "loc_docs": ["man/fa.Rd", "man/other.Rd"], "loc_vignettes": ["vignettes/intro.Rmd", "vignettes/odd.xyz"]}
 _COUNTED = [p for own in _LOC.values() for p in own] + [p for p in FILES if p.startswith(("R/", "src/", "tests/", "man/", "vignettes/")) and p not in [q for own in _LOC.values() for q in own] and p.split(".")[-1] != "x"]
 _EXTENSIONS = sorted({p.rsplit("/", 1)[-1].rsplit(".", 1)[1] if "." in p.rsplit("/", 1)[-1] else "(none)" for p in _COUNTED if p.startswith(("R/", "tests/", "man/", "vignettes/")) or p == "src/x.c"})
