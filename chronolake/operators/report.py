@@ -10,10 +10,11 @@ from chronolake.functions.text import strip
 
 def within_budget(rows: DataFrame, order: list, text: str, room: int) -> DataFrame:
     """Rows, in order, while their bytes and a line end each stay within ``room``. Only the first
-    ``room`` rows can fit (a row takes a byte at least), so no more are put in one order."""
-    first = rows.orderBy(*order).limit(room)
-    used = F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return first.withColumn("bytes_used", used).filter(F.col("bytes_used") <= room)
+    ``room`` rows can fit (a row takes a byte at least), so no more are put in one order. Bytes are counted
+    before that, so that texts go along only where they are asked for."""
+    sized = rows.withColumn("_bytes", F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1)
+    used = F.sum("_bytes").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return sized.orderBy(*order).limit(room).withColumn("bytes_used", used).drop("_bytes").filter(F.col("bytes_used") <= room)
 
 
 def ranked(breaking: str, moved: str, size: str, name: str) -> list:
