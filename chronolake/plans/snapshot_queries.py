@@ -143,11 +143,20 @@ _WORD = "coalesce(nullif(split_part(w, ' ', {}), ''), 'x') AS {}"
 _NAMES = ["*", _WORD.format(1, "a"), _WORD.format(2, "b"), "'p' || doc_id AS pkg", "'1.' || m7 AS version"]
 
 
+#: The first two words as ``_NAMES`` has them, without cutting the whole text.
+_FIRST, _REST = "substring_index(w, ' ', 1)", "substr(w, length(substring_index(w, ' ', 1)) + 2)"
+_SPARK_NAMES = ["doc_id", "w", *(f"m{m}" for m in (2, 3, 5, 7)), f"coalesce(nullif({_FIRST}, ''), 'x') AS a", f"coalesce(nullif(substring_index({_REST}, ' ', 1), ''), 'x') AS b", *_NAMES[3:]]
+
+
 def _files(spark, sf_dir):
+    """The paths of a package first, their contents after that: a filter on paths comes before contents are
+    written, and who asks for no content reads no text."""
     words = "trim(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' '))) AS w"
-    each = ", ".join(f"struct('{path}' AS path, CASE WHEN {there} THEN {text} END AS content)" for path, (there, text) in FILES.items())
-    d = table(spark, sf_dir, "documents").selectExpr("doc_id", words, *_MODS).selectExpr(*_NAMES)
-    return d.selectExpr("pkg AS package", "version", f"inline(array({each}))").filter("content IS NOT NULL")
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id", words, *_MODS).selectExpr(*_SPARK_NAMES)
+    named = lambda text: " AND pkg IS NOT NULL" if "pkg" in text else ""  # noqa: E731  without a number there is no name, nor a file that states it
+    paths = ", ".join(f"CASE WHEN ({there}){named(text)} THEN '{path}' END" for path, (there, text) in FILES.items())
+    contents = " ".join(f"WHEN '{path}' THEN {text}" for path, (_, text) in FILES.items())
+    return d.selectExpr("*", f"explode(array_compact(array({paths}))) AS path").selectExpr("pkg AS package", "version", "path", f"CASE path {contents} END AS content")
 
 
 _D = f"WITH x0 AS (SELECT doc_id, trim(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' ', 'g'))) AS w, {', '.join(_MODS)} FROM documents), x AS (SELECT {', '.join(_NAMES)}, CASE WHEN w = '' THEN 0 ELSE len(string_split(w, ' ')) END AS n_words, 15 + CAST(m3 = 1 AS INTEGER) + 2 * CAST(m5 = 2 AS INTEGER) AS r_loc FROM x0) "
