@@ -52,10 +52,11 @@ UNSAFE = [
     Rule("unsafe_pattern_score", R_SOURCE, r"download\.file\s*\(|\burl\s*\(|\bcurl\s*\(", weight=2, where=HOOK),
 ]
 SECRETS = [
+QUOTED = r"[=:]\s*[\"'][A-Za-z0-9+/=_\-]{16}"  # what a stated key can't be without, found at once: the names before it, in either case, are slow to look for
     Rule("secret_pattern_count", "", r"AKIA[0-9A-Z]{16}", most_bytes=1_000_000),
-    Rule("secret_pattern_count", "", r"gh[pous]_[A-Za-z0-9_]{36,}|github_pat_[A-Za-z0-9_]{36,}", most_bytes=1_000_000),
-    Rule("secret_pattern_count", "", r"(?i)(api[_-]?key|api[_-]?secret|secret[_-]?key|access[_-]?token)\s*[=:]\s*[\"'][A-Za-z0-9+/=_\-]{16,}[\"']", most_bytes=1_000_000),
-    Rule("secret_pattern_count", "", r"(?i)(password|passwd|api_?key|auth_?token|secret)\s*=\s*[\"'][A-Za-z0-9+/]{40,}={0,2}[\"']", most_bytes=1_000_000),
+    Rule("secret_pattern_count", "", r"g(?:h[pous]_|ithub_pat_)[A-Za-z0-9_]{36,}", most_bytes=1_000_000),
+    Rule("secret_pattern_count", "", r"(?i)(api[_-]?key|api[_-]?secret|secret[_-]?key|access[_-]?token)\s*[=:]\s*[\"'][A-Za-z0-9+/=_\-]{16,}[\"']", most_bytes=1_000_000, where=QUOTED),
+    Rule("secret_pattern_count", "", r"(?i)(password|passwd|api_?key|auth_?token|secret)\s*=\s*[\"'][A-Za-z0-9+/]{40,}={0,2}[\"']", most_bytes=1_000_000, where=QUOTED),
 ]
 STATE = [
     Rule("global_state_writes", R_SOURCE, r"<<-", unit="lines", source="bare"),
