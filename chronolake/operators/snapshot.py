@@ -244,7 +244,8 @@ def functions(files: DataFrame) -> DataFrame:
     nse = defs.filter("explicit or matched").join(bodies, [*KEYS, "name"]).filter(F.col("body").rlike(NSE)).groupBy(*KEYS).agg(F.count("*").alias("nse"))
     d = defs.groupBy(*KEYS).agg(F.count_if(F.col("matched") & ~F.col("explicit")).alias("extra"), F.count_if(~F.col("matched") & ~F.col("explicit")).alias("internal"))
     e = ex.groupBy(*KEYS).agg(F.count_if(~F.col("is_pattern")).alias("named"))
-    hits = r.select(*KEYS, F.explode(F.regexp_extract_all("content", F.lit(r"([A-Za-z.][A-Za-z0-9.]*):::[A-Za-z.]"), F.lit(1))).alias("pkg"))
+    colons = F.array_join(F.filter(lines("content"), lambda x: x.contains(":::")), "\n")  # no match runs over lines
+    hits = r.select(*KEYS, F.explode(F.regexp_extract_all(colons, F.lit(r"([A-Za-z.][A-Za-z0-9.]*+):::[A-Za-z.]"), F.lit(1))).alias("pkg"))
     hits = hits.groupBy(*KEYS).agg(F.count("*").alias("tc"), F.countDistinct(F.when(F.col("pkg") != F.col("package"), F.col("pkg"))).alias("tp"))
     has = files.groupBy(*KEYS).agg(F.bool_or(_named(["NAMESPACE"])).alias("has"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
