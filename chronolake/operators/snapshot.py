@@ -6,6 +6,7 @@ measured absence 0.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +52,8 @@ UNSAFE = [
     Rule("unsafe_pattern_score", R_SOURCE, r"=\s*[A-Za-z_.]", unit="lines", weight=2, source="set_lines"),
     Rule("unsafe_pattern_score", R_SOURCE, r"download\.file\s*\(|\burl\s*\(|\bcurl\s*\(", weight=2, where=HOOK),
 ]
-SECRETS = [
 QUOTED = r"[=:]\s*[\"'][A-Za-z0-9+/=_\-]{16}"  # what a stated key can't be without, found at once: the names before it, in either case, are slow to look for
+SECRETS = [
     Rule("secret_pattern_count", "", r"AKIA[0-9A-Z]{16}", most_bytes=1_000_000),
     Rule("secret_pattern_count", "", r"g(?:h[pous]_|ithub_pat_)[A-Za-z0-9_]{36,}", most_bytes=1_000_000),
     Rule("secret_pattern_count", "", r"(?i)(api[_-]?key|api[_-]?secret|secret[_-]?key|access[_-]?token)\s*[=:]\s*[\"'][A-Za-z0-9+/=_\-]{16,}[\"']", most_bytes=1_000_000, where=QUOTED),
@@ -289,12 +290,10 @@ def documentation(files: DataFrame) -> DataFrame:
     )
     docs = man.select(*KEYS, "path").join(docs, [*KEYS, "path"], "left").withColumn("symbols", or_empty("symbols"))
 
-    def run(frames):
-        from pandas import DataFrame as Frame
-
-        for f in frames:
+    def run(batches):
+        for part in parse.slices(batches, ["examples", "usage", "arguments"]):
             rows = []
-            for *own, examples, usage, arguments in f.itertuples(index=False, name=None):
+            for examples, usage, arguments in zip(*(part[c].to_pylist() for c in ("examples", "usage", "arguments")), strict=True):
                 wrapped = None
                 if examples is not None:
                     body = examples.strip()
@@ -304,13 +303,15 @@ def documentation(files: DataFrame) -> DataFrame:
                 params = parse.usage_params(usage) if usage is not None else []
                 told = set(parse.item_names(arguments or ""))
                 missing = [p for p in params if p not in told]
-                rows.append((*own, wrapped, len(missing) / len(params) if params else None))
-            yield Frame(rows, columns=[*KEYS, "path", "wrapped", "undocumented"])
+                rows.append((wrapped, len(missing) / len(params) if params else None))
+            wrapped, undocumented = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([*(part[k] for k in kept), pa.array(wrapped, pa.bool_()), pa.array(undocumented, pa.float64())], names=[*kept, "wrapped", "undocumented"])
 
-    kinds = dict(files.dtypes)
-    parsed = docs.select(*KEYS, "path", "examples", "usage", "arguments").mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in [*KEYS, "path"]) + ", wrapped boolean, undocumented double")
+    kept = [*KEYS, "path", "symbols", "value", "refs"]  # they go along, so that the sections are made once
+    kinds = dict(docs.dtypes)
+    docs = docs.select(*kept, "examples", "usage", "arguments").mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in kept) + ", wrapped boolean, undocumented double")
     ex = exports(files).filter("not is_pattern").groupBy(*KEYS).agg(F.collect_set("name").alias("exported"))
-    docs = docs.join(parsed, [*KEYS, "path"], "left").join(ex, KEYS, "left").withColumn("own", F.size(F.array_intersect("symbols", or_empty("exported"))) > 0)
+    docs = docs.join(ex, KEYS, "left").withColumn("own", F.size(F.array_intersect("symbols", or_empty("exported"))) > 0)
     out = docs.groupBy(*KEYS).agg(
         F.avg(F.col("wrapped").cast("double")).alias("dontrun_example_ratio"),
         F.avg(F.when(F.col("own"), F.col("undocumented"))).alias("undocumented_params_rate"),
