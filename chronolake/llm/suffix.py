@@ -11,8 +11,15 @@ stands for the windows whose minimiser it is, up to ``WORDS`` - ``GRAM`` words t
 belongs to the match as long as another place has its equal. What the repeated windows cover, joined where
 they overlap, is a repeated passage.
 
-A window is known by 128 bits made from 128-bit hashes of its words. A group of equal windows is only
-counted, never gathered, so that a passage which very many texts share costs no more than its places.
+Texts are read twice and shuffled once at most. The first time, every row gives its kept suffixes; equal
+texts are folded by what they gave. The second time, a row that stands for its text and has a like
+neighbour goes to its places. Which rows these are is told to the tasks by a bit map of at most ``BITS``
+bits, whatever the size of the table: a row that it lets through without need only meets no places.
+
+A window is known by 128 bits made from 128-bit hashes of its words. Equal windows have equal leads, so a
+kept suffix travels once with all its windows to those with its lead. A lead that very many places have
+(``many_places``) is kept from that: there all windows are sorted with their places in ranges, which cut a
+group of equal windows up, so that a passage which very many texts share costs no more than its places.
 
 Of equal windows, the one with the smallest (doc_id, place) is the first (in each row that has them);
 ``later`` passages are those covered by windows that aren't.
@@ -25,15 +32,17 @@ read as a whole. Extra columns are ignored. An empty table gives an empty result
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolake.llm import common
 
 WORDS, GRAM = 50, 8
+BITS, MANY = 1 << 28, 1024
 _BASES = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)]
 _BACKS = [np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES]
 
@@ -113,41 +122,46 @@ def _batches(batch: pa.RecordBatch, words: int, gram: int, with_windows: bool, m
         at = end
 
 
-def kept_suffixes(texts: DataFrame, words: int, gram: int) -> DataFrame:
-    """tid, n_words, and the places and leading words (a hash) of the kept suffixes of each text."""
+def kept_suffixes(rows: DataFrame, words: int, gram: int) -> DataFrame:
+    """A row for each text of ``rows`` (tid, doc_id, text): tid, rows (how many have it), low (their smallest
+    doc_id), n_words, and the places and leading words (a hash) of its kept suffixes."""
 
     def work(batches):
         for batch in batches:
             for at, b in _batches(batch, words, gram, False):
                 kept = np.unique(b.anchor[b.whole])
                 offsets, place = b.lists(kept)
-                columns = [batch["tid"].slice(at, len(b.sizes)), pa.array(b.sizes), pa.ListArray.from_arrays(offsets, pa.array(place)), pa.ListArray.from_arrays(offsets, pa.array(b.grams[kept].view(np.int64)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["tid", "n_words", "places", "leads"])
+                columns = [batch[c].slice(at, len(b.sizes)) for c in ("tid", "doc_id")]
+                columns += [pa.array(b.sizes), pa.ListArray.from_arrays(offsets, pa.array(place)), pa.ListArray.from_arrays(offsets, pa.array(b.grams[kept].view(np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["tid", "doc_id", "n_words", "places", "leads"])
 
-    return texts.mapInArrow(work, "tid binary, n_words long, places array<int>, leads array<bigint>")
+    found = rows.mapInArrow(work, "tid binary, doc_id long, n_words long, places array<int>, leads array<bigint>")
+    low = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
+    found = found.groupBy("tid").agg(F.count("*").alias("rows"), low.alias("low"), *(F.first(c).alias(c) for c in ("n_words", "places", "leads")))
+    return found.withColumn("low", F.col("low.doc_id"))
 
 
 ALIKE, OPEN, EDGE = 0, 1, 2
 
 
 def with_neighbours(suffixes: DataFrame) -> DataFrame:
-    """tid and the places of the kept suffixes that a neighbour in the sorted array is like.
+    """lead, short (of tid) and place of the kept suffixes that a neighbour in the sorted array is like.
 
     The array is cut into ranges, so that what very many suffixes begin with is cut up too. A range also
     tells the leads at its two ends; a suffix there that is like none in its range is like one of another
     range if that tells the same lead."""
     spark = suffixes.sparkSession
-    rows = suffixes.select("tid", F.explode(F.arrays_zip("places", "leads")).alias("s")).select(F.col("s.leads").alias("lead"), "tid", F.col("s.places").alias("place"))
+    rows = suffixes.select(F.xxhash64("tid").alias("short"), F.explode(F.arrays_zip("places", "leads")).alias("s")).select(F.col("s.leads").alias("lead"), "short", F.col("s.places").alias("place"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    array = rows.repartitionByRange(ranges, "lead", "tid", "place").sortWithinPartitions("lead")
+    array = rows.repartitionByRange(ranges, "lead", "short", "place").sortWithinPartitions("lead")
 
     def work(batches):
         part, held, first = TaskContext.get().partitionId(), None, True
-        names = ["kind", "part", "lead", "tid", "place"]
+        names = ["kind", "part", "lead", "short", "place"]
 
         def out(batch, kind):
             n = batch.num_rows
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), batch["lead"], batch["tid"], batch["place"]], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), batch["lead"], batch["short"], batch["place"]], names=names)
 
         def compared(batch, before, after):
             """Of the rows with a lead before and one after, those like a neighbour; the rest at the ends."""
@@ -171,31 +185,136 @@ def with_neighbours(suffixes: DataFrame) -> DataFrame:
         if held is not None:
             yield from compared(held, before, None)
 
-    found = common.staged(array.mapInArrow(work, "kind int, part int, lead long, tid binary, place int"), "suffix-array")
+    found = common.staged(array.mapInArrow(work, "kind int, part int, lead long, short long, place int"), "suffix-array")
     edges = found.filter(F.col("kind") == EDGE).select("lead", "part").distinct().groupBy("lead").count().filter("count > 1").select("lead")  # two for each range at most
     alike = found.filter(F.col("kind") == ALIKE).unionByName(found.filter(F.col("kind") == OPEN).join(F.broadcast(edges), "lead", "left_semi"))
-    return alike.groupBy("tid").agg(F.collect_list("place").alias("places"))
+    return alike.select("lead", "short", "place")
+
+
+def many_places(alike: DataFrame) -> DataFrame:
+    """The leads that more than 1 / 2^14 of all places have, and more than ``MANY``: fewer than 2^14."""
+    counts = alike.groupBy("lead").agg(F.count("*").alias("n"))
+    total = alike.count()
+    return common.staged(counts.filter(F.col("n") > max(MANY, total >> 14)).select("lead"), "suffix-many")
+
+
+def _reached(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The ``rows`` (tid, some, id) whose bit ``keys`` has set in a bit map with 16 bits for each of the keys,
+    and ``BITS`` at most: all rows whose key is among them, and few others."""
+    bits = min(BITS, 1 << max(15, (16 * keys.count()).bit_length()))
+    bit = F.pmod(F.xxhash64("tid", "some", "id"), F.lit(bits))
+    at = lambda df: df.withColumn("bit", bit).withColumn("bucket", F.bitmap_bucket_number("bit"))
+    buckets = at(keys).groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    place = F.bitmap_bit_position("bit")
+    byte = F.conv(F.hex(F.substring("map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = at(rows).join(F.broadcast(buckets), "bucket").filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(bit) % 8 as int))")) != 0)
+    return found.select(*rows.columns)
 
 
 def extended(texts: DataFrame, places: DataFrame, words: int, gram: int) -> DataFrame:
-    """short (of tid), low, and start and hashes (w1, w2) of the windows around each text's ``places``."""
+    """lead, short (of tid), low, start, first and second for each of a text's ``places`` (tid, some, id, places):
+    its lead, and the start and the hashes (two lists) of the windows in a row whose minimiser it is.
+    ``texts`` has tid, some, id and text; of those that repeat all these, one counts."""
 
     def work(batches):
         for batch in batches:
             for at, b in _batches(batch, words, gram, True):
                 own = np.zeros(int(b.sizes.sum()) + 1, bool)
                 for i, at_words in enumerate(batch["places"].slice(at, len(b.sizes)).to_pylist()):
-                    own[b.starts[i] + np.array(at_words, np.int64)] = True
+                    at_words = np.array(at_words, np.int64)
+                    own[b.starts[i] + at_words[at_words < b.sizes[i]]] = True
                 chosen = np.flatnonzero(b.whole & own[b.anchor])
-                offsets, place = b.lists(chosen)
-                columns = [batch["tid"].slice(at, len(b.sizes)), batch["low"].slice(at, len(b.sizes))]
-                columns += [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place, b.windows[0][chosen].view(np.int64), b.windows[1][chosen].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["tid", "low", "starts", "first", "second"])
-
-    found = texts.join(common.sent(places, "size(places) + 4"), "tid").mapInArrow(work, "tid binary, low long, starts array<int>, first array<bigint>, second array<bigint>")
-    # a row for each window: the text's id shortened to 64 bits, as its doc_id goes with it
-    each = common.staged(found, "suffix-windows").select(F.xxhash64("tid").alias("short"), "low", F.explode(F.arrays_zip("starts", "first", "second")).alias("w"))
-    return each.select("short", "low", F.col("w.starts").alias("start"), F.col("w.first").alias("w1"), F.col("w.second").alias("w2"))
+                if not len(chosen):
+                    continue
+                # windows in a row with one minimiser
+                new = np.flatnonzero(np.concatenate(([True], (np.diff(chosen) > 1) | (np.diff(b.anchor[chosen]) != 0))))
+                head = chosen[new]
+                of = pa.array(b.doc[head] + at)
+                offsets = pa.array(np.append(new, len(chosen)).astype(np.int32))
+                columns = [pa.array(b.grams[b.anchor[head]].view(np.int64)), batch["short"].take(of), batch["low"].take(of), pa.array((head - b.starts[b.doc[head]]).astype(np.int32))]
+                columns += [pa.ListArray.from_arrays(offsets, pa.array(x[chosen].view(np.int64))) for x in b.windows]
+                yield pa.RecordBatch.from_arrays(columns, names=["lead", "short", "low", "start", "first", "second"])
+
+    key = ["tid", "some", "id"]
+    rows = _reached(texts, places.select(*key)).dropDuplicates(key).join(places, key)
+    rows = rows.select(F.xxhash64("tid").alias("short"), F.when(F.col("some"), F.col("id")).alias("low"), "text", "places")
+    return rows.mapInArrow(work, "lead long, short long, low long, start int, first array<bigint>, second array<bigint>")
+
+
+def _windows(runs: DataFrame) -> DataFrame:
+    """A row for each window."""
+    each = runs.select("lead", "short", "low", "start", F.posexplode(F.arrays_zip("first", "second")).alias("k", "w"))
+    return each.select("lead", "short", "low", (F.col("start") + F.col("k")).cast("int").alias("start"), F.col("w.first").alias("w1"), F.col("w.second").alias("w2"))
+
+
+def _place():
+    return F.struct(F.col("low").isNotNull().alias("some"), "low", "start")
+
+
+def repeated(runs: DataFrame) -> DataFrame:
+    """short, low, start and first (of the equal ones, the smallest place) of windows that have an equal. What
+    has one lead meets in one task."""
+    equal = Window.partitionBy("lead", "w1", "w2")
+    each = _windows(runs.repartition("lead")).withColumn("n", F.count("*").over(equal)).withColumn("first", F.min(_place()).over(equal))
+    return each.filter("n > 1").select("short", "low", "start", "first")
+
+
+def repeated_by_many(runs: DataFrame) -> DataFrame:
+    """The same for leads that very many places have: their windows are sorted with their places in ranges, so
+    that a window of very many places is cut up too. What the row before has been in another range is told
+    by the first and the last window of each range, two rows a range."""
+    spark = runs.sparkSession
+    at = _windows(common.staged(runs, "suffix-windows"))
+    at = at.select("w1", "w2", F.col("low").isNotNull().alias("some"), F.coalesce("low", F.lit(0).cast("long")).alias("id"), "start", "short")
+    names, place = ["w1", "w2", "some", "id", "start", "short"], ["f_some", "f_id", "f_start"]
+    array = at.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *names).sortWithinPartitions(*names)
+
+    def work(frames):
+        part, rows, top = TaskContext.get().partitionId(), None, None
+
+        def out(f, kind):
+            return f.assign(part=np.int32(part), kind=np.int32(kind))[[*names, *place, "alike", "part", "kind"]]
+
+        def told(f):
+            """All rows of a frame, whose first is known and whose ``alike`` is said."""
+            opened = (f["w1"].to_numpy() == top[0]) & (f["w2"].to_numpy() == top[1])
+            yield out(f[opened], OPEN)
+            yield out(f[~opened & f["alike"].to_numpy(bool)], ALIKE)
+
+        for f in frames:
+            if not len(f):
+                continue
+            f = f.assign(alike=False, **{p: f[c] for p, c in zip(place, ("some", "id", "start"), strict=True)})
+            if rows is None:
+                top = f["w1"].iloc[0], f["w2"].iloc[0]
+                yield out(f.iloc[:1], EDGE)
+            else:
+                f = pd.concat((rows, f), ignore_index=True)
+            w1, w2 = f["w1"].to_numpy(), f["w2"].to_numpy()
+            same = np.concatenate(([False], (w1[1:] == w1[:-1]) & (w2[1:] == w2[:-1])))
+            of = np.maximum.accumulate(np.where(same, 0, np.arange(len(f))))  # the first row of its window
+            alike = f["alike"].to_numpy(bool) | same
+            alike[:-1] |= same[1:]
+            f = f.assign(alike=alike, **{p: f[p].to_numpy()[of] for p in place})
+            yield from told(f.iloc[:-1])
+            rows = f.iloc[-1:]
+        if rows is not None:
+            yield out(rows, EDGE)
+            lone = not rows["alike"].iloc[0] and (rows["w1"].iloc[0], rows["w2"].iloc[0]) != top
+            yield from [out(rows, OPEN)] if lone else told(rows)
+
+    found = common.staged(array.mapInPandas(work, "w1 long, w2 long, some boolean, id long, start int, short long, f_some boolean, f_id long, f_start int, alike boolean, part int, kind int"), "suffix-sorted")
+    edges = found.filter(F.col("kind") == EDGE).groupBy("w1", "w2").agg(F.min(F.struct(*place)).alias("f"), (F.count_distinct("part") > 1).alias("more")).select("w1", "w2", "f.*", "more").toPandas()
+
+    def close(frames):
+        for f in frames:
+            f = f.drop(columns=place).merge(edges, on=["w1", "w2"])
+            yield f[f["alike"] | f["more"]][["some", "id", "start", "short", *place]]
+
+    opened = found.filter(F.col("kind") == OPEN).mapInPandas(close, "some boolean, id long, start int, short long, f_some boolean, f_id long, f_start int")
+    rows = found.filter(F.col("kind") == ALIKE).select(*opened.columns).unionByName(opened)
+    low = lambda some, d: F.when(F.col(some), F.col(d)).alias("low")
+    return rows.select("short", low("some", "id"), "start", F.struct(F.col("f_some").alias("some"), low("f_some", "f_id"), F.col("f_start").alias("start")).alias("first"))
 
 
 def _covered(starts: str, words: int) -> str:
@@ -212,23 +331,25 @@ def passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame
     """For each row: doc_id, n_words, spans and later (arrays of start and end in words)."""
     tid = F.unhex(F.substring(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), 1, 32))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), tid.alias("tid"))
-    ids = given.groupBy("tid", "doc_id").agg(F.count("*").alias("m"))
-    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "m"))
-    texts = ids.groupBy("tid").agg(F.sum("m").alias("rows"), first.alias("low")).select("tid", "rows", F.col("low.doc_id").alias("low"), F.col("low.m").alias("m"))
-    texts = common.staged(texts, "suffix-texts")
-    row = lambda d: F.struct("tid", F.coalesce(F.col(d), F.lit(0).cast("long")), F.col(d).isNull())
-    folded = common.one_of_each(given.withColumn("row", row("doc_id")), "row", common.staged(texts.select(row("low").alias("row"), F.col("m").alias("n")), "suffix-rows"))
-    kept = common.staged(kept_suffixes(folded.select("tid", "text"), words, gram), "suffix-kept")
-    at = extended(folded.select("tid", F.col("doc_id").alias("low"), "text"), common.staged(with_neighbours(kept), "suffix-places"), words, gram)
-    place = F.struct(F.col("low").isNotNull().alias("some"), "low", "start")
-    groups = at.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").select("w1", "w2", "first")
-    groups = common.staged(groups, "suffix-groups")  # read anew, so that the join can split a window that very many have
-    again = at.join(groups, ["w1", "w2"])
-    later = F.when(~place.eqNullSafe(F.col("first")), F.col("start"))
+    texts = common.staged(kept_suffixes(given, words, gram), "suffix-kept")
+    alike = common.staged(with_neighbours(texts), "suffix-alike")
+    many = many_places(alike)
+    key = lambda d: (F.col(d).isNotNull().alias("some"), F.coalesce(F.col(d), F.lit(0).cast("long")).alias("id"))
+    ids, rows = texts.select("tid", F.xxhash64("tid").alias("short"), *key("low")), given.select("tid", *key("doc_id"), "text")
+
+    def runs(of: DataFrame) -> DataFrame:
+        places = of.groupBy("short").agg(F.collect_list("place").alias("places"))
+        return extended(rows, common.staged(ids.join(places, "short").drop("short"), "suffix-places"), words, gram)
+
+    if many.isEmpty():
+        again = repeated(runs(alike))
+    else:
+        again = repeated(runs(alike.join(F.broadcast(many), "lead", "left_anti"))).unionByName(repeated_by_many(runs(alike.join(F.broadcast(many), "lead", "left_semi"))))
+    later = F.when(~_place().eqNullSafe(F.col("first")), F.col("start"))
     spans = again.groupBy("short", "low").agg(F.sort_array(F.collect_list("start")).alias("s_all"), F.sort_array(F.collect_list(later)).alias("s_later"))
     spans = spans.select("short", F.col("low").alias("s_low"), F.expr(_covered("s_all", words)).alias("s_spans"), F.expr(_covered("s_later", words)).alias("s_later"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    known = texts.join(kept.select("tid", "n_words"), "tid").withColumn("short", F.xxhash64("tid")).join(spans.withColumnRenamed("short", "s_short"), (F.col("short") == F.col("s_short")) & F.col("low").eqNullSafe(F.col("s_low")), "left")
+    known = texts.select("tid", "rows", "low", "n_words", F.xxhash64("tid").alias("short")).join(spans.withColumnRenamed("short", "s_short"), (F.col("short") == F.col("s_short")) & F.col("low").eqNullSafe(F.col("s_low")), "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     copied = (F.col("rows") > 1) & (F.col("n_words") >= words)
     known = known.select("tid", "low", "n_words", F.when(copied, whole).otherwise(F.coalesce("s_spans", none)).alias("spans"), F.coalesce("s_later", none).alias("first_later"), F.when(copied, whole).otherwise(none).alias("copy_later"))

@@ -83,3 +83,30 @@ def test_long_text(spark):
     docs = spark.createDataFrame([(1, " ".join(w)), (2, "a b " + " ".join(p[:60]))], "doc_id long, text string")
     got = {r.doc_id: ([tuple(s) for s in r.spans], [tuple(s) for s in r.later]) for r in suffix.passages(docs).collect()}
     assert got == {1: ([(0, 70), (900070, 900140)], [(900070, 900140)]), 2: ([(2, 62)], [(2, 62)])}
+
+
+@pytest.mark.parametrize("many, bits", [(3, 1 << 15), (40, 1 << 28)])
+def test_leads_of_very_many(spark, many, bits, monkeypatch):
+    """Where all, or some, leads have so many places that their windows are counted apart, and a bit map that
+    is full: the same rows."""
+    monkeypatch.setattr(suffix, "MANY", many)
+    monkeypatch.setattr(suffix, "BITS", bits)
+    rows = corpus(20, 7) + [(200 + i, f"own{i} " * 3 + " ".join(f"shared{k}" for k in range(24)) + f" end{i}") for i in range(50)]
+    rows += [(3, rows[3][1]), (3, rows[3][1]), (3, rows[8][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_words, [tuple(s) for s in r.spans], [tuple(s) for s in r.later]) for r in suffix.passages(docs.repartition(3), 20, 4).collect()), key=str)
+    want = [(d, len((t or "").split()), *spans) for (d, t), spans in zip(rows, plain(rows, 20), strict=True)]
+    assert got == sorted(want, key=str)
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """Texts without repeats are not shuffled, however many there are."""
+    monkeypatch.setattr(common, "SENT", 0)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{rng.randrange(16**12):x}" for _ in range(1000))) for i in range(400)]
+    rows += [(1000 + i, " ".join(t.split()[200:260])) for i, t in rows[:3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = written()
+    assert suffix.passages(docs).where("size(spans) > 0").count() == 6
+    assert written() - before < sum(len(t) for _, t in rows) / 3
