@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from chronolake.llm import common
 
 WORDS, GRAM = 50, 8
-BITS, MANY = 1 << 28, 1024
+BITS, MANY = 1 << 28, 1 << 16
 _BASES = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)]
 _BACKS = [np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES]
 
