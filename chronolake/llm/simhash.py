@@ -95,33 +95,62 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
     return _given(docs).mapInArrow(work, "doc_id long, text_hash long, fp long")
 
 
+class Bits:
+    """The space of 64-bit fingerprints ``fp``: links are ``most`` differing bits or fewer."""
+
+    key, columns, schema, spare = "fp", ["fp"], "fp long", 0
+
+    def __init__(self, most: int):
+        self.most = most
+
+    def points(self, f: pd.DataFrame) -> np.ndarray:
+        return f["fp"].to_numpy(np.int64).view(np.uint64)
+
+    def away(self, points: np.ndarray, vantage: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(points ^ vantage).astype(np.int64)
+
+    def reach(self, points: np.ndarray) -> np.ndarray:
+        return np.full(len(points), self.most)
+
+    def split(self, points: np.ndarray) -> tuple[np.ndarray, int] | None:
+        """A vantage point and a radius that halve the points, if one does."""
+        vantage = points[len(points) // 2]
+        d = self.away(points, vantage)
+        radius = int(np.median(d))
+        return (vantage, radius) if (d <= radius).any() and (d > radius).any() else None
+
+    def forest(self, f: pd.DataFrame, within: bool) -> tuple[np.ndarray, np.ndarray]:
+        fps, home = self.points(f), f["home"].to_numpy(bool)
+        a, b = _forest(fps[home], fps[~home], self.most, within)
+        return a.view(np.int64), b.view(np.int64)
+
+
 class VantageTree:
-    """Nodes (vantage, radius, left, right) as arrays; a negative child -1-k is leaf k."""
+    """Nodes (vantage, radius, left, right); a negative child -1-k is leaf k. What has no more than
+    ``least`` points of the sample is a leaf, and so is what the space has no split for."""
 
-    def __init__(self, sample: np.ndarray, depth: int):
-        self.nodes: list[list[int]] = []
+    def __init__(self, space, sample: np.ndarray, depth: int, least: int = 2):
+        self.space, self.least = space, least
+        self.nodes: list[list] = []
         self.leaves = 0
         self.root = self._grow(sample, depth)
 
     def _grow(self, points: np.ndarray, depth: int) -> int:
-        if depth > 0 and len(points) > 2:
-            vantage = points[len(points) // 2]
-            d = np.bitwise_count(points ^ vantage)
-            radius = int(np.median(d))
-            if (d <= radius).any() and (d > radius).any():
-                k = len(self.nodes)
-                self.nodes.append([int(vantage), radius, 0, 0])
-                self.nodes[k][2] = self._grow(points[d <= radius], depth - 1)
-                self.nodes[k][3] = self._grow(points[d > radius], depth - 1)
-                return k
+        split = self.space.split(points) if depth > 0 and len(points) > self.least else None
+        if split:
+            inside, k = self.space.away(points, split[0]) <= split[1], len(self.nodes)
+            self.nodes.append([*split, 0, 0])
+            self.nodes[k][2] = self._grow(points[inside], depth - 1)
+            self.nodes[k][3] = self._grow(points[~inside], depth - 1)
+            return k
         self.leaves += 1
         return -self.leaves
 
-    def visits(self, fps: np.ndarray, reach: int, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def visits(self, points: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, leaf, is_home): each row's home leaf, and the later leaves it has to visit. Rows that
         aren't ``live`` have no home; they visit every leaf that they may touch."""
-        rows, leaves, homes = [], [], []
-        todo = [(self.root, np.arange(len(fps)), np.ones(len(fps), bool) if live is None else live)]
+        rows, leaves, homes, reach = [], [], [], self.space.reach(points)
+        todo = [(self.root, np.arange(len(points)), np.ones(len(points), bool) if live is None else live)]
         while todo:
             k, idx, home = todo.pop()
             if not len(idx):
@@ -132,17 +161,17 @@ class VantageTree:
                 homes.append(home)
                 continue
             vantage, radius, left, right = self.nodes[k]
-            d = np.bitwise_count(fps[idx] ^ np.uint64(vantage)).astype(np.int64)
+            d = self.space.away(points[idx], vantage)
             inside = d <= radius
-            go = d <= radius + reach
+            go = d <= radius + reach[idx]
             todo.append((left, idx[go], (home & inside)[go]))
-            go = d > radius - reach
+            go = d > radius - reach[idx]
             todo.append((right, idx[go], (home & ~inside)[go]))
         if not rows:
             none = np.zeros(0, np.int64)
             return none, none, none.astype(bool)
         row, leaf, home = np.concatenate(rows), np.concatenate(leaves), np.concatenate(homes)
-        at = np.full(len(fps), -1, np.int64)
+        at = np.full(len(points), -1, np.int64)
         at[row[home]] = leaf[home]
         keep = leaf >= at[row]
         return row[keep], leaf[keep], home[keep]
@@ -194,80 +223,83 @@ def _forest(homes: np.ndarray, queries: np.ndarray, reach: int, within: bool = T
 LEAVES = 4096
 
 
-def _split(dealt: DataFrame, big: DataFrame, max_bits: int, leaf: int, sample: int, chunk: int) -> DataFrame:
-    """The rows (shard, fp, home) of the shards in ``big`` (shard, homes, n), dealt to the leaves of a
-    tree for each shard."""
+def _depth(space, n: float, leaf: int, sample: int) -> int:
+    return min(max(0, math.ceil(math.log2(max(n, 1) / leaf))) + space.spare, int(math.log2(sample)) - 3)
+
+
+def _split(dealt: DataFrame, big: DataFrame, space, leaf: int, sample: int, chunk: int) -> DataFrame:
+    """The rows (shard, a point's columns, home) of the shards in ``big`` (shard, homes, n), dealt to the
+    leaves of a tree for each shard."""
 
     def grow(f: pd.DataFrame) -> pd.DataFrame:
-        depth = min(math.ceil(math.log2(max(2.0, f["homes"].iloc[0] / leaf))), int(math.log2(sample)) - 3)
-        return pd.DataFrame({"shard": f["shard"].iloc[:1], "tree": [pickle.dumps(VantageTree(f["fp"].to_numpy(np.int64).view(np.uint64), depth))]})
+        homes = int(f["homes"].iloc[0])
+        tree = VantageTree(space, space.points(f), max(1, _depth(space, homes, leaf, sample)), max(2, len(f) * leaf // homes if space.spare else 0))
+        return pd.DataFrame({"shard": f["shard"].iloc[:1], "tree": [pickle.dumps(tree)]})
 
     of = dealt.join(big, "shard")
-    seen = of.filter(F.col("home") & (F.pmod(F.xxhash64("fp"), F.ceil(F.col("homes") / sample)) == 0))
+    seen = of.filter(F.col("home") & (F.pmod(F.xxhash64(space.key), F.ceil(F.col("homes") / sample)) == 0))
     trees = common.staged(seen.groupBy("shard").applyInPandas(grow, "shard long, tree binary"), "simhash-trees")
 
     def deal(_: tuple, tree: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
-        if not len(f):
-            return pd.DataFrame({"shard": [], "fp": [], "home": []})
-        fps, shard = f["fp"].to_numpy(np.int64).view(np.uint64), int(f["shard"].iloc[0])
-        if not len(tree):  # a sample without rows: the shard stays as it is
-            return pd.DataFrame({"shard": shard * LEAVES, "fp": f["fp"], "home": f["home"]})
-        row, at, home = pickle.loads(tree["tree"].iloc[0]).visits(fps, max_bits, f["home"].to_numpy(bool))
-        return pd.DataFrame({"shard": shard * LEAVES + at, "fp": fps[row].view(np.int64), "home": home})
+        f = f[["shard", *space.columns, "home"]]
+        if not len(f) or not len(tree):  # a sample without rows: the shard stays as it is
+            return f.assign(shard=f["shard"] * LEAVES)
+        row, at, home = pickle.loads(tree["tree"].iloc[0]).visits(space.points(f), f["home"].to_numpy(bool))
+        return f.iloc[row].assign(shard=int(f["shard"].iloc[0]) * LEAVES + at, home=home)
 
     parts = F.ceil(F.col("n") / chunk)
-    rows = of.withColumn("part", F.pmod(F.xxhash64("fp", F.lit(1)), parts)).select("shard", "part", "fp", "home")
+    rows = of.withColumn("part", F.pmod(F.xxhash64(space.key, F.lit(1)), parts)).select("shard", "part", *space.columns, "home")
     trees = trees.join(big, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "tree")
-    return trees.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(deal, "shard long, fp long, home boolean")
+    return trees.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(deal, f"shard long, {space.schema}, home boolean")
 
 
-def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 16384, chunk: int = 1 << 18) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints ``fp`` that span every component of the links.
+def links(reps: DataFrame, max_bits: int = 4, leaf: int = 32768, sample: int = 16384, chunk: int = 1 << 18, space=None) -> DataFrame:
+    """Edges (a, b) between distinct points, named by their key, that span every component of the links.
+    Points are fingerprints ``fp``, linked at ``max_bits``, or those of another ``space``.
 
-    ``leaf`` is the number of homes aimed at in a shard, ``sample`` about as many fingerprints as a tree
+    ``leaf`` is the number of homes aimed at in a shard, ``sample`` about as many points as a tree
     is grown from (trees only decide where pairs meet, never whether), ``chunk`` about as many rows of a
     shard as a task deals out."""
+    space = space or Bits(max_bits)
+    reps = reps.select(*space.columns)
     n = reps.count()
-    depth = min(max(0, math.ceil(math.log2(max(n, 1) / leaf))), int(math.log2(sample)) - 3)
-    seen = [r.fp for r in reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if depth else []
-    tree = VantageTree(np.array(seen, np.int64).view(np.uint64), depth)
+    depth = _depth(space, n, leaf, sample) if n > leaf else 0
+    seen = reps.orderBy(F.xxhash64(space.key), space.key).limit(sample).collect() if depth else []
+    seen = space.points(pd.DataFrame(seen, columns=space.columns))
+    tree = VantageTree(space, seen, depth, max(2, len(seen) * leaf // max(1, n) if space.spare else 0))
 
     def deal(frames):
         for f in frames:
-            fps = f["fp"].to_numpy(np.int64).view(np.uint64)
-            row, shard, home = tree.visits(fps, max_bits)
-            yield pd.DataFrame({"shard": shard, "fp": fps[row].view(np.int64), "home": home})
+            row, shard, home = tree.visits(space.points(f))
+            yield f.iloc[row].assign(shard=shard, home=home)[["shard", *space.columns, "home"]]
 
-    dealt = common.staged(reps.select("fp").mapInPandas(deal, "shard long, fp long, home boolean"), "simhash-shards")
-    size = dealt.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("n"))
-    done, largest = [], None
-    while True:
-        big = common.staged(size.filter(F.col("homes") > 2 * leaf), "simhash-large")
-        top = big.agg(F.max("homes")).first()[0]
-        if top is None or top == largest:
-            break
-        largest = top
+    dealt = common.staged(reps.mapInPandas(deal, f"shard long, {space.schema}, home boolean"), "simhash-shards")
+    size = lambda: dealt.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("n"))
+    done, big = [], common.staged(size().filter(F.col("homes") > 2 * leaf), "simhash-large")
+    while not big.isEmpty():
         done.append(dealt.join(big, "shard", "left_anti").withColumn("level", F.lit(len(done))))
-        dealt = common.staged(_split(dealt, big, max_bits, leaf, sample, chunk), "simhash-shards")
-        size = dealt.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("n"))
+        dealt = common.staged(_split(dealt, big, space, leaf, sample, chunk), "simhash-shards")
+        # shards that a tree of their own doesn't at least halve are left to blocks
+        was = big.select(F.col("shard").alias("of"), F.col("homes").alias("was"))
+        big = size().filter(F.col("homes") > 2 * leaf).join(was, F.expr(f"shard div {LEAVES} = of")).filter("2 * homes <= was")
+        big = common.staged(big.select("shard", "homes", "n"), "simhash-large")
     every = dealt.withColumn("level", F.lit(len(done)))
     for part in done:
         every = every.unionByName(part)
     # a cell is a block of homes against itself, a later block of homes or a block of visitors
     counts = every.groupBy("level", "shard").agg(F.ceil(F.sum(F.col("home").cast("long")) / (2 * leaf)).alias("blocks"), F.ceil(F.sum((~F.col("home")).cast("long")) / (8 * leaf)).alias("others"))
-    own = F.pmod(F.xxhash64("fp", F.lit(2)), F.when(F.col("home"), F.col("blocks")).otherwise(F.col("others")))
+    own = F.pmod(F.xxhash64(space.key, F.lit(2)), F.when(F.col("home"), F.col("blocks")).otherwise(F.col("others")))
     at = every.join(common.staged(counts.filter("blocks > 0"), "simhash-blocks"), ["level", "shard"]).withColumn("own", own)
     cell = lambda i, j, home: F.struct(i.alias("i"), j.alias("j"), home.alias("home"))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     first, second = (lambda k: cell(F.least("own", k), F.greatest("own", k), F.col("own") <= k)), (lambda v: cell(F.col("own"), -1 - v, F.lit(True)))
     homes = F.concat(F.transform(upto(F.col("blocks")), first), F.when(F.col("others") > 0, F.transform(upto(F.greatest("others", F.lit(1))), second)).otherwise(F.array().cast("array<struct<i:bigint,j:bigint,home:boolean>>")))
     visitors = F.transform(upto(F.col("blocks")), lambda k: cell(k, -1 - F.col("own"), F.lit(False)))
-    cells = at.select("level", "shard", "fp", F.explode(F.when(F.col("home"), homes).otherwise(visitors)).alias("c")).select("level", "shard", "c.i", "c.j", "fp", "c.home")
+    cells = at.select("level", "shard", *space.columns, F.explode(F.when(F.col("home"), homes).otherwise(visitors)).alias("c")).select("level", "shard", "c.i", "c.j", *space.columns, "c.home")
 
     def close(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        fps, home = f["fp"].to_numpy(np.int64).view(np.uint64), f["home"].to_numpy(bool)
-        a, b = _forest(fps[home], fps[~home], max_bits, key[2] == key[3])
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        a, b = space.forest(f, key[2] == key[3])
+        return pd.DataFrame({"a": a, "b": b})
 
     return cells.groupBy("level", "shard", "i", "j").applyInPandas(close, "a long, b long")
 
@@ -414,20 +446,68 @@ def _linked(codes: np.ndarray, sets: list[np.ndarray], k: int, within: bool, mos
     return edges
 
 
+class Wide:
+    """The space of texts (``node``, ``size``: its number of shingles, ``code``: its wide fingerprint) in
+    which texts of that Jaccard ``similarity`` are near. Two points are as far apart as their codes, in
+    bits, or as their sizes, whichever is more; the ratio of sizes that similar texts keep within counts
+    as ``radius`` bits. The larger of two metrics is one, so the triangle inequality holds."""
+
+    key, columns, schema, spare = "node", ["node", "size", "code"], "node long, size long, code binary", 3
+
+    def __init__(self, similarity: float):
+        self.similarity = similarity
+        self.first, self.most = radius(similarity, 128), radius(similarity, 64 * WIDE)
+        self.scale = self.most[1] / math.log(1 / similarity)
+
+    def points(self, f: pd.DataFrame) -> np.ndarray:
+        """A row of words for each: the size, and the code."""
+        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), WIDE)
+        return np.concatenate((f["size"].to_numpy(np.int64).astype(np.uint64)[:, None], codes), axis=1)
+
+    def away(self, points: np.ndarray, vantage: np.ndarray) -> np.ndarray:
+        bits = np.bitwise_count(points[:, 1:] ^ vantage[1:]).sum(axis=1, dtype=np.int64)
+        sizes = np.log(np.maximum(points[:, 0], 1).astype(float)) - math.log(max(int(vantage[0]), 1))
+        return np.maximum(bits, self.scale * np.abs(sizes))
+
+    def reach(self, points: np.ndarray) -> np.ndarray:
+        """A text has ``most`` for few hashes if the other text of a pair may have few."""
+        return np.where(points[:, 0] * self.similarity < FEW, *self.most) + 1e-6
+
+    def split(self, points: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """The vantage point and radius that leave the fewest comparisons, of some points and the empty
+        text; none, if they leave nearly all, as a text then only visits more leaves."""
+        best, reach = (0.9, None), self.reach(points)
+        for vantage in (*points[np.arange(8) * len(points) // 8], np.zeros(1 + WIDE, np.uint64)):
+            d = self.away(points, vantage)
+            for r in np.unique(np.quantile(d, np.arange(1, 16) / 16, method="lower")).tolist():
+                inside = (d <= r).mean()
+                left = inside * (d <= r + reach).mean() + (1 - inside) * (d > r - reach).mean()
+                if 0 < inside < 1 and left < best[0]:
+                    best = left, (vantage, r)
+        return best[1]
+
+    def forest(self, f: pd.DataFrame, within: bool) -> tuple[np.ndarray, np.ndarray]:
+        f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
+        node, k = f["node"].to_numpy(np.int64), int(f["home"].sum())
+        if not k:
+            return node[:0], node[:0]
+        points = self.points(f)
+        a, b = _proposed(points[:, 1:], points[:, 0].astype(np.int64), k, within, self.first, self.most, self.similarity)
+        return node[a], node[b]
+
+
 SENT = 1_000_000
 
 
-def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 8192, nodes: int = 512, hashes: int = 1 << 19) -> DataFrame:
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block: int = 32768, nodes: int = 512, hashes: int = 1 << 19) -> DataFrame:
     """A row for each row of ``docs``: doc_id, text_hash, root, component_id. Two texts are linked if
     their shingle sets have the Jaccard similarity. ``WIDE`` * 64-bit fingerprints only propose pairs
     (``radius``); what they propose is then decided by the sets themselves.
 
-    A radius this wide leaves a vantage tree over random fingerprints nothing to prune, so the one
-    vantage point is the empty set: a text's distance from it is its number of shingles, which a
-    similar text can't exceed by more than 1 / similarity. Shards are rings of that ratio; a text meets
-    its own ring and the next. Rings are cut into blocks and a task compares two blocks of ``block``
-    fingerprints at most, on average, so that both its sides are bounded. A spanning forest of the
-    proposals leaves it.
+    Pairs are found by ``links``, as those of ``near_duplicates`` are: sharded vantage-point trees, over
+    the space ``Wide``. A radius this wide prunes by fingerprints only where many are alike; by sizes it
+    prunes always, and a shard that no vantage point divides is compared in blocks of ``block``
+    homes on average, two in a task. A spanning forest of the proposals leaves it.
 
     The forests give components of texts that may be similar. Those of a component meet with their sets,
     in blocks of some ``nodes`` texts and ``hashes`` hashes, two in a task; no pair leaves it but the
@@ -456,36 +536,8 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     # texts of one set are one point, known by a hash of it; one row stands for it
     row = F.xxhash64("doc_id", "text_hash")
     reps = common.staged(fps.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("code").alias("code"), F.min(row).alias("row")), "simhash-points")
-    ring = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / math.log(1 / similarity)).cast("int")
-    points = reps.select("node", "size", "code", ring.alias("ring"))
-    blocks = {r.ring: -(-r.n // block) for r in points.groupBy("ring").agg(F.count("*").alias("n")).collect()}  # a ring for each power of the ratio
-    first, most = radius(similarity, 128), radius(similarity, 64 * WIDE)
-
-    def deal(frames):
-        for f in frames:
-            node, rings = f["node"].to_numpy(np.int64), f["ring"].to_numpy(np.int64)
-            for r in np.unique(rings).tolist():
-                g = f[rings == r]
-                own = node[rings == r] % blocks[r]
-                for j in range(blocks[r]):
-                    yield g.assign(kind=0, i=np.minimum(own, j), j=np.maximum(own, j), home=own <= j)
-                for j in range(blocks.get(r + 1, 0)):
-                    yield g.assign(kind=1, i=own, j=j, home=True)
-                for i in range(blocks.get(r - 1, 0)):
-                    yield g.assign(ring=r - 1, kind=1, i=i, j=own, home=False)
-
-    def close(_: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["home", "size"], ascending=[False, True], kind="stable")
-        codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
-        node, k = f["node"].to_numpy(np.int64), int(f["home"].sum())
-        if not k:
-            return pd.DataFrame({"a": node[:0], "b": node[:0]})
-        within = f["kind"].iloc[0] == 0 and f["i"].iloc[0] == f["j"].iloc[0]
-        a, b = _proposed(codes, f["size"].to_numpy(np.int64), k, within, first, most, similarity)
-        return pd.DataFrame({"a": node[a], "b": node[b]})
-
-    cells = points.mapInPandas(deal, "node long, size long, code binary, ring int, kind int, i long, j long, home boolean")
-    maybe = connected(cells.groupBy("ring", "kind", "i", "j").applyInPandas(close, "a long, b long"))
+    space = Wide(similarity)
+    maybe = connected(links(reps, leaf=max(1, block // 2), space=space))
     maybe = common.staged(maybe.select("node", F.col("root").alias("part")).distinct().join(reps.select("node", "size", "code", "row"), "node"), "simhash-parts")
 
     # those that may be similar, with their sets
@@ -502,7 +554,7 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         f = f.sort_values("home", ascending=False, kind="stable")
         codes = np.frombuffer(b"".join(f["code"]), np.uint64).reshape(len(f), -1)
         node, home = f["node"].to_numpy(np.int64), f["home"].to_numpy(bool)
-        edges = _linked(codes, [np.asarray(x, np.int64) for x in f["hashes"]], int(home.sum()), key[1] == key[2], most, similarity)
+        edges = _linked(codes, [np.asarray(x, np.int64) for x in f["hashes"]], int(home.sum()), key[1] == key[2], space.most, similarity)
         a, b = np.array(edges, np.int64).reshape(-1, 2).T
         return pd.DataFrame({"a": node[a], "b": node[b]})
 

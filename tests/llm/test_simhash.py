@@ -155,3 +155,57 @@ def test_near_copies_by_exact_similarity(spark):
     for bounds in ({}, {"block": 400, "nodes": 5, "hashes": 200}):
         got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, **bounds).collect()}
         assert got == {i: find(i) for i in range(len(texts))}
+
+
+def wide_points(sizes, templates, flips, seed=5):
+    """Points of the space of near copies: a random code for each template, with some bits of it flipped."""
+    rng = np.random.default_rng(seed)
+    codes = rng.integers(0, 2, (max(templates) + 1, 512), np.uint8)[templates]
+    for row in codes:
+        row[rng.choice(512, flips, replace=False)] ^= 1
+    return np.concatenate((np.array(sizes, np.uint64)[:, None], np.packbits(codes, axis=1).view(np.uint64)), axis=1)
+
+
+@pytest.mark.parametrize("leaf, sample, chunk", [(64, 512, 1 << 18), (10, 64, 150)])
+def test_near_copies_meet_in_trees(spark, leaf, sample, chunk):
+    """Wide fingerprints go through the trees of op10 too, which lose no pair: also with trees below trees,
+    and with blocks of homes and of visitors."""
+    rng, space = np.random.default_rng(7), simhash.Wide(0.8)
+    templates = rng.integers(0, 150, 600)
+    points = wide_points((np.exp(rng.uniform(0, 8, 150))[templates] * rng.uniform(0.85, 1.15, 600)).astype(int) + 1, templates, 45)
+    rows = [(i, int(p[0]), p[1:].tobytes()) for i, p in enumerate(points)]
+    found = {r.node: r.root for r in simhash.connected(simhash.links(spark.createDataFrame(rows, space.schema), leaf=leaf, sample=sample, chunk=chunk, space=space)).collect()}
+    root = list(range(600))
+    for i in range(600):
+        for j in range(i):
+            (s, t), d = sorted((int(points[i, 0]), int(points[j, 0]))), np.bitwise_count(points[i, 1:] ^ points[j, 1:])
+            k = int(s >= simhash.FEW)
+            if 5 * s >= 4 * t and d[:2].sum() <= space.first[k] and d.sum() <= space.most[k]:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert {i: found.get(i, i) for i in range(600)} == dict(enumerate(root)) and 100 < len(set(root)) < 400
+
+
+def test_trees_prune_near_copies():
+    """By sizes; and by fingerprints alone, where many are alike. What nothing divides is one leaf."""
+    rng, space = np.random.default_rng(8), simhash.Wide(0.8)
+    spread = wide_points(np.exp(rng.uniform(0, 8, 2000)).astype(int), np.arange(2000), 0)
+    tree = simhash.VantageTree(space, spread, 6, 50)
+    row, leaf, home = tree.visits(spread)
+    assert tree.leaves > 8 and home.sum() == 2000 and len(row) < 2000 * 2.5
+    alike = wide_points([300] * 1000, [0] * 600 + list(range(1, 401)), 20)
+    tree = simhash.VantageTree(space, alike, 1)
+    row, leaf, home = tree.visits(alike)
+    assert tree.leaves == 2 and sorted(np.bincount(leaf[home]).tolist()) == [400, 600]
+    assert {int(x) for x in row[leaf == leaf[home & (row == 0)][0]]} == set(range(600))  # the others don't meet those alike there
+    assert simhash.VantageTree(space, alike[600:], 6).leaves == 1
+
+
+def test_pipeline_stage_goes_by_trees(spark, monkeypatch):
+    """The pipeline's near-dedup proposes its pairs by ``links``."""
+    import corpus_pipeline
+
+    spaces, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a, **k: (spaces.append(k.get("space")), links(*a, **k))[1])
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "other words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
+    assert [type(s) for s in spaces] == [simhash.Wide]
