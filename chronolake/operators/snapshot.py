@@ -40,7 +40,7 @@ VENDORED = ["sqlite3.c", "sqlite3.h", "json.hpp", "miniz.c", "miniz.h", "stb_ima
 HOOK = r"\.on(?:Load|Attach)\s*<-\s*function"
 HOOK_WRITE = r"writeLines?\s*\(|writeBin\s*\(|\bcat\s*\(\s*[^)]*,\s*(?:file|con)\s*=|(?<![A-Za-z0-9_.])file\s*\(|\bsink\s*\(|write\.csv\s*\(|write\.table\s*\("
 HOOK_NETWORK = r"download\.file\s*\(|\burl\s*\(|\bcurl\s*\(|httr::|RCurl::|curl::"
-NSE = r"\b(eval|substitute|quote|bquote|match\.call|sys\.call)\s*\("
+NSE = r"\b(eval|substitute|quote|bquote|match\.call|sys\.call)[ \t\n\x0b\f\r]*\("
 MUTATOR = r"<<-|\boptions\s*\([^)]*=|\bpar\s*\([^)]*=|\bsetwd\s*\(|\bSys\.setenv\s*\(|\bsink\s*\(|\bfile\s*\(|\burl\s*\(|\bpipe\s*\(|\bgzfile\s*\(|\bbzfile\s*\(|\bxzfile\s*\(|\btextConnection\s*\("
 ISOLATION = ["withr", "mockr", "httptest2", "webfakes"]
 FLAGS = ["-march=native", "-O3", "-funroll-loops", "-ffast-math"]
@@ -241,8 +241,8 @@ def functions(files: DataFrame) -> DataFrame:
     by_name = defs.join(named.withColumn("explicit", F.lit(True)), [*KEYS, "name"], "left")
     by_pattern = defs.join(patterns, KEYS).filter(F.expr("name rlike p")).select(*KEYS, "name").distinct().withColumn("matched", F.lit(True))
     defs = by_name.join(by_pattern, [*KEYS, "name"], "left").withColumn("explicit", F.coalesce("explicit", F.lit(False))).withColumn("matched", F.coalesce("matched", F.lit(False)))
-    bodies = parse.spans(r, KEYS, capped=True).groupBy(*KEYS, "name").agg(F.min_by("body", F.struct("path", "line")).alias("body"))
-    nse = defs.filter("explicit or matched").join(bodies, [*KEYS, "name"]).filter(F.col("body").rlike(NSE)).groupBy(*KEYS).agg(F.count("*").alias("nse"))
+    uses = parse.uses(r, KEYS, NSE).groupBy(*KEYS, "name").agg(F.min_by("found", F.struct("path", "line")).alias("found"))
+    nse = defs.filter("explicit or matched").join(uses.filter("found"), [*KEYS, "name"]).groupBy(*KEYS).agg(F.count("*").alias("nse"))
     d = defs.groupBy(*KEYS).agg(F.count_if(F.col("matched") & ~F.col("explicit")).alias("extra"), F.count_if(~F.col("matched") & ~F.col("explicit")).alias("internal"))
     e = ex.groupBy(*KEYS).agg(F.count_if(~F.col("is_pattern")).alias("named"))
     colons = F.array_join(F.filter(lines("content"), lambda x: x.contains(":::")), "\n")  # no match runs over lines
